@@ -59,7 +59,7 @@ def access_log_lines(events: DataFrame, with_ts: bool = False) -> DataFrame:
     line = F.when(eid % 97 == 0, F.concat(F.lit("#corrupt "), eid.cast("string"))).otherwise(line)
     cols = [eid.alias("event_id"), line.alias("value")]
     if with_ts:
-        cols.append(F.col("ts").cast("timestamp").alias("arrival_ts"))
+        cols.append(F.col("ts").alias("arrival_ts"))
     return events.select(*cols)
 
 
