@@ -34,6 +34,25 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# One regex pass per line: a matching line is rewritten to MARK + the nine groups joined by
+# SEP; a line that does not match comes back unchanged (and so lacks the leading MARK).
+_SEP = "\u0001"
+_MARK = "\u0000LW" + _SEP
+_REWRITE = _MARK + _SEP.join(f"${i}" for i in range(1, 10))
+
+
+def log_fields(line="value") -> Column:
+    """All nine groups of a line as ``array<string>`` (index 1 = ip ... 9 = agent), or NULL
+    when the line does not match.  The anchored pattern runs once per row."""
+    out = F.regexp_replace(_c(line), _ANCHORED, _REWRITE)
+    return F.when(out.startswith(_MARK), F.split(F.substring(out, len(_MARK) + 1, 1 << 30), _SEP))
+
+
+def field(fields: Column, name: str) -> Column:
+    """One group out of ``log_fields``; '' for an absent optional group, NULL for a bad line."""
+    return F.element_at(fields, GROUPS[name])
+
+
 def log_matches(line="value") -> Column:
     """True when the whole line is a valid access-log line."""
     return _c(line).rlike(_ANCHORED)
@@ -72,12 +91,11 @@ def strict_url_of_request(request: Column, sentinel: str = ERROR_SENTINEL) -> Co
 def parse_log_time(date_field: Column) -> Column:
     """P8: '[dd/MMM/yyyy:HH:mm:ss +zzzz]' -> TIMESTAMP_NTZ (offset dropped); bad date -> NULL.
 
-    ``try_to_timestamp`` validates; the NTZ parse then keeps the wall-clock value
-    independent of the session time zone.
+    Parsed in the session time zone and cast back, which keeps the wall-clock value
+    (sessions are pinned to UTC, see ``logweave.session``).
     """
     text = F.regexp_extract(date_field, DATE_PATTERN, 1)
-    ok = F.try_to_timestamp(text, F.lit(DATE_FORMAT)).isNotNull()
-    return F.when(ok, F.to_timestamp_ntz(text, F.lit(DATE_FORMAT)))
+    return F.try_to_timestamp(text, F.lit(DATE_FORMAT)).cast("timestamp_ntz")
 
 
 def java_timestamp_string(ts: Column) -> Column:

@@ -37,7 +37,8 @@ def error_ratio_alarms(totals: DataFrame, min_rows: int = MIN_ROWS, max_ratio: f
     """
     ev = (totals.where((F.col("success") + F.col("failure")) > min_rows)
           .withColumn("ratio", error_ratio("success", "failure"))
-          .withColumn("_t", epoch_us(time_col)))
+          .withColumn("_t", epoch_us(time_col))
+          .checkpoint())  # one row per evaluated window; the fold reads it several times
     cands = ev.where(F.col("ratio") > max_ratio).select("_t")
     folded = suppress_repeats(cands, "_t", duration_us(quiet))
     out = ev.join(folded, on="_t", how="left")
@@ -64,7 +65,7 @@ def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA
     first = F.col("_s") + F.lit(lim_us + tick_us)
     gaps = gaps.where(first < F.col("next"))
     cands = gaps.select("_s", "next", F.explode(F.sequence(first, F.col("next") - F.lit(tick_us),
-                                                           F.lit(quiet_us + tick_us))).alias("_t"))
+                                                           F.lit(quiet_us + tick_us))).alias("_t")).checkpoint()
     folded = suppress_repeats(cands.select("_t"), "_t", quiet_us)
     out = cands.join(folded, on="_t")
     return out.select(from_epoch_us("_s").alias("last_data"), from_epoch_us("next").alias("next_data"),

@@ -1,20 +1,41 @@
-"""Line -> typed row operators.
+"""Line -> typed row operators.
 
 Each takes a frame with a ``value`` string column (batch or streaming) and returns
 a projected frame; extra columns listed in ``keep`` (e.g. an arrival time or an id)
-pass through.  All are narrow projections: no shuffle, whole-stage codegen.
+pass through.  All are narrow: no shuffle, whole-stage codegen.
+
+The log pattern runs once per line (``accesslog.log_fields`` emits all nine
+groups from one regex pass); every field is then a cheap array lookup.  Where
+corrupt lines are dropped (F1), the drop is a generator over the parsed record,
+so the optimizer cannot push a second copy of the regex into a filter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.functions import accesslog as al
 
 LOG_ENTRY_FIELDS = ("ip", "client", "user", "dateTime", "request", "status", "bytes", "referer", "agent")
+_F = "_fields"
+
+
+def _fields(lines: DataFrame, keep: Sequence[str], value: str, drop_bad: bool) -> DataFrame:
+    f = al.log_fields(value)
+    if drop_bad:
+        return lines.select(*keep, F.explode(F.filter(F.array(f), lambda x: x.isNotNull())).alias(_F))
+    return lines.select(*keep, f.alias(_F))
+
+
+def _g(name: str) -> Column:
+    return al.field(F.col(_F), name)
+
+
+def _ok() -> Column:
+    return F.col(_F).isNotNull()
 
 
 def log_entries(lines: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
@@ -23,30 +44,29 @@ def log_entries(lines: DataFrame, keep: Sequence[str] = (), value: str = "value"
     ``dateTime`` is the normalised 'yyyy-MM-dd HH:mm:ss.0' text, '' when the date
     does not parse (then ``ts`` is NULL); a missing ip is NULL.
     """
-    m = lines.where(al.log_matches(value))
-    ts = al.parse_log_time(al.log_group("dateTime", value))
-    cols = [F.nullif(al.log_group("ip", value), F.lit("")).alias("ip")]
-    cols += [al.log_group(f, value).alias(f) for f in ("client", "user")]
-    cols.append(F.coalesce(al.java_timestamp_string(ts), F.lit("")).alias("dateTime"))
-    cols += [al.log_group(f, value).alias(f) for f in ("request", "status", "bytes", "referer", "agent")]
-    cols.append(ts.alias("ts"))
-    return m.select(*keep, *cols)
+    p = _fields(lines, keep, value, drop_bad=True)
+    p = p.select(*keep, _F, al.parse_log_time(_g("dateTime")).alias("ts"))
+    cols = [F.nullif(_g("ip"), F.lit("")).alias("ip"), _g("client").alias("client"), _g("user").alias("user"),
+            F.coalesce(al.java_timestamp_string(F.col("ts")), F.lit("")).alias("dateTime")]
+    cols += [_g(f).alias(f) for f in ("request", "status", "bytes", "referer", "agent")]
+    return p.select(*keep, *cols, "ts")
 
 
 def field_or_error(lines: DataFrame, field: str, keep: Sequence[str] = (), value: str = "value",
                    alias: str | None = None) -> DataFrame:
     """One group per line, ``[error]`` for lines that do not match."""
-    return lines.select(*keep, al.group_or_error(field, value).alias(alias or field))
+    p = _fields(lines, keep, value, drop_bad=False)
+    return p.select(*keep, F.coalesce(_g(field), F.lit(al.ERROR_SENTINEL)).alias(alias or field))
 
 
 def requests(lines: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
     """(url, status int, agent); bad line -> ('error', 0, 'error')."""
-    ok = al.log_matches(value)
-    return lines.select(
+    p = _fields(lines, keep, value, drop_bad=False)
+    return p.select(
         *keep,
-        F.when(ok, al.url_of_request(al.log_group("request", value))).otherwise(F.lit("error")).alias("url"),
-        F.when(ok, al.log_group("status", value).cast("int")).otherwise(F.lit(0)).alias("status"),
-        F.when(ok, al.log_group("agent", value)).otherwise(F.lit("error")).alias("agent"),
+        F.when(_ok(), al.url_of_request(_g("request"))).otherwise(F.lit("error")).alias("url"),
+        F.when(_ok(), _g("status").cast("int")).otherwise(F.lit(0)).alias("status"),
+        F.when(_ok(), _g("agent")).otherwise(F.lit("error")).alias("agent"),
     )
 
 
@@ -55,37 +75,41 @@ def keyed_requests(lines: DataFrame, keep: Sequence[str] = (), value: str = "val
 
     A matching line without ip keeps a NULL ip, as the regex group is absent.
     """
-    ok = al.log_matches(value)
-    return lines.select(
+    p = _fields(lines, keep, value, drop_bad=False)
+    return p.select(
         *keep,
-        F.when(ok, F.nullif(al.log_group("ip", value), F.lit(""))).otherwise(F.lit("error")).alias("ip"),
-        F.when(ok, al.url_of_request(al.log_group("request", value))).otherwise(F.lit("error")).alias("url"),
-        F.when(ok, al.log_group("status", value).cast("int")).otherwise(F.lit(0)).alias("status"),
-        F.when(ok, al.log_group("agent", value)).otherwise(F.lit("error")).alias("agent"),
+        F.when(_ok(), F.nullif(_g("ip"), F.lit(""))).otherwise(F.lit("error")).alias("ip"),
+        F.when(_ok(), al.url_of_request(_g("request"))).otherwise(F.lit("error")).alias("url"),
+        F.when(_ok(), _g("status").cast("int")).otherwise(F.lit(0)).alias("status"),
+        F.when(_ok(), _g("agent")).otherwise(F.lit("error")).alias("agent"),
     )
 
 
 def session_requests(lines: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
     """(ip, url, status string); bad line -> ('error', 'error', '0')."""
-    ok = al.log_matches(value)
-    return lines.select(
+    p = _fields(lines, keep, value, drop_bad=False)
+    return p.select(
         *keep,
-        F.when(ok, F.nullif(al.log_group("ip", value), F.lit(""))).otherwise(F.lit("error")).alias("ip"),
-        F.when(ok, al.url_of_request(al.log_group("request", value))).otherwise(F.lit("error")).alias("url"),
-        F.when(ok, al.log_group("status", value)).otherwise(F.lit("0")).alias("status"),
+        F.when(_ok(), F.nullif(_g("ip"), F.lit(""))).otherwise(F.lit("error")).alias("ip"),
+        F.when(_ok(), al.url_of_request(_g("request"))).otherwise(F.lit("error")).alias("url"),
+        F.when(_ok(), _g("status")).otherwise(F.lit("0")).alias("status"),
     )
 
 
 def strict_urls(lines: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
-    """Url only for 3-token requests; anything else (bad line included) -> '[error]'."""
-    req = F.when(al.log_matches(value), al.log_group("request", value)).otherwise(F.lit("()"))
-    return lines.select(*keep, al.strict_url_of_request(req).alias("url"))
+    """Url only for 3-token requests; anything else (bad line included) -> '[error]'.
+
+    A bad line's request is the printed Unit value '()', a single token."""
+    p = _fields(lines, keep, value, drop_bad=False)
+    req = F.coalesce(_g("request"), F.lit("()"))
+    return p.select(*keep, al.strict_url_of_request(req).alias("url"))
 
 
 def status_classes(lines: DataFrame, keep: Sequence[str] = (), value: str = "value") -> DataFrame:
     """P3 (status) + P9: Success / Failure / Other per line."""
-    status = al.group_or_error("status", value)
-    return lines.select(*keep, al.status_class(status).alias("class"))
+    p = _fields(lines, keep, value, drop_bad=False)
+    status = F.coalesce(_g("status"), F.lit(al.ERROR_SENTINEL))
+    return p.select(*keep, al.status_class(status).alias("class"))
 
 
 def decode_payload(frames: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:

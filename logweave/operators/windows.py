@@ -62,6 +62,26 @@ def top_k_per_window(counts: DataFrame, key: str, k: int = 5, count_col: str = "
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def windowed_sums(df: DataFrame, sums: dict, ts: str = "ts", length: str = "300 seconds",
+                  slide: str | None = None) -> DataFrame:
+    """Per window, ``{name: long column}`` summed over the rows in the window (two-stage,
+    as ``windowed_counts``).  Returns ``window_start, window_end, <names>``."""
+    slide = slide or length
+    base = df.where(F.col(ts).isNotNull())
+    buckets = base.groupBy(F.window(ts, slide).alias("b")).agg(
+        *[F.sum(c.cast("long")).alias(n) for n, c in sums.items()])
+    w = F.window(F.col("b.start"), length, slide) if length != slide else F.col("b")
+    out = buckets.groupBy(w.alias("w")).agg(*[F.sum(n).alias(n) for n in sums])
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      *[F.col(n).cast("long").alias(n) for n in sums])
+
+
+def status_class_totals(classes: DataFrame, ts: str, length: str, slide: str | None = None) -> DataFrame:
+    """W4 + A7 in one pass: successes and failures per sliding window."""
+    return windowed_sums(classes, {"success": F.col("class") == "Success", "failure": F.col("class") == "Failure"},
+                         ts, length, slide)
+
+
 def class_totals(class_counts: DataFrame, count_col: str = "count") -> DataFrame:
     """Per window, successes and failures out of the class counts (one row per window)."""
     return (class_counts.groupBy("window_start", "window_end")

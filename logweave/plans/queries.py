@@ -85,8 +85,7 @@ def q_top_urls_strict(spark, sf_dir):
 
 def _class_totals(spark, sf_dir):
     c = parse.status_classes(_lines(spark, sf_dir, with_ts=True), keep=["arrival_ts"])
-    counts = windows.windowed_counts(c, "class", "arrival_ts", ALARM_WINDOW, ALARM_SLIDE)
-    return windows.class_totals(counts)
+    return windows.status_class_totals(c, "arrival_ts", ALARM_WINDOW, ALARM_SLIDE)
 
 
 def q_status_class_window(spark, sf_dir):
