@@ -294,3 +294,15 @@ SELECT round(w, 6) AS weight, round(b, 6) AS intercept, CAST(i AS INTEGER) AS it
 SQL["linreg_predict"] = f"""WITH RECURSIVE {_REGRESSION}
 SELECT l_orderkey, l_linenumber, round(y, 6) AS label, round(model.b + model.w * x, 6) AS prediction
 FROM z, model"""
+
+# ----------------------------------------------------------------------------- stream forms
+SQL["stream_status_hourly"] = SQL["status_hourly"]
+
+SQL["archive_replay"] = r"""WITH l AS (SELECT turn, unnest(string_split_regex(text, '\r\n|\r|\n')) AS line FROM conversations),
+per AS (SELECT turn, count(*) AS rows, CAST(sum(length(line)) AS BIGINT) AS chars,
+               CAST(max(length(line)) AS BIGINT) AS longest FROM l GROUP BY turn)
+SELECT CAST(dense_rank() OVER (ORDER BY turn) - 1 AS INTEGER) AS batch, rows, chars,
+  CAST(sum(rows) OVER w AS BIGINT) AS total_rows, CAST(sum(chars) OVER w AS BIGINT) AS total_chars,
+  CAST(floor(sum(chars) OVER w / sum(rows) OVER w) AS BIGINT) AS avg_length,
+  max(longest) OVER w AS max_length
+FROM per WINDOW w AS (ORDER BY turn ROWS UNBOUNDED PRECEDING)"""

@@ -282,3 +282,7 @@ QUERIES = {
     "linreg_fit": q_linreg_fit,
     "linreg_predict": q_linreg_predict,
 }
+
+from logweave.plans.stream_queries import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)

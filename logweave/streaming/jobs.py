@@ -92,7 +92,7 @@ def closed_sessions_stream(rows: DataFrame, key: str = "ip", ts: str = "ts", url
                     "clickstream", "successCodes", "errorCodes")
 
 
-SESSION_OUT = ("ip string, ts timestamp, session_start timestamp, sessionLength long, "
+SESSION_OUT = ("event_id long, ip string, ts timestamp, session_start timestamp, sessionLength long, "
                "clickstream array<string>, successCodes long, errorCodes long")
 SESSION_STATE = "session_start timestamp, last_ts timestamp, n long, clicks string, ok long, err long"
 
@@ -124,12 +124,12 @@ def _session_update(gap_us: int, limit: int):
                 good = (not pd.isna(code)) and 200 <= int(code) < 400
                 okc, errc = okc + int(good), errc + int(not good)
                 last = t if last is None or t > pd.Timestamp(last) else last
-                out.append((key[0], t, pd.Timestamp(start), n, list(clicks), okc, errc))
+                out.append((r.seq, key[0], t, pd.Timestamp(start), n, list(clicks), okc, errc))
         if last is not None:
             state.update((pd.Timestamp(start), pd.Timestamp(last), n, json.dumps(clicks), okc, errc))
             state.setTimeoutTimestamp(int(pd.Timestamp(last).timestamp() * 1000) + gap_us // 1000)
         if out:
-            yield pd.DataFrame(out, columns=["ip", "ts", "session_start", "sessionLength", "clickstream",
+            yield pd.DataFrame(out, columns=["event_id", "ip", "ts", "session_start", "sessionLength", "clickstream",
                                              "successCodes", "errorCodes"])
     return fn
 
