@@ -4,115 +4,126 @@ A session of a key (ip) is a run of rows where consecutive rows are at most
 ``gap`` apart; a row more than ``gap`` after the previous row of the same key
 starts a new session (rows exactly ``gap`` apart stay together).
 
-Skew: one ip may own a third of all rows, so no step orders a whole key in one
-task.  Rows are cut into (key, time-chunk) pieces:
-
-1. inside a piece, ``lag`` finds the previous row;
-2. a per-piece summary (one row per occupied key/chunk) gives the last time of
-   the previous occupied piece, and the last session start carried forward;
-3. session aggregates are partial (map-side combined) hash aggregates, and the
-   first 10 urls use ``row_number() <= 10`` (partial WindowGroupLimit before the
-   shuffle), so a huge session ships at most 10 rows per map task.
+Skew: one ip may own a third of all rows, so no step orders a whole key's rows
+in one task.  Time is cut into chunks no longer than ``gap``.  Two rows of one
+chunk are less than ``gap`` apart, so a session can only start at the first row
+of a chunk, and whether it does follows from a per-(key, chunk) summary alone:
+
+1. ``summary``: per (key, chunk) first/last time, row and success counts --
+   a partial (map-side combined) aggregate, one row per occupied key-chunk;
+2. over the summary (ordered by chunk within a key, one row per occupied chunk,
+   bounded by time span / chunk): a chunk starts a session when its first row is
+   more than ``gap`` after the previous chunk's last row; ``session_start`` is
+   carried forward from the last starting chunk;
+3. session totals are sums of chunk summaries; the first 10 urls are the first 10
+   rows of each chunk (``row_number() <= 10`` is limited map-side before the
+   shuffle), then of each session.
+
+Rows reach a shuffle only after map-side reduction (partial aggregates, partial
+group limits); ST2's per-row running counts shuffle rows once, by (key, chunk).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.functions.accesslog import is_success_code
 from logweave.functions.timecols import duration_us
 
-
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches NULL keys (a line without ip has a NULL key)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    return left.join(r, on=cond, how=how).drop(*[f"_r_{k}" for k in keys])
-
-
 # --- Fixed values: must equal the reference's session state ---------------------------------
 SESSION_GAP = "30 minutes"
 CLICKSTREAM_LIMIT = 10
 # --- end of fixed values ----------------------------------------------------------------------
 
+_K = "_skey"   # non-null surrogate of the key: NULL ips form their own key
+
+
+def _surrogate(key: str) -> Column:
+    # Provably non-null (coalesce with a literal), so joins on it infer no IS NOT NULL
+    # filter that the optimizer would push down into the line parsing.
+    return F.coalesce(F.concat(F.lit("1"), F.col(key).cast("string")), F.lit("0"))
+
 
-def assign_sessions(rows: DataFrame, key: str = "ip", ts: str = "ts", order: Sequence[str] = ("event_id",),
-                    gap: str = SESSION_GAP, chunk: str = "15 minutes") -> DataFrame:
-    """Adds ``session_start`` (time of the session's first row) and ``_chunk`` to each row."""
+def _chunk_len(gap: str, chunk: str | None) -> str:
+    if chunk is None:
+        return gap
+    if duration_us(chunk) > duration_us(gap):
+        raise ValueError("chunk must not be longer than the session gap")
+    return chunk
+
+
+def _prepare(rows: DataFrame, key: str, ts: str, status: str, gap: str, chunk: str | None) -> DataFrame:
+    return (rows.where(F.col(ts).isNotNull())
+            .withColumn(_K, _surrogate(key))
+            .withColumn("_chunk", F.window(ts, _chunk_len(gap, chunk))["start"])
+            .withColumn("_ok", is_success_code(F.col(status)).cast("long")))
+
+
+def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
+    """Per (key, chunk): session_start, chunk totals and the session's totals before the chunk."""
     gap_us = duration_us(gap)
-    r = rows.where(F.col(ts).isNotNull()).withColumn("_chunk", F.window(ts, chunk)["start"])
-    w_piece = Window.partitionBy(key, "_chunk").orderBy(ts, *order)
-    r = r.withColumn("_prev", F.lag(ts).over(w_piece))
-    summ = r.groupBy(key, "_chunk").agg(F.max(ts).alias("_last"))
-    w_chunks = Window.partitionBy(key).orderBy("_chunk")
-    summ = summ.withColumn("_prev_last", F.lag("_last").over(w_chunks)).drop("_last")
-    r = _join(r, summ, [key, "_chunk"], "left")
-    prev = F.coalesce("_prev", "_prev_last")
-    r = r.withColumn("_is_start", prev.isNull() | (F.col(ts) > F.timestamp_add("MICROSECOND", F.lit(gap_us), prev)))
-    r = r.withColumn("_start_in_piece", F.max(F.when(F.col("_is_start"), F.col(ts))).over(
-        w_piece.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = r.groupBy(key, "_chunk").agg(F.max(F.when(F.col("_is_start"), F.col(ts))).alias("_last_start"))
-    starts = starts.withColumn("_carry", F.last("_last_start", ignorenulls=True).over(
-        w_chunks.rowsBetween(Window.unboundedPreceding, -1))).drop("_last_start")
-    r = _join(r, starts, [key, "_chunk"], "left")
-    return (r.withColumn("session_start", F.coalesce("_start_in_piece", "_carry"))
-            .drop("_prev", "_prev_last", "_is_start", "_start_in_piece", "_carry"))
-
-
-def _first_urls(s: DataFrame, key: str, ts: str, order: Sequence[str], url: str, limit: int) -> DataFrame:
-    w = Window.partitionBy(key, "session_start").orderBy(ts, *order)
-    top = s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit)
-    return (top.groupBy(key, "session_start")
-            .agg(F.array_sort(F.collect_list(F.struct("_rn", F.col(url).alias("u")))).alias("_l"))
-            .select(key, "session_start", F.transform("_l", lambda x: x["u"]).alias("clickstream")))
+    summ = prepared.groupBy(_K, "_chunk").agg(
+        F.first(key).alias(key), F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+        F.count(F.lit(1)).alias("_n"), F.sum("_ok").alias("_s"))
+    by_key = Window.partitionBy(_K).orderBy("_chunk")
+    prev_last = F.lag("_last").over(by_key)
+    starts = prev_last.isNull() | (F.col("_first") > F.timestamp_add("MICROSECOND", F.lit(gap_us), prev_last))
+    summ = summ.withColumn("_start_here", F.when(starts, F.col("_first")))
+    summ = summ.withColumn("session_start", F.last("_start_here", ignorenulls=True).over(
+        by_key.rowsBetween(Window.unboundedPreceding, 0)))
+    before = Window.partitionBy(_K, "session_start").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return (summ.withColumn("_n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+            .withColumn("_s_before", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+            .drop("_start_here"))
+
+
+def _first_urls(prepared: DataFrame, chunks: DataFrame, ts: str, order: Sequence[str], url: str,
+                limit: int) -> DataFrame:
+    w_piece = Window.partitionBy(_K, "_chunk").orderBy(ts, *order)
+    head = prepared.withColumn("_rn", F.row_number().over(w_piece)).where(F.col("_rn") <= limit)
+    head = head.join(chunks.select(_K, "_chunk", "session_start"), on=[_K, "_chunk"])
+    w_sess = Window.partitionBy(_K, "session_start").orderBy(ts, *order)
+    top = head.withColumn("_rs", F.row_number().over(w_sess)).where(F.col("_rs") <= limit)
+    return (top.groupBy(_K, "session_start")
+            .agg(F.array_sort(F.collect_list(F.struct("_rs", F.col(url).alias("u")))).alias("_l"))
+            .select(_K, "session_start", F.transform("_l", lambda x: x["u"]).alias("clickstream")))
 
 
 def sessions(rows: DataFrame, key: str = "ip", ts: str = "ts", order: Sequence[str] = ("event_id",),
              url: str = "url", status: str = "status", gap: str = SESSION_GAP,
-             limit: int = CLICKSTREAM_LIMIT, chunk: str = "15 minutes") -> DataFrame:
+             limit: int = CLICKSTREAM_LIMIT, chunk: str | None = "15 minutes") -> DataFrame:
     """ST1 + T4: one row per session with length, first ``limit`` urls, success/error counts."""
-    s = assign_sessions(rows, key, ts, order, gap, chunk)
-    ok = is_success_code(F.col(status))
-    agg = s.groupBy(key, "session_start").agg(
-        F.max(ts).alias("session_end"),
-        F.count(F.lit(1)).alias("sessionLength"),
-        F.count_if(ok).alias("successCodes"),
-        F.count_if(~ok).alias("errorCodes"))
-    urls = _first_urls(s, key, ts, order, url, limit)
-    return _join(agg, urls, [key, "session_start"]).select(
-        key, "session_start", "session_end", "sessionLength", "clickstream", "successCodes", "errorCodes")
+    p = _prepare(rows, key, ts, status, gap, chunk)
+    chunks = chunk_sessions(p, key, ts, gap)
+    agg = chunks.groupBy(_K, "session_start").agg(
+        F.first(key).alias(key), F.max("_last").alias("session_end"),
+        F.sum("_n").alias("sessionLength"), F.sum("_s").alias("successCodes"))
+    urls = _first_urls(p, chunks, ts, order, url, limit)
+    return agg.join(urls, on=[_K, "session_start"]).select(
+        key, "session_start", "session_end", "sessionLength", "clickstream", "successCodes",
+        (F.col("sessionLength") - F.col("successCodes")).alias("errorCodes"))
 
 
 def session_updates(rows: DataFrame, key: str = "ip", ts: str = "ts", order: Sequence[str] = ("event_id",),
                     url: str = "url", status: str = "status", gap: str = SESSION_GAP,
-                    limit: int = CLICKSTREAM_LIMIT, chunk: str = "15 minutes") -> DataFrame:
+                    limit: int = CLICKSTREAM_LIMIT, chunk: str | None = "15 minutes") -> DataFrame:
     """ST2: the session state after each input row (what the keyed-state function emits).
 
-    Running counts are taken inside each (key, chunk, session) piece and offset by
-    the totals of the same session's earlier chunks (a per-chunk summary).
-    """
-    s = assign_sessions(rows, key, ts, order, gap, chunk)
-    ok = is_success_code(F.col(status))
-    s = s.withColumn("_ok", ok.cast("long"))
-    w_run = (Window.partitionBy(key, "session_start", "_chunk").orderBy(ts, *order)
-             .rowsBetween(Window.unboundedPreceding, 0))
-    s = s.withColumn("_n", F.count(F.lit(1)).over(w_run)).withColumn("_s", F.sum("_ok").over(w_run))
-    per_chunk = s.groupBy(key, "session_start", "_chunk").agg(F.count(F.lit(1)).alias("_cn"),
-                                                             F.sum("_ok").alias("_cs"))
-    before = Window.partitionBy(key, "session_start").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = per_chunk.select(key, "session_start", "_chunk",
-                                 F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_on"),
-                                 F.coalesce(F.sum("_cs").over(before), F.lit(0)).alias("_os"))
-    s = _join(s, per_chunk, [key, "session_start", "_chunk"])
-    urls = _first_urls(s, key, ts, order, url, limit)
-    s = _join(s, urls, [key, "session_start"])
-    length = F.col("_n") + F.col("_on")
-    success = F.col("_s") + F.col("_os")
+    Running counts inside each (key, chunk) piece, offset by the same session's
+    totals in earlier chunks (from the chunk summary)."""
+    p = _prepare(rows, key, ts, status, gap, chunk)
+    chunks = chunk_sessions(p, key, ts, gap)
+    w_run = Window.partitionBy(_K, "_chunk").orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
+    s = (p.withColumn("_rn", F.count(F.lit(1)).over(w_run)).withColumn("_rs", F.sum("_ok").over(w_run))
+         .join(chunks.select(_K, "_chunk", "session_start", "_n_before", "_s_before"), on=[_K, "_chunk"]))
+    s = s.join(_first_urls(p, chunks, ts, order, url, limit), on=[_K, "session_start"])
+    length = F.col("_rn") + F.col("_n_before")
+    success = F.col("_rs") + F.col("_s_before")
     return s.select(
-        *[c for c in rows.columns if c not in (key,)], key, "session_start",
+        *[c for c in rows.columns if c != key], key, "session_start",
         length.alias("sessionLength"),
         F.slice("clickstream", 1, F.least(length, F.lit(limit)).cast("int")).alias("clickstream"),
         success.alias("successCodes"),
@@ -123,3 +134,11 @@ def live_sessions(session_table: DataFrame, as_of, gap: str = SESSION_GAP) -> Da
     """ST3: sessions still open at ``as_of`` (last row no more than ``gap`` before it)."""
     return session_table.where(
         F.col("session_end") >= F.timestamp_add("MICROSECOND", F.lit(-duration_us(gap)), as_of))
+
+
+def assign_sessions(rows: DataFrame, key: str = "ip", ts: str = "ts", gap: str = SESSION_GAP,
+                    chunk: str | None = "15 minutes", status: str = "status") -> DataFrame:
+    """Each row with its ``session_start``."""
+    p = _prepare(rows, key, ts, status, gap, chunk)
+    chunks = chunk_sessions(p, key, ts, gap).select(_K, "_chunk", "session_start")
+    return p.join(chunks, on=[_K, "_chunk"]).drop(_K, "_chunk", "_ok")
