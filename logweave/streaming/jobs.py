@@ -146,6 +146,21 @@ def session_updates_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id
         GroupStateTimeout.EventTimeTimeout)
 
 
+def live_session_snapshot(spark, checkpoint_location: str) -> DataFrame:
+    """ST3 on a stream: every session held in the keyed state of ``session_updates_stream``,
+    read from the query's checkpoint with Spark's state-store reader (the latest committed
+    batch).  Timed-out sessions have been removed from the state, so these are the live ones."""
+    st = spark.read.format("statestore").load(checkpoint_location)
+    v = F.col("value")["groupState"]     # Pandas keyed state: (groupState, timeoutTimestamp)
+    return st.select(
+        F.col("key")["ip"].alias("ip"),
+        v["session_start"].cast("timestamp_ntz").alias("session_start"),
+        v["last_ts"].cast("timestamp_ntz").alias("session_end"),
+        v["n"].alias("sessionLength"),
+        F.from_json(v["clicks"], "array<string>").alias("clickstream"),
+        v["ok"].alias("successCodes"), v["err"].alias("errorCodes"))
+
+
 # ----------------------------------------------------------------------------- running totals
 def length_totals_stream(texts: DataFrame, text: str = "text") -> DataFrame:
     """A5 + A6 on a stream: running count, characters, integer average and longest text
