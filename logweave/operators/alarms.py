@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweave.session import cut
+
 from logweave.functions.timecols import duration_us, epoch_us, from_epoch_us
 from logweave.operators.ordered import next_after, suppress_repeats
 
@@ -35,10 +37,10 @@ def error_ratio_alarms(totals: DataFrame, min_rows: int = MIN_ROWS, max_ratio: f
     Only windows with more than ``min_rows`` counted rows are evaluated.  ``state``
     is 'fired', 'suppressed' or 'all clear'.
     """
-    ev = (totals.where((F.col("success") + F.col("failure")) > min_rows)
-          .withColumn("ratio", error_ratio("success", "failure"))
-          .withColumn("_t", epoch_us(time_col))
-          .checkpoint())  # one row per evaluated window; the fold reads it several times
+    # one row per evaluated window; the fold reads it several times
+    ev = cut(totals.where((F.col("success") + F.col("failure")) > min_rows)
+             .withColumn("ratio", error_ratio("success", "failure"))
+             .withColumn("_t", epoch_us(time_col)))
     cands = ev.where(F.col("ratio") > max_ratio).select("_t")
     folded = suppress_repeats(cands, "_t", duration_us(quiet))
     out = ev.join(folded, on="_t", how="left")
@@ -64,8 +66,8 @@ def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA
     gaps = next_after(active, "_s", 0, lim_us).where(F.col("next").isNotNull())
     first = F.col("_s") + F.lit(lim_us + tick_us)
     gaps = gaps.where(first < F.col("next"))
-    cands = gaps.select("_s", "next", F.explode(F.sequence(first, F.col("next") - F.lit(tick_us),
-                                                           F.lit(quiet_us + tick_us))).alias("_t")).checkpoint()
+    cands = cut(gaps.select("_s", "next", F.explode(F.sequence(first, F.col("next") - F.lit(tick_us),
+                                                               F.lit(quiet_us + tick_us))).alias("_t")))
     folded = suppress_repeats(cands.select("_t"), "_t", quiet_us)
     out = cands.join(folded, on="_t")
     return out.select(from_epoch_us("_s").alias("last_data"), from_epoch_us("next").alias("next_data"),

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweave.session import cut
+
 _NOKEY = "__k"
 
 
@@ -109,28 +111,27 @@ def suppress_repeats(cands: DataFrame, t: str, quiet: int, bucket: int | None =
 
 def _doubling(cands: DataFrame, t: str, quiet: int, bucket: int, ks: list[str], max_rounds: int) -> DataFrame:
     links = next_after(cands, t, quiet, bucket, ks or None)
-    jump = links.select(*ks, F.col(t).alias("_src"), F.col("next").alias("_dst")).checkpoint()
+    jump = cut(links.select(*ks, F.col(t).alias("_src"), F.col("next").alias("_dst")))
     # Chain starts: the first candidate of each key and every candidate more than
     # ``quiet`` after its predecessor.
     succ = next_after(cands, t, 0, bucket, ks or None).where(F.col("next") > F.col(t) + F.lit(quiet))
     firsts = cands.groupBy(*ks).agg(F.min(t).alias(t))
-    reach = firsts.unionByName(succ.select(*ks, F.col("next").alias(t))).distinct().checkpoint()
+    reach = cut(firsts.unionByName(succ.select(*ks, F.col("next").alias(t))).distinct())
     size = reach.count()
     for _ in range(max_rounds):
         cond = [reach[k] == jump[k] for k in ks] + [reach[t] == jump["_src"]]
         step = (reach.join(jump, on=cond)
                 .where(F.col("_dst").isNotNull()).select(*[reach[k] for k in ks], F.col("_dst").alias(t)))
-        new_reach = reach.unionByName(step).distinct().checkpoint()
+        new_reach = cut(reach.unionByName(step).distinct())
         new_size = new_reach.count()
         if new_size == size:
             return reach
         reach, size = new_reach, new_size
         a, b = jump.alias("a"), jump.alias("b")
         cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ks] + [F.col("a._dst") == F.col("b._src")]
-        jump = (a.join(b, on=cond, how="left")
-                .select(*[F.col(f"a.{k}").alias(k) for k in ks], F.col("a._src").alias("_src"),
-                        F.col("b._dst").alias("_dst"))
-                .checkpoint())
+        jump = cut(a.join(b, on=cond, how="left")
+                   .select(*[F.col(f"a.{k}").alias(k) for k in ks], F.col("a._src").alias("_src"),
+                           F.col("b._dst").alias("_dst")))
     raise RuntimeError("suppress_repeats did not converge")
 
 
@@ -144,7 +145,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx", partiti
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The partition id is written once (reliable checkpoint): both uses below must see the
     # same ids, even if AQE coalesces differently or a lost executor forces a recompute.
-    s = df.repartitionByRange(p, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    s = cut(df.repartitionByRange(p, *order).withColumn("_pid", F.spark_partition_id()))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
@@ -163,7 +164,7 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str] = (), maxes: S
     """
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(p, order).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    s = cut(df.repartitionByRange(p, order).withColumn("_pid", F.spark_partition_id()))
     part = s.groupBy("_pid").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums],
                                  *[F.max(c).alias(f"_m_{c}") for c in maxes])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

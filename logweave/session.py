@@ -63,3 +63,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def cut(df):
+    """Cut lineage with a reliable checkpoint in the session's checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
