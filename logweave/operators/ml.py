@@ -105,11 +105,13 @@ def kmeans_model_frame(spark, model: KMeansModel, digits: int = 6) -> DataFrame:
 
 # ----------------------------------------------------------------------------- scaling
 def zscore(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
-    """(x - mean) / stddev per column; the statistics are scalar subqueries of one aggregate."""
+    """(x - mean) / stddev per column.  One aggregate pass computes every statistic; the
+    2 x len(cols) numbers are inlined as literals (their count is fixed by ``cols``)."""
+    r = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+               *[F.stddev(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     out = df
-    for c in cols:
-        stats = df.select(F.avg(c).alias("m"), F.stddev(c).alias("s"))
-        out = out.withColumn(c + suffix, (F.col(c) - stats.select("m").scalar()) / stats.select("s").scalar())
+    for i, c in enumerate(cols):
+        out = out.withColumn(c + suffix, (F.col(c) - F.lit(r[f"m{i}"])) / F.lit(r[f"s{i}"]))
     return out
 
 
