@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.session import cut
 
+from logweave.session import cut
 from logweave.functions.timecols import duration_us, epoch_us, from_epoch_us
 from logweave.operators.ordered import next_after, suppress_repeats
 
@@ -49,27 +49,61 @@ def error_ratio_alarms(totals: DataFrame, min_rows: int = MIN_ROWS, max_ratio: f
     return out.withColumn("state", state).drop("_t", "fired")
 
 
+def _interval_fold(step: int):
+    """Per-interval arithmetic fold (one pandas group): inside a gap the alarm repeats every
+    ``step``; the first one is at the gap start or when the quiet period after the previous
+    interval's last alarm ends, whichever is later."""
+    import numpy as np
+    import pandas as pd
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_a")
+        allowed = None
+        out_s, out_n, out_t = [], [], []
+        for s_, nxt, a, b in pdf[["_s", "next", "_a", "_b"]].itertuples(index=False):
+            f = a if allowed is None else max(a, allowed)
+            if f > b:
+                continue
+            times = f + step * np.arange((b - f) // step + 1, dtype="int64")
+            out_s.append(np.full(len(times), s_, dtype="int64"))
+            out_n.append(np.full(len(times), nxt, dtype="int64"))
+            out_t.append(times)
+            allowed = int(times[-1]) + step
+        if not out_t:
+            return pd.DataFrame({"_s": [], "next": [], "_t": []}, dtype="int64")
+        return pd.DataFrame({"_s": np.concatenate(out_s), "next": np.concatenate(out_n),
+                             "_t": np.concatenate(out_t)})
+    return fold
+
+
 def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA_TIMEOUT,
-                   quiet: str = QUIET_PERIOD, tick: str = "1 second") -> DataFrame:
+                   quiet: str = QUIET_PERIOD, tick: str = "1 second", task_limit: int = 200_000) -> DataFrame:
     """AL3: alarms for stretches with no data longer than ``timeout``.
 
     Data arrives in ``tick``-long batches.  After the last batch with data at ``s``,
-    the first empty batch later than ``s + timeout`` raises the alarm, and it
-    repeats once per ``quiet + tick`` while no data comes.  Candidates pass the
-    same suppression fold (this alarm's own 30-minute clock).
-    Returns ``last_data, next_data, alarm_ts, state``.
+    every empty batch later than ``s + timeout`` (and before the next data) is an
+    alarm candidate; candidates pass the 30-minute suppression rule against the last
+    *fired* no-data alarm.  Returns the fired alarms: ``last_data, next_data, alarm_ts``.
+
+    The gap table has one row per data gap longer than ``timeout`` (at most time span /
+    timeout rows).  When a size check shows at most ``task_limit`` gaps they are folded
+    in one task with interval arithmetic; otherwise every empty batch becomes a
+    candidate for the distributed pointer-doubling fold.
     """
     tick_us, lim_us, quiet_us = duration_us(tick), duration_us(timeout), duration_us(quiet)
     active = (data_times.where(F.col(ts).isNotNull())
               .select(F.floor(epoch_us(ts) / F.lit(tick_us)).cast("long").alias("_tick"))
               .select((F.col("_tick") * F.lit(tick_us)).alias("_s")).distinct())
     gaps = next_after(active, "_s", 0, lim_us).where(F.col("next").isNotNull())
-    first = F.col("_s") + F.lit(lim_us + tick_us)
-    gaps = gaps.where(first < F.col("next"))
-    cands = cut(gaps.select("_s", "next", F.explode(F.sequence(first, F.col("next") - F.lit(tick_us),
-                                                               F.lit(quiet_us + tick_us))).alias("_t")))
-    folded = suppress_repeats(cands.select("_t"), "_t", quiet_us)
-    out = cands.join(folded, on="_t")
-    return out.select(from_epoch_us("_s").alias("last_data"), from_epoch_us("next").alias("next_data"),
-                      from_epoch_us("_t").alias("alarm_ts"),
-                      F.when(F.col("fired"), F.lit("fired")).otherwise(F.lit("suppressed")).alias("state"))
+    gaps = cut(gaps.select("_s", "next", (F.col("_s") + F.lit(lim_us + tick_us)).alias("_a"),
+                           (F.col("next") - F.lit(tick_us)).alias("_b"))
+               .where(F.col("_a") <= F.col("_b")))
+    if gaps.count() <= task_limit:
+        fired = (gaps.groupBy(F.lit(0).alias("_g"))
+                 .applyInPandas(_interval_fold(quiet_us + tick_us), "_s long, next long, _t long"))
+    else:
+        cands = gaps.select("_s", "next", F.explode(F.sequence("_a", "_b", F.lit(tick_us))).alias("_t"))
+        folded = suppress_repeats(cands.select("_t"), "_t", quiet_us, task_limit=0)
+        fired = cands.join(folded.where("fired").select("_t"), on="_t")
+    return fired.select(from_epoch_us("_s").alias("last_data"), from_epoch_us("next").alias("next_data"),
+                        from_epoch_us("_t").alias("alarm_ts"))

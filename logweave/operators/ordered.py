@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from logweave.session import cut
 
+
 _NOKEY = "__k"
 
 

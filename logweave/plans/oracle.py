@@ -127,16 +127,24 @@ SELECT ev.window_start, ev.window_end, ev.success, ev.failure, ev.ratio,
   CASE WHEN ev.ratio <= 0.4 THEN 'all clear' WHEN fold.fired THEN 'fired' ELSE 'suppressed' END AS state
 FROM ev LEFT JOIN fold ON fold.t = ev.window_end"""
 
-SQL["no_data_alarms"] = f"""WITH RECURSIVE
-act AS (SELECT DISTINCT date_trunc('second', ts) AS s FROM events),
-g AS (SELECT s, lead(s) OVER (ORDER BY s) AS nxt FROM act),
-c0 AS (SELECT s, nxt, s + INTERVAL 601 SECOND AS first FROM g
-       WHERE nxt IS NOT NULL AND s + INTERVAL 601 SECOND < nxt),
-cands AS (SELECT s, nxt, unnest(generate_series(first, nxt - INTERVAL 1 SECOND, INTERVAL 1801 SECOND)) AS t FROM c0),
-{_fold("cand AS (SELECT t, row_number() OVER (ORDER BY t) AS rn FROM cands)")}
-SELECT cands.s AS last_data, cands.nxt AS next_data, cands.t AS alarm_ts,
-  CASE WHEN fold.fired THEN 'fired' ELSE 'suppressed' END AS state
-FROM cands JOIN fold ON fold.t = cands.t"""
+SQL["no_data_alarms"] = """WITH RECURSIVE
+act AS (SELECT DISTINCT CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS s FROM events),
+g AS (SELECT s, lead(s) OVER (ORDER BY s) AS nx FROM act),
+iv AS (SELECT s, nx, s + 601 AS a, nx - 1 AS b, row_number() OVER (ORDER BY s) AS rn
+       FROM g WHERE nx IS NOT NULL AND s + 601 <= nx - 1),
+walk(rn, e) AS (
+  SELECT CAST(1 AS BIGINT), CAST(-9000000000000000000 AS BIGINT)
+  UNION ALL
+  SELECT w.rn + 1,
+    CASE WHEN greatest(iv.a, w.e) <= iv.b
+         THEN greatest(iv.a, w.e) + ((iv.b - greatest(iv.a, w.e)) // 1801) * 1801 + 1801
+         ELSE w.e END
+  FROM walk w JOIN iv ON iv.rn = w.rn),
+fires AS (SELECT iv.s, iv.nx, unnest(generate_series(greatest(iv.a, w.e), iv.b, 1801)) AS t
+          FROM iv JOIN walk w ON w.rn = iv.rn)
+SELECT make_timestamp(s * 1000000) AS last_data, make_timestamp(nx * 1000000) AS next_data,
+  make_timestamp(t * 1000000) AS alarm_ts
+FROM fires"""
 
 # ----------------------------------------------------------------------------- sessions
 _SESSION_ROWS = f"""sr AS (

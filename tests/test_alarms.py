@@ -36,6 +36,16 @@ def test_quiet_period_from_last_fired(spark):
 def test_no_data_gaps(spark):
     secs = [0, 600, 1201, 5000]   # gaps of 600 s (no alarm), 601 s (no empty batch past 600 s), 3799 s
     df = spark.createDataFrame([(T0 + timedelta(seconds=s),) for s in secs], "ts timestamp_ntz")
-    got = rows(alarms.no_data_alarms(df), "alarm_ts", "state")
+    got = rows(alarms.no_data_alarms(df), "alarm_ts")
     # last data 1201: alarms at +601 and +601+1801 (before the next data at 5000)
-    assert got == [(T0 + timedelta(seconds=1802), "fired"), (T0 + timedelta(seconds=3603), "fired")]
+    assert got == [(T0 + timedelta(seconds=1802),), (T0 + timedelta(seconds=3603),)]
+
+
+def test_no_data_quiet_period_spans_gaps(spark):
+    # gap 1: data at 0 and 2500 -> alarms at 601 and 2402; gap 2 starts (data at 2600) at 3201,
+    # but 2402 + 1801 = 4203 is the first allowed time, inside gap 2 (next data 6000).
+    secs = [0, 2500, 2600, 6000]
+    df = spark.createDataFrame([(T0 + timedelta(seconds=s),) for s in secs], "ts timestamp_ntz")
+    exp = [(T0 + timedelta(seconds=t),) for t in (601, 2402, 4203)]
+    assert rows(alarms.no_data_alarms(df), "alarm_ts") == exp
+    assert rows(alarms.no_data_alarms(df, task_limit=0), "alarm_ts") == exp   # distributed fold
