@@ -191,3 +191,17 @@ def test_archive_batches_order(spark):
     open(f"{d}/Tweets_1/part-00001", "w").write("")          # empty file: no batch
     got = rows(streams.archive_batches(spark, d), "batch", "value")
     assert got == [(0, "a"), (0, "b"), (1, "c")]
+
+
+def test_run_helper_requires_checkpoint_and_runs(spark):
+    import pytest
+
+    from logweave.streaming import run
+    d = _dir()
+    spark.range(3).write.parquet(d + "/in")
+    src = spark.readStream.schema("id long").parquet(d + "/in")
+    with pytest.raises(ValueError):
+        run.start(src, "", fmt="noop")
+    q = run.start(src, d + "/ck", fmt="parquet", path=d + "/out", available_now=True)
+    q.awaitTermination()
+    assert rows(spark.read.parquet(d + "/out")) == [(0,), (1,), (2,)]
