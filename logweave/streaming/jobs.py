@@ -75,33 +75,26 @@ def top_k_each_batch(key: str, k: int, sink: Callable[[DataFrame, int], None]) -
 
 
 # ----------------------------------------------------------------------------- sessions
-def closed_sessions_stream(rows: DataFrame, key: str = "ip", ts: str = "ts", url: str = "url",
-                           status: str = "status", gap: str = SESSION_GAP, watermark: str = "1 hour",
-                           limit: int = CLICKSTREAM_LIMIT) -> DataFrame:
-    """ST1 on a stream: ``session_window`` sessions, emitted in append mode once closed.
-
-    Note ``session_window`` joins rows exactly ``gap`` apart, like the batch form."""
-    e = with_event_time(rows, ts, watermark)
-    ok = is_success_code(F.col(status))
-    s = e.groupBy(key, F.session_window("event_time", gap).alias("s")).agg(
-        F.count(F.lit(1)).alias("sessionLength"),
-        F.slice(F.transform(F.array_sort(F.collect_list(F.struct("event_time", F.col(url).alias("u")))),
-                            lambda x: x["u"]), 1, limit).alias("clickstream"),
-        F.count_if(ok).alias("successCodes"), F.count_if(~ok).alias("errorCodes"))
-    return s.select(key, F.col("s.start").cast("timestamp_ntz").alias("session_start"), "sessionLength",
-                    "clickstream", "successCodes", "errorCodes")
-
-
 SESSION_OUT = ("event_id long, ip string, ts timestamp, session_start timestamp, sessionLength long, "
                "clickstream array<string>, successCodes long, errorCodes long")
 SESSION_STATE = "session_start timestamp, last_ts timestamp, n long, clicks string, ok long, err long"
 
 
-def _session_update(gap_us: int, limit: int):
+def _session_update(gap_us: int, limit: int, closed_only: bool = False):
+    """Keyed-state function: per ip, the open session (start, last time, length, first
+    ``limit`` urls, success and error counts) -- bounded state whatever the session length.
+
+    ``closed_only=False`` emits the updated session after every row (ST2);
+    ``closed_only=True`` emits each session once, when it closes: when a later row is
+    more than ``gap`` after it, or when the event-time timeout fires (ST1)."""
     gap = pd.Timedelta(microseconds=gap_us)
 
     def fn(key, pdfs, state: GroupState):
         if state.hasTimedOut:
+            if closed_only and state.exists:
+                start, last, n, clicks, okc, errc = state.get
+                yield pd.DataFrame([(key[0], pd.Timestamp(start), pd.Timestamp(last), n, json.loads(clicks),
+                                     okc, errc)], columns=CLOSED_COLUMNS)
             state.remove()
             return
         if state.exists:
@@ -111,11 +104,13 @@ def _session_update(gap_us: int, limit: int):
             start = last = None
             n = okc = errc = 0
             clicks = []
-        out = []
+        out, closed = [], []
         for pdf in pdfs:
             for r in pdf.sort_values(["ts", "seq"]).itertuples(index=False):
                 t = pd.Timestamp(r.ts)
                 if last is None or t > pd.Timestamp(last) + gap:
+                    if last is not None:
+                        closed.append((key[0], pd.Timestamp(start), pd.Timestamp(last), n, list(clicks), okc, errc))
                     start, n, okc, errc, clicks = t, 0, 0, 0, []
                 n += 1
                 if len(clicks) < limit:
@@ -128,12 +123,34 @@ def _session_update(gap_us: int, limit: int):
         if last is not None:
             state.update((pd.Timestamp(start), pd.Timestamp(last), n, json.dumps(clicks), okc, errc))
             state.setTimeoutTimestamp(int(pd.Timestamp(last).timestamp() * 1000) + gap_us // 1000)
-        if out:
+        if closed_only:
+            if closed:
+                yield pd.DataFrame(closed, columns=CLOSED_COLUMNS)
+        elif out:
             yield pd.DataFrame(out, columns=["event_id", "ip", "ts", "session_start", "sessionLength", "clickstream",
                                              "successCodes", "errorCodes"])
     return fn
 
 
+CLOSED_COLUMNS = ["ip", "session_start", "session_end", "sessionLength", "clickstream", "successCodes", "errorCodes"]
+CLOSED_OUT = ("ip string, session_start timestamp, session_end timestamp, sessionLength long, "
+              "clickstream array<string>, successCodes long, errorCodes long")
+
+
+def closed_sessions_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id", gap: str = SESSION_GAP,
+                           watermark: str = "1 hour", limit: int = CLICKSTREAM_LIMIT) -> DataFrame:
+    """ST1 + T4 on a stream: one row per session once it has closed (append mode).
+
+    Keyed state holds only the open session's counters and first ``limit`` urls, so a
+    session of any length costs the same state.  Input columns: ip, url, status, ``ts``,
+    ``seq``."""
+    e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq"))
+         .withWatermark("ts", watermark))
+    return e.groupBy("ip").applyInPandasWithState(
+        _session_update(duration_us(gap), limit, closed_only=True), CLOSED_OUT, SESSION_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
 def session_updates_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id", gap: str = SESSION_GAP,
                            watermark: str = "1 hour", limit: int = CLICKSTREAM_LIMIT) -> DataFrame:
     """ST2: per-ip keyed state, one output row per input row with the updated session;
