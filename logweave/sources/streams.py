@@ -8,7 +8,7 @@ when the connector jar is on the cluster's classpath.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,9 +61,8 @@ def archive_batches(spark: SparkSession, root: str, dir_glob: str = "Tweets_*",
     number that follows (directory, file) name order; empty files give no batch."""
     df = (spark.read.option("pathGlobFilter", file_glob).text(f"{root.rstrip('/')}/{dir_glob}")
           .select("value", F.col("_metadata.file_path").alias("file")))
-    files = df.select("file").distinct()
-    # one row per archived file: the ordered numbering runs over the file list only
-    files = files.withColumn("batch", F.row_number().over(Window.orderBy("file")) - 1)
+    from logweave.operators.ordered import global_index
+    files = global_index(df.select("file").distinct(), ["file"], "batch").withColumn("batch", F.col("batch").cast("int"))
     return df.join(files, "file")
 
 
