@@ -67,6 +67,11 @@ def kmeans_predict(df: DataFrame, model: KMeansModel, features: str = "features"
     return df.withColumn(out, closest_center(F.col(features), model.centers))
 
 
+def label_cluster_counts(predicted: DataFrame, label: str = "label", cluster: str = "cluster") -> DataFrame:
+    """ML2 check: how the known labels spread over the predicted clusters."""
+    return predicted.groupBy(label, cluster).agg(F.count(F.lit(1)).alias("count"))
+
+
 def kmeans_update(model: KMeansModel, batch: DataFrame, features: str = "features") -> KMeansModel:
     """ML1: one streaming k-means step over ``batch``.
 
@@ -168,3 +173,9 @@ def linreg_update(model: LinearModel, batch: DataFrame, label: str = "label", fe
 def linreg_predict(df: DataFrame, model: LinearModel, feature: str = "x", out: str = "prediction") -> DataFrame:
     """ML4: ``intercept + weight * x`` as a column; other columns (the known label) carried."""
     return df.withColumn(out, F.lit(model.intercept) + F.lit(model.weight) * F.col(feature))
+
+
+def rmse(predicted: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """ML4 check: root mean squared error of the predictions (one aggregate)."""
+    d = F.col(prediction) - F.col(label)
+    return predicted.agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.count(F.lit(1)).alias("n"))

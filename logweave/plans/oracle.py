@@ -279,6 +279,9 @@ a AS (SELECT cluster, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1
 m AS (SELECT cluster, i, avg(CAST(x AS DOUBLE)) AS v, count(*) AS n FROM a GROUP BY cluster, i)
 SELECT cluster, CAST(max(n) AS DOUBLE) AS weight, list(round(v, 6) ORDER BY i) AS center FROM m GROUP BY cluster"""
 
+SQL["kmeans_label_counts"] = f"""WITH {_KMEANS_ASSIGN}
+SELECT label, cluster, count(*) AS "count" FROM asg GROUP BY ALL"""
+
 _REGRESSION = """z AS (
   SELECT l_orderkey, l_linenumber,
     (l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER () AS x,
@@ -303,6 +306,10 @@ SQL["linreg_predict"] = f"""WITH RECURSIVE {_REGRESSION}
 SELECT l_orderkey, l_linenumber, round(y, 6) AS label, round(model.b + model.w * x, 6) AS prediction
 FROM z, model"""
 
+SQL["linreg_rmse"] = f"""WITH RECURSIVE {_REGRESSION}
+SELECT round(sqrt(avg((model.b + model.w * x - y) * (model.b + model.w * x - y))), 6) AS rmse, count(*) AS n
+FROM z, model"""
+
 # ----------------------------------------------------------------------------- stream forms
 SQL["stream_status_hourly"] = SQL["status_hourly"]
 

@@ -229,6 +229,12 @@ def q_kmeans_step(spark, sf_dir):
     return ml.kmeans_model_frame(spark, ml.kmeans_update(model, emb, "embedding"))
 
 
+def q_kmeans_label_counts(spark, sf_dir):
+    """ML2: (known label, predicted cluster) counts for the initial centers."""
+    emb, model = _kmeans_model(spark, sf_dir)
+    return ml.label_cluster_counts(ml.kmeans_predict(emb.select("label", "embedding"), model, "embedding"))
+
+
 def _regression_frame(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     z = ml.zscore(li, ["l_quantity", "l_extendedprice"])
@@ -252,6 +258,13 @@ def q_linreg_predict(spark, sf_dir):
                                              F.round("prediction", 6).alias("prediction"))
 
 
+def q_linreg_rmse(spark, sf_dir):
+    """ML4: RMSE of the trained model's predictions on the z-scored data."""
+    data = _regression_frame(spark, sf_dir)
+    m = ml.linreg_update(ml.LinearModel(), data)
+    return ml.rmse(ml.linreg_predict(data, m)).select(F.round("rmse", 6).alias("rmse"), "n")
+
+
 QUERIES = {
     "log_entries": q_log_entries,
     "status_hourly": q_status_hourly,
@@ -281,6 +294,8 @@ QUERIES = {
     "kmeans_step": q_kmeans_step,
     "linreg_fit": q_linreg_fit,
     "linreg_predict": q_linreg_predict,
+    "kmeans_label_counts": q_kmeans_label_counts,
+    "linreg_rmse": q_linreg_rmse,
 }
 
 from logweave.plans.stream_queries import STREAM_QUERIES  # noqa: E402
