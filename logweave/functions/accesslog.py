@@ -41,11 +41,21 @@ _MARK = "\u0000LW" + _SEP
 _REWRITE = _MARK + _SEP.join(f"${i}" for i in range(1, 10))
 
 
+def log_rewrite(line="value") -> Column:
+    """The single regex pass: a matching line becomes MARK + groups joined by SEP."""
+    return F.regexp_replace(_c(line), _ANCHORED, _REWRITE)
+
+
+def fields_of_rewrite(rewritten) -> Column:
+    """``log_rewrite`` output -> ``array<string>`` of the nine groups, NULL for a bad line."""
+    out = _c(rewritten)
+    return F.when(out.startswith(_MARK), F.split(F.substring(out, len(_MARK) + 1, 1 << 30), _SEP))
+
+
 def log_fields(line="value") -> Column:
     """All nine groups of a line as ``array<string>`` (index 1 = ip ... 9 = agent), or NULL
-    when the line does not match.  The anchored pattern runs once per row."""
-    out = F.regexp_replace(_c(line), _ANCHORED, _REWRITE)
-    return F.when(out.startswith(_MARK), F.split(F.substring(out, len(_MARK) + 1, 1 << 30), _SEP))
+    when the line does not match."""
+    return fields_of_rewrite(log_rewrite(line))
 
 
 def field(fields: Column, name: str) -> Column:

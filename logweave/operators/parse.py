@@ -4,8 +4,9 @@ Each takes a frame with a ``value`` string column (batch or streaming) and retur
 a projected frame; extra columns listed in ``keep`` (e.g. an arrival time or an id)
 pass through.  All are narrow: no shuffle, whole-stage codegen.
 
-The log pattern runs once per line (``accesslog.log_fields`` emits all nine
-groups from one regex pass); every field is then a cheap array lookup.  Where
+The log pattern runs once per line (``accesslog.log_rewrite`` emits all nine
+groups from one regex pass, in a projection of its own); every field is then a
+cheap array lookup.  Where
 corrupt lines are dropped (F1), the drop is a generator over the parsed record,
 so the optimizer cannot push a second copy of the regex into a filter.
 """
@@ -24,10 +25,13 @@ _F = "_fields"
 
 
 def _fields(lines: DataFrame, keep: Sequence[str], value: str, drop_bad: bool) -> DataFrame:
-    f = al.log_fields(value)
+    # The rewrite gets its own projection: the optimizer keeps a non-trivial expression
+    # that is used twice below in place rather than copying it, so the regex runs once.
+    raw = lines.select(*keep, al.log_rewrite(value).alias("_raw"))
+    f = al.fields_of_rewrite("_raw")
     if drop_bad:
-        return lines.select(*keep, F.explode(F.filter(F.array(f), lambda x: x.isNotNull())).alias(_F))
-    return lines.select(*keep, f.alias(_F))
+        return raw.select(*keep, F.explode(F.filter(F.array(f), lambda x: x.isNotNull())).alias(_F))
+    return raw.select(*keep, f.alias(_F))
 
 
 def _g(name: str) -> Column:

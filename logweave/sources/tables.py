@@ -8,15 +8,27 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+def _bytes(v: str) -> int:
+    """'134217728b', '128m', '1g' -> bytes."""
+    v = str(v).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(v[-1:], 1)
+    return int(float(v[:-1] if v[-1:] in "kmgt" else v) * mult)
+
+
+def spread(df: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
+    """Round-robin a small scan that yields fewer partitions than the cluster has cores.
 
     A small file with one row group is read by one task, which would leave the
-    per-row parsing and tokenizing on one core.  On large inputs the scan already
-    has more splits than cores and this is a no-op (no extra shuffle).
+    per-row parsing and tokenizing on one core.  Only scans of at most ``max_bytes``
+    (split count x ``spark.sql.files.maxPartitionBytes``) are spread, so the extra
+    shuffle is cheap; large inputs already have more splits than cores, and
+    mid-size ones are left as they are rather than shuffled whole.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return df.repartition(target) if n < target and n * split <= max_bytes else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
