@@ -55,6 +55,36 @@ def q_stream_session_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sessionLength", "clickstream", "successCodes", "errorCodes")
 
 
+def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6 P3 W2 T1 on a stream: referer counts in 300 s windows sliding by 60 s as two
+    chained streaming aggregates (append mode, watermark), top 5 per closed window ranked in
+    ``foreachBatch``.  Windows still open when the input ends are not emitted (rows-only)."""
+    from logweave.operators import windows
+
+    base = _base(spark, "stream_top_referrers")
+    (access_log_lines(table(spark, sf_dir, "events"), with_ts=True)
+     .select(F.concat_ws("\t", F.date_format("arrival_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "value").alias("v"))
+     .write.text(base + "/in"))
+    # Files land unordered in time, so they are taken in one trigger: rows later than the
+    # watermark across triggers would be dropped, as in any event-time stream.
+    raw = streams.text_dir_stream(spark, base + "/in")
+    lines = raw.select(F.to_timestamp_ntz(F.substring_index("value", "\t", 1)).alias("arrival_ts"),
+                       F.expr("substring(value, instr(value, '\t') + 1)").alias("value"))
+    ref = parse.field_or_error(lines, "referer", keep=["arrival_ts"])
+    counts = jobs.sliding_counts_stream(ref, "referer", "arrival_ts", "300 seconds", "60 seconds",
+                                        watermark="10 minutes")
+
+    def rank(df, batch_id):
+        windows.top_k_per_window(df, "referer", 5).write.mode("append").parquet(base + "/out")
+
+    q = (counts.writeStream.outputMode("append").foreachBatch(rank)
+         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "referer", "count", "rank")
+
+
 def q_archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3 + SRC7 + A5 A6: conversation texts saved one folder per batch (turn), replayed in
     (folder, file) order with running count, characters, integer average and longest.
@@ -72,5 +102,6 @@ def q_archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_status_hourly": q_stream_status_hourly,
     "stream_session_updates": q_stream_session_updates,
+    "stream_top_referrers": q_stream_top_referrers,
     "archive_replay": q_archive_replay,
 }
