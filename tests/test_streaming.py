@@ -222,3 +222,20 @@ def test_closed_sessions_stream_bounded_state(spark):
     # sessions closed before the end of the input equal the batch ones; the last open ones may not be out yet
     assert got and all(g in batch for g in got)
     assert ("a", T0, 2, ["/1", "/2"], 1, 1) in got
+
+
+def test_archive_stream_running_lengths(spark):
+    d = _dir()
+    texts = [["ab", "cde"], ["x"], ["hello world"]]
+    for i, batch in enumerate(texts):          # written one after another: file order = time order
+        os.makedirs(f"{d}/Tweets_{i}")
+        open(f"{d}/Tweets_{i}/part-00000", "w").write("\n".join(batch) + "\n")
+        time.sleep(0.05)
+    totals = jobs.length_totals_stream(streams.archive_stream(spark, d).withColumnRenamed("value", "text"))
+    seen = []
+    q = (totals.writeStream.outputMode("complete")
+         .foreachBatch(lambda df, i: seen.append(tuple(df.first())))
+         .option("checkpointLocation", d + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    # (total_rows, total_chars, max_length, avg_length) after each one-file batch
+    assert seen == [(2, 5, 3, 2), (3, 6, 3, 2), (4, 17, 11, 4)]
