@@ -49,7 +49,20 @@ class KMeansModel:
         return cls(np.array([[float(x) for x in r[0]] for r in rows]), np.full(len(rows), float(weight)), decay)
 
 
-def squared_distance(features: Column, center: np.ndarray) -> Column:
+_INLINE_TERMS = 4096   # up to k * dim terms the distances are plain arithmetic (codegen)
+
+
+def squared_distance(features: Column, center: np.ndarray, inline: bool = True) -> Column:
+    """Squared Euclidean distance to a literal center.
+
+    Inline form: sum of ``(x[j] - c_j)^2`` over element lookups, compiled with the stage;
+    otherwise a ``zip_with`` + ``aggregate`` over the array (same value, interpreted)."""
+    if inline:
+        terms = [(features[j].cast("double") - F.lit(float(x))) for j, x in enumerate(center)]
+        total = terms[0] * terms[0]
+        for d in terms[1:]:
+            total = total + d * d
+        return total
     c = F.array(*[F.lit(float(x)) for x in center])
     diffs = F.zip_with(features, c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
     return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
@@ -57,7 +70,8 @@ def squared_distance(features: Column, center: np.ndarray) -> Column:
 
 def closest_center(features: Column, centers: np.ndarray) -> Column:
     """Index of the nearest center (ties: lowest index)."""
-    d = F.array(*[F.struct(squared_distance(features, c).alias("d"), F.lit(i).alias("i"))
+    inline = centers.size <= _INLINE_TERMS
+    d = F.array(*[F.struct(squared_distance(features, c, inline).alias("d"), F.lit(i).alias("i"))
                   for i, c in enumerate(centers)])
     return F.array_min(d)["i"]
 

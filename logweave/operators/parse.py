@@ -30,7 +30,7 @@ def _fields(lines: DataFrame, keep: Sequence[str], value: str, drop_bad: bool) -
     raw = lines.select(*keep, al.log_rewrite(value).alias("_raw"))
     f = al.fields_of_rewrite("_raw")
     if drop_bad:
-        return raw.select(*keep, F.explode(F.filter(F.array(f), lambda x: x.isNotNull())).alias(_F))
+        return raw.select(*keep, F.explode(F.when(f.isNotNull(), F.array(f))).alias(_F))
     return raw.select(*keep, f.alias(_F))
 
 

@@ -43,8 +43,11 @@ def first_entries(counts: DataFrame, n: int = 20) -> DataFrame:
 
 
 def clean_word_rows(texts: DataFrame, text: str = "text", keep=()) -> DataFrame:
-    """P12 + F2 + F3: cleaned words longer than two characters, stop words removed."""
-    return texts.select(*keep, F.explode(tx.clean_words(text)).alias("word"))
+    """P12 + F2 + F3: cleaned words longer than two characters, stop words removed.
+
+    The filters run on the exploded words (plain predicates inside whole-stage codegen)."""
+    w = texts.select(*keep, F.explode(F.split(tx.clean_text(text), " ")).alias("word"))
+    return w.where((F.length("word") > tx.MIN_WORD_LENGTH_EXCLUSIVE) & ~F.col("word").isin(*tx.STOP_WORDS))
 
 
 def top_words(word_rows: DataFrame, group: str, k: int = TOP_WORDS) -> DataFrame:

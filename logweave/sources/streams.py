@@ -103,7 +103,7 @@ def parse_labeled_point(value) -> F.Column:
     vec_c = F.trim(F.substring(v, F.length(lab_c) + 2, 1 << 30))
     feats = F.when(paren, F.split(vec_p, r"\s*,\s*")).otherwise(F.split(vec_c, r"\s+"))
     return F.struct(F.when(paren, lab_p).otherwise(lab_c).try_cast("double").alias("label"),
-                    F.transform(feats, lambda x: x.try_cast("double")).alias("features"))
+                    feats.try_cast("array<double>").alias("features"))
 
 
 # ---------------------------------------------------------------- delimited tables (SRC10)
