@@ -16,21 +16,29 @@ def _path(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def _consume(df: DataFrame) -> DataFrame:
+    """Compute the whole batch once (cached) before showing a prefix of it: a stateful
+    upstream must run, and commit its state, on every partition of the batch."""
+    df.persist()
+    df.count()
+    return df
+
+
 def print_rows(n: int = 10) -> Callable[[DataFrame, int], None]:
     """SNK1: show the first ``n`` rows of every batch (``print()`` defaults to 10)."""
     def fn(df: DataFrame, batch_id: int) -> None:
         print(f"-------- batch {batch_id} --------")
-        df.show(n, truncate=False)
+        _consume(df).show(n, truncate=False)
+        df.unpersist()
     return fn
 
 
 def raw_and_counts_json(base: str, key: str = "agent") -> Callable[[DataFrame, int], None]:
     """SNK2 + A4 + F4: non-empty batch -> raw rows and per-``key`` counts as JSON."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        df.persist()
         try:
+            if _consume(df).isEmpty():
+                return
             df.write.mode("overwrite").json(_path(base, f"requests_{batch_id}"))
             (df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
              .write.mode("overwrite").json(_path(base, f"{key}_counts_{batch_id}")))
@@ -42,10 +50,13 @@ def raw_and_counts_json(base: str, key: str = "agent") -> Callable[[DataFrame, i
 def text_per_batch(base: str, prefix: str = "Tweets_") -> Callable[[DataFrame, int], None]:
     """SNK3 + F4: one text file per non-empty batch in ``<base>/<prefix><batch_id>``."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        df.select(F.col(df.columns[0]).cast("string")).coalesce(1).write.mode("overwrite").text(
-            _path(base, f"{prefix}{batch_id}"))
+        try:
+            if _consume(df).isEmpty():
+                return
+            df.select(F.col(df.columns[0]).cast("string")).coalesce(1).write.mode("overwrite").text(
+                _path(base, f"{prefix}{batch_id}"))
+        finally:
+            df.unpersist()
     return fn
 
 
@@ -79,10 +90,11 @@ def sql_per_batch(view: str, sql: str, show: int = 20,
                   collect_to: list | None = None) -> Callable[[DataFrame, int], None]:
     """SNK6: register the batch as a temp view and run SQL on it."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        df.createOrReplaceTempView(view)
+        _consume(df).createOrReplaceTempView(view)
         res = df.sparkSession.sql(sql)
         if collect_to is not None:
             collect_to.append((batch_id, res))
         else:
             res.show(show, truncate=False)
+            df.unpersist()
     return fn
