@@ -295,11 +295,26 @@ class StreamingKMeans:
     def __init__(self, spark, model: ml.KMeansModel, features: str = "features", name: str = "kmeans"):
         self.spark, self.model, self.features = spark, model, features
         self.dir = scratch_path(spark, name)
+        self._resumed = False
+
+    def _resume(self, batch_id: int) -> None:
+        """After a restart the stream continues at ``batch_id``: reload the model it left."""
+        self._resumed = True
+        st = load_state(self.spark, f"{self.dir}/v={batch_id - 1}") if batch_id > 0 else None
+        if st:
+            import numpy as np
+            self.model = ml.KMeansModel(np.array(st["centers"]), np.array(st["weights"]), self.model.decay)
 
     def train(self, df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        self.model = ml.kmeans_update(self.model, df, self.features)
+        if not self._resumed:
+            self._resume(batch_id)
+        df.persist()
+        try:
+            if df.count() == 0:          # whole batch computed once, reused by the update
+                return
+            self.model = ml.kmeans_update(self.model, df, self.features)
+        finally:
+            df.unpersist()
         save_state(self.spark, f"{self.dir}/v={batch_id}",
                    {"centers": self.model.centers.tolist(), "weights": self.model.weights.tolist()})
 
@@ -314,11 +329,21 @@ class StreamingRegression:
         self.model = ml.LinearModel()
         self.label, self.feature = label, feature
         self.dir = scratch_path(spark, name)
+        self._resumed = False
 
     def train(self, df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        self.model = ml.linreg_update(self.model, df, self.label, self.feature)
+        if not self._resumed:
+            self._resumed = True
+            st = load_state(df.sparkSession, f"{self.dir}/v={batch_id - 1}") if batch_id > 0 else None
+            if st:
+                self.model = ml.LinearModel(st["weight"], st["intercept"])
+        df.persist()
+        try:
+            if df.count() == 0:
+                return
+            self.model = ml.linreg_update(self.model, df, self.label, self.feature)
+        finally:
+            df.unpersist()
         save_state(df.sparkSession, f"{self.dir}/v={batch_id}",
                    {"weight": self.model.weight, "intercept": self.model.intercept})
 

@@ -239,3 +239,15 @@ def test_archive_stream_running_lengths(spark):
     q.awaitTermination()
     # (total_rows, total_chars, max_length, avg_length) after each one-file batch
     assert seen == [(2, 5, 3, 2), (3, 6, 3, 2), (4, 17, 11, 4)]
+
+
+def test_stream_models_resume_after_restart(spark):
+    import numpy as np
+
+    from logweave.operators import ml
+    name = "km-resume-" + str(time.time())
+    km = jobs.StreamingKMeans(spark, ml.KMeansModel(np.array([[0.0, 0.0], [10.0, 10.0]]), np.zeros(2)), name=name)
+    km.train(spark.createDataFrame([([0.0, 1.0],), ([10.0, 11.0],)], "features array<double>"), 0)
+    fresh = jobs.StreamingKMeans(spark, ml.KMeansModel(np.zeros((2, 2)), np.zeros(2)), name=name)
+    fresh.train(spark.createDataFrame([], "features array<double>"), 1)      # restarted at batch 1
+    assert np.allclose(fresh.model.centers, km.model.centers)
