@@ -52,33 +52,43 @@ class KMeansModel:
 _INLINE_TERMS = 4096   # up to k * dim terms the distances are plain arithmetic (codegen)
 
 
-def squared_distance(features: Column, center: np.ndarray, inline: bool = True) -> Column:
-    """Squared Euclidean distance to a literal center.
+def _double_literal(x: float) -> str:
+    return f"CAST('{float(x)!r}' AS DOUBLE)" if not np.isfinite(x) else f"({float(x)!r}D)"
 
-    Inline form: sum of ``(x[j] - c_j)^2`` over element lookups, compiled with the stage;
-    otherwise a ``zip_with`` + ``aggregate`` over the array (same value, interpreted)."""
+
+def squared_distance(features: str, center: np.ndarray, inline: bool = True) -> Column:
+    """Squared Euclidean distance of array column ``features`` to a literal center.
+
+    Inline form: the sum of ``(x[j] - c_j) * (x[j] - c_j)`` over element lookups, written
+    as one SQL expression (one parser call instead of thousands of Column objects) and
+    compiled with the stage; otherwise ``zip_with`` + ``aggregate`` (same value, interpreted)."""
+    col = "`" + features.replace("`", "``") + "`"
     if inline:
-        terms = [(features[j].cast("double") - F.lit(float(x))) for j, x in enumerate(center)]
-        total = terms[0] * terms[0]
-        for d in terms[1:]:
-            total = total + d * d
-        return total
+        terms = []
+        for j, x in enumerate(center):
+            d = f"(CAST({col}[{j}] AS DOUBLE) - {_double_literal(x)})"
+            terms.append(f"{d} * {d}")
+        return F.expr(" + ".join(terms))
     c = F.array(*[F.lit(float(x)) for x in center])
-    diffs = F.zip_with(features, c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
+    diffs = F.zip_with(F.col(features), c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
     return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def closest_center(features: Column, centers: np.ndarray) -> Column:
-    """Index of the nearest center (ties: lowest index)."""
-    inline = centers.size <= _INLINE_TERMS
-    d = F.array(*[F.struct(squared_distance(features, c, inline).alias("d"), F.lit(i).alias("i"))
-                  for i, c in enumerate(centers)])
-    return F.array_min(d)["i"]
-
-
 def kmeans_predict(df: DataFrame, model: KMeansModel, features: str = "features", out: str = "cluster") -> DataFrame:
-    """ML2: add the nearest cluster id (other columns, e.g. a known label, are carried)."""
-    return df.withColumn(out, closest_center(F.col(features), model.centers))
+    """ML2: add the nearest cluster id (ties: lowest id); other columns, e.g. a known label,
+    are carried.
+
+    The k distances are columns of one projection and the argmin (``least`` + ``CASE``)
+    reads them in the next, so each distance is computed once inside compiled code."""
+    centers = model.centers
+    inline = centers.size <= _INLINE_TERMS
+    names = [f"_d{i}" for i in range(len(centers))]
+    dist = df.select("*", *[squared_distance(features, c, inline).alias(n) for n, c in zip(names, centers)])
+    m = F.least(*[F.col(n) for n in names])
+    arg = None
+    for i, n in enumerate(names):
+        arg = F.when(F.col(n) == m, F.lit(i)) if arg is None else arg.when(F.col(n) == m, F.lit(i))
+    return dist.withColumn(out, arg).drop(*names)
 
 
 def label_cluster_counts(predicted: DataFrame, label: str = "label", cluster: str = "cluster") -> DataFrame:
