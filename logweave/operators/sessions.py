@@ -62,8 +62,9 @@ def _prepare(rows: DataFrame, key: str, ts: str, status: str, gap: str, chunk: s
             .withColumn("_ok", is_success_code(F.col(status)).cast("long")))
 
 
-def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
-    """Per (key, chunk): session_start, chunk totals and the session's totals before the chunk."""
+def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str, with_before: bool = True) -> DataFrame:
+    """Per (key, chunk): session_start, chunk totals and (``with_before``) the session's
+    totals in its earlier chunks."""
     gap_us = duration_us(gap)
     summ = prepared.groupBy(_K, "_chunk").agg(
         F.first(key).alias(key), F.min(ts).alias("_first"), F.max(ts).alias("_last"),
@@ -74,10 +75,12 @@ def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str) -> DataFram
     summ = summ.withColumn("_start_here", F.when(starts, F.col("_first")))
     summ = summ.withColumn("session_start", F.last("_start_here", ignorenulls=True).over(
         by_key.rowsBetween(Window.unboundedPreceding, 0)))
+    summ = summ.drop("_start_here")
+    if not with_before:
+        return summ
     before = Window.partitionBy(_K, "session_start").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     return (summ.withColumn("_n_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-            .withColumn("_s_before", F.coalesce(F.sum("_s").over(before), F.lit(0)))
-            .drop("_start_here"))
+            .withColumn("_s_before", F.coalesce(F.sum("_s").over(before), F.lit(0))))
 
 
 def _first_urls(prepared: DataFrame, chunks: DataFrame, ts: str, order: Sequence[str], url: str,
@@ -97,7 +100,7 @@ def sessions(rows: DataFrame, key: str = "ip", ts: str = "ts", order: Sequence[s
              limit: int = CLICKSTREAM_LIMIT, chunk: str | None = "15 minutes") -> DataFrame:
     """ST1 + T4: one row per session with length, first ``limit`` urls, success/error counts."""
     p = _prepare(rows, key, ts, status, gap, chunk)
-    chunks = chunk_sessions(p, key, ts, gap)
+    chunks = chunk_sessions(p, key, ts, gap, with_before=False)
     agg = chunks.groupBy(_K, "session_start").agg(
         F.first(key).alias(key), F.max("_last").alias("session_end"),
         F.sum("_n").alias("sessionLength"), F.sum("_s").alias("successCodes"))
@@ -140,5 +143,5 @@ def assign_sessions(rows: DataFrame, key: str = "ip", ts: str = "ts", gap: str =
                     chunk: str | None = "15 minutes", status: str = "status") -> DataFrame:
     """Each row with its ``session_start``."""
     p = _prepare(rows, key, ts, status, gap, chunk)
-    chunks = chunk_sessions(p, key, ts, gap).select(_K, "_chunk", "session_start")
+    chunks = chunk_sessions(p, key, ts, gap, with_before=False).select(_K, "_chunk", "session_start")
     return p.join(chunks, on=[_K, "_chunk"]).drop(_K, "_chunk", "_ok")
