@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from logweave.functions.accesslog import is_success_code
 from logweave.functions.timecols import duration_us
 from logweave.operators import alarms as al
 from logweave.operators import ml, parse, windows
