@@ -6,7 +6,9 @@ Sliding windows are computed in two stages so the expansion factor
 1. ``groupBy(key, bucket)`` where ``bucket = window(ts, slide)`` (partial + final
    hash aggregate, so a hot key is combined map-side before the shuffle);
 2. each bucket is placed in the ``length / slide`` windows that contain it
-   (``window(bucket_time, length, slide)``) and the bucket counts are summed.
+   (``explode(sequence(...))`` over epoch microseconds, the same epoch-aligned windows
+   as ``window(ts, length, slide)``, whose ``Expand`` of hundreds of projections would
+   not compile for 300 s / 1 s windows) and the bucket counts are summed.
 
 The reference's DStream windows use arrival time; here the caller chooses the
 time column (event time, or an ingest-time column for arrival-time semantics).
@@ -16,6 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from logweave.functions.timecols import epoch_us, from_epoch_us
 
 
 def _dur_seconds(d: str) -> int:
@@ -45,12 +50,26 @@ def windowed_counts(df: DataFrame, key: str | Column, ts: str = "ts", length: st
     else:
         buckets = (base.groupBy(F.window(ts, slide).alias("b"), keycol.alias(keyname))
                    .agg(F.count(F.lit(1)).alias("_n")))
-        out = (buckets.groupBy(F.window(F.col("b.start"), length, slide).alias("w"), F.col(keyname))
-               .agg(F.sum("_n").alias(count_col)))
+        expanded = _windows_of_buckets(buckets, df.schema[ts].dataType, L, S, [keyname, "_n"])
+        out = expanded.groupBy("w", keyname).agg(F.sum("_n").alias(count_col))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       keyname, count_col)
 
 
+def _windows_of_buckets(buckets: DataFrame, ts_type, L: int, S: int, cols) -> DataFrame:
+    """Each slide bucket ``b`` (struct start/end) -> one row per window containing it, as
+    ``w`` struct(start, end) of the input's timestamp type."""
+    ntz = isinstance(ts_type, TimestampNTZType)
+    to_us = epoch_us if ntz else F.unix_micros
+    from_us = from_epoch_us if ntz else F.timestamp_micros
+    L_us, S_us = L * 1_000_000, S * 1_000_000
+    b = to_us(F.col("b.start"))
+    starts = F.explode(F.sequence(b - F.lit(L_us - S_us), b, F.lit(S_us))).alias("_ws")
+    return buckets.select(starts, *cols).select(
+        F.struct(from_us(F.col("_ws")).alias("start"), from_us(F.col("_ws") + F.lit(L_us)).alias("end")).alias("w"),
+        *cols)
+
+
 def top_k_per_window(counts: DataFrame, key: str, k: int = 5, count_col: str = "count",
                      window_col: str = "window_start") -> DataFrame:
     """The ``k`` highest counts in each window, ties broken by key ascending.
@@ -70,8 +89,12 @@ def windowed_sums(df: DataFrame, sums: dict, ts: str = "ts", length: str = "300
     base = df.where(F.col(ts).isNotNull())
     buckets = base.groupBy(F.window(ts, slide).alias("b")).agg(
         *[F.sum(c.cast("long")).alias(n) for n, c in sums.items()])
-    w = F.window(F.col("b.start"), length, slide) if length != slide else F.col("b")
-    out = buckets.groupBy(w.alias("w")).agg(*[F.sum(n).alias(n) for n in sums])
+    if length != slide:
+        buckets = _windows_of_buckets(buckets, df.schema[ts].dataType, _dur_seconds(length), _dur_seconds(slide),
+                                      list(sums))
+    else:
+        buckets = buckets.withColumnRenamed("b", "w")
+    out = buckets.groupBy("w").agg(*[F.sum(n).alias(n) for n in sums])
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       *[F.col(n).cast("long").alias(n) for n in sums])
 
