@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions.accesslog import is_success_code
 from logweave.functions.timecols import duration_us
+from logweave.session import cut
 
 # --- Fixed values: must equal the reference's session state ---------------------------------
 SESSION_GAP = "30 minutes"
@@ -62,11 +63,13 @@ def _prepare(rows: DataFrame, key: str, ts: str, status: str, gap: str, chunk: s
             .withColumn("_ok", is_success_code(F.col(status)).cast("long")))
 
 
-def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str, with_before: bool = True) -> DataFrame:
+def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str, with_before: bool = True,
+                   summary: DataFrame | None = None) -> DataFrame:
     """Per (key, chunk): session_start, chunk totals and (``with_before``) the session's
-    totals in its earlier chunks."""
+    totals in its earlier chunks.  ``summary`` (``_K, _chunk, key, _first, _last, _n, _s``)
+    may be given when the caller already has it."""
     gap_us = duration_us(gap)
-    summ = prepared.groupBy(_K, "_chunk").agg(
+    summ = summary if summary is not None else prepared.groupBy(_K, "_chunk").agg(
         F.first(key).alias(key), F.min(ts).alias("_first"), F.max(ts).alias("_last"),
         F.count(F.lit(1)).alias("_n"), F.sum("_ok").alias("_s"))
     by_key = Window.partitionBy(_K).orderBy("_chunk")
@@ -84,9 +87,14 @@ def chunk_sessions(prepared: DataFrame, key: str, ts: str, gap: str, with_before
 
 
 def _first_urls(prepared: DataFrame, chunks: DataFrame, ts: str, order: Sequence[str], url: str,
-                limit: int) -> DataFrame:
-    w_piece = Window.partitionBy(_K, "_chunk").orderBy(ts, *order)
-    head = prepared.withColumn("_rn", F.row_number().over(w_piece)).where(F.col("_rn") <= limit)
+                limit: int, numbered: bool = False) -> DataFrame:
+    """First ``limit`` urls per session.  ``numbered``: ``prepared`` already carries ``_rn``,
+    the row number inside its (key, chunk) piece."""
+    if numbered:
+        head = prepared.where(F.col("_rn") <= limit)
+    else:
+        w_piece = Window.partitionBy(_K, "_chunk").orderBy(ts, *order)
+        head = prepared.withColumn("_rn", F.row_number().over(w_piece)).where(F.col("_rn") <= limit)
     head = head.join(chunks.select(_K, "_chunk", "session_start"), on=[_K, "_chunk"])
     w_sess = Window.partitionBy(_K, "session_start").orderBy(ts, *order)
     top = head.withColumn("_rs", F.row_number().over(w_sess)).where(F.col("_rs") <= limit)
@@ -115,14 +123,22 @@ def session_updates(rows: DataFrame, key: str = "ip", ts: str = "ts", order: Seq
                     limit: int = CLICKSTREAM_LIMIT, chunk: str | None = "15 minutes") -> DataFrame:
     """ST2: the session state after each input row (what the keyed-state function emits).
 
-    Running counts inside each (key, chunk) piece, offset by the same session's
-    totals in earlier chunks (from the chunk summary)."""
+    Rows are shuffled once, by (key, chunk): the running counts inside each piece, the
+    piece summary (an aggregate on the same partitioning) and the first urls of each
+    piece all come from that one windowed pass, checkpointed once; each row's counts
+    are then offset by the same session's totals in earlier chunks."""
     p = _prepare(rows, key, ts, status, gap, chunk)
-    chunks = chunk_sessions(p, key, ts, gap)
     w_run = Window.partitionBy(_K, "_chunk").orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, 0)
-    s = (p.withColumn("_rn", F.count(F.lit(1)).over(w_run)).withColumn("_rs", F.sum("_ok").over(w_run))
-         .join(chunks.select(_K, "_chunk", "session_start", "_n_before", "_s_before"), on=[_K, "_chunk"]))
-    s = s.join(_first_urls(p, chunks, ts, order, url, limit), on=[_K, "session_start"])
+    # Three consumers read this table; column pruning would give each its own scan, parse
+    # and row shuffle, so it is written once (the checkpoint keeps the (key, chunk)
+    # partitioning, and the summary below aggregates on it without a new shuffle).
+    run = cut(p.withColumn("_rn", F.count(F.lit(1)).over(w_run)).withColumn("_rs", F.sum("_ok").over(w_run)))
+    summary = run.groupBy(_K, "_chunk").agg(
+        F.first(key).alias(key), F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+        F.max("_rn").alias("_n"), F.max("_rs").alias("_s"))
+    chunks = chunk_sessions(p, key, ts, gap, summary=summary)
+    s = run.join(chunks.select(_K, "_chunk", "session_start", "_n_before", "_s_before"), on=[_K, "_chunk"])
+    s = s.join(_first_urls(run, chunks, ts, order, url, limit, numbered=True), on=[_K, "session_start"])
     length = F.col("_rn") + F.col("_n_before")
     success = F.col("_rs") + F.col("_s_before")
     return s.select(
