@@ -108,7 +108,9 @@ def sessions(rows: DataFrame, key: str = "ip", ts: str = "ts", order: Sequence[s
              limit: int = CLICKSTREAM_LIMIT, chunk: str | None = "15 minutes") -> DataFrame:
     """ST1 + T4: one row per session with length, first ``limit`` urls, success/error counts."""
     p = _prepare(rows, key, ts, status, gap, chunk)
-    chunks = chunk_sessions(p, key, ts, gap, with_before=False)
+    # one row per occupied (key, chunk); read twice below, so written once instead of
+    # rescanning and reparsing the input for each reader
+    chunks = cut(chunk_sessions(p, key, ts, gap, with_before=False))
     agg = chunks.groupBy(_K, "session_start").agg(
         F.first(key).alias(key), F.max("_last").alias("session_end"),
         F.sum("_n").alias("sessionLength"), F.sum("_s").alias("successCodes"))
