@@ -48,3 +48,12 @@ def test_cli_word_count(capsys):
     open(d + "/t.txt", "w").write("x y x\n")
     assert main(["word-count", "--input", d + "/t.txt"]) == 0
     assert "x" in capsys.readouterr().out
+
+
+def test_cli_stream_program(spark):
+    from logweave.__main__ import main
+    d = tempfile.mkdtemp(prefix="logweave-app-")
+    access_log_lines(table(spark, SF, "events")).select("value").coalesce(1).write.text(d + "/in")
+    assert main(["hourly-status", "--input", d + "/in", "--checkpoint", d + "/ck", "--available-now"]) == 0
+    # the console sink prints from the JVM process; the checkpoint shows the committed batch
+    assert os.path.exists(d + "/ck/commits/0") and os.path.exists(d + "/ck/state")
