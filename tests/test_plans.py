@@ -45,3 +45,11 @@ def test_spread_only_small_scans(spark):
     assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(df, max_bytes=0) is df
     assert _bytes("128m") == _bytes("134217728b") == 1 << 27
+
+
+def test_holdout_ranks_only_first_rows_per_user(spark):
+    from logweave.operators import splits
+    o = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey")
+    df = splits.user_holdout(o, "o_custkey", ["o_orderkey"], 11, 20)
+    df.write.format("noop").mode("overwrite").save()
+    assert re.search(r"WindowGroupLimit .*row_number\(\), 20, Partial", df._jdf.queryExecution().executedPlan().toString())
