@@ -85,6 +85,25 @@ def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "referer", "count", "rank")
 
 
+def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 + T4 on a stream: keyed state with bounded per-ip state emits each session once it
+    closes (a later row more than 30 minutes after it, or the event-time timeout).  Sessions
+    still open when the input ends are not emitted (rows-only)."""
+    base = _base(spark, "stream_closed_sessions")
+    rows = parse.session_requests(access_log_lines(table(spark, sf_dir, "events"), with_ts=True),
+                                  keep=["event_id", "arrival_ts"])
+    rows.write.parquet(base + "/in")
+    src = spark.readStream.schema(rows.schema).parquet(base + "/in")
+    out = jobs.closed_sessions_stream(src, ts="arrival_ts", watermark="1 hour")
+    q = (out.writeStream.outputMode("append").format("parquet").option("path", base + "/out")
+         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out").select(
+        "ip", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
+        "sessionLength", "clickstream", "successCodes", "errorCodes")
+
+
 def q_archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3 + SRC7 + A5 A6: conversation texts saved one folder per batch (turn), replayed in
     (folder, file) order with running count, characters, integer average and longest.
@@ -103,5 +122,6 @@ STREAM_QUERIES = {
     "stream_status_hourly": q_stream_status_hourly,
     "stream_session_updates": q_stream_session_updates,
     "stream_top_referrers": q_stream_top_referrers,
+    "stream_closed_sessions": q_stream_closed_sessions,
     "archive_replay": q_archive_replay,
 }
