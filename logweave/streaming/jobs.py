@@ -76,24 +76,34 @@ def top_k_each_batch(key: str, k: int, sink: Callable[[DataFrame, int], None]) -
 # ----------------------------------------------------------------------------- sessions
 SESSION_OUT = ("event_id long, ip string, ts timestamp, session_start timestamp, sessionLength long, "
                "clickstream array<string>, successCodes long, errorCodes long")
-SESSION_STATE = "session_start timestamp, last_ts timestamp, n long, clicks string, ok long, err long"
+# epoch microseconds of the session's first and last rows
+SESSION_STATE = "session_start long, last_ts long, n long, clicks string, ok long, err long"
 
 
-def _session_update(gap_us: int, limit: int, closed_only: bool = False):
+def _session_update(gap_us: int, limit: int, closed_only: bool = False, tz: str = "UTC"):
     """Keyed-state function: per ip, the open session (start, last time, length, first
     ``limit`` urls, success and error counts) -- bounded state whatever the session length.
 
     ``closed_only=False`` emits the updated session after every row (ST2);
     ``closed_only=True`` emits each session once, when it closes: when a later row is
     more than ``gap`` after it, or when the event-time timeout fires (ST1)."""
-    gap = pd.Timedelta(microseconds=gap_us)
+    def to_us(x) -> int:
+        # Spark hands pandas naive wall-clock times of the session time zone; the state
+        # keeps epoch microseconds of the actual instants, so gaps, the event-time
+        # timeout and restarts do not depend on any process's local zone.
+        t = pd.Timestamp(x)
+        t = t if t.tzinfo else t.tz_localize(tz, ambiguous=False, nonexistent="shift_forward")
+        return t.value // 1000
+
+    def to_ts(us: int) -> pd.Timestamp:
+        return pd.Timestamp(us, unit="us", tz="UTC").tz_convert(tz).tz_localize(None)
 
     def fn(key, pdfs, state: GroupState):
         if state.hasTimedOut:
             if closed_only and state.exists:
                 start, last, n, clicks, okc, errc = state.get
-                yield pd.DataFrame([(key[0], pd.Timestamp(start), pd.Timestamp(last), n, json.loads(clicks),
-                                     okc, errc)], columns=CLOSED_COLUMNS)
+                yield pd.DataFrame([(key[0], to_ts(start), to_ts(last), n, json.loads(clicks), okc, errc)],
+                                   columns=CLOSED_COLUMNS)
             state.remove()
             return
         if state.exists:
@@ -106,10 +116,10 @@ def _session_update(gap_us: int, limit: int, closed_only: bool = False):
         out, closed = [], []
         for pdf in pdfs:
             for r in pdf.sort_values(["ts", "seq"]).itertuples(index=False):
-                t = pd.Timestamp(r.ts)
-                if last is None or t > pd.Timestamp(last) + gap:
+                t = to_us(r.ts)
+                if last is None or t > last + gap_us:
                     if last is not None:
-                        closed.append((key[0], pd.Timestamp(start), pd.Timestamp(last), n, list(clicks), okc, errc))
+                        closed.append((key[0], to_ts(start), to_ts(last), n, list(clicks), okc, errc))
                     start, n, okc, errc, clicks = t, 0, 0, 0, []
                 n += 1
                 if len(clicks) < limit:
@@ -117,11 +127,11 @@ def _session_update(gap_us: int, limit: int, closed_only: bool = False):
                 code = pd.to_numeric(r.status, errors="coerce")
                 good = (not pd.isna(code)) and 200 <= int(code) < 400
                 okc, errc = okc + int(good), errc + int(not good)
-                last = t if last is None or t > pd.Timestamp(last) else last
-                out.append((r.seq, key[0], t, pd.Timestamp(start), n, list(clicks), okc, errc))
+                last = t if last is None or t > last else last
+                out.append((r.seq, key[0], to_ts(t), to_ts(start), n, list(clicks), okc, errc))
         if last is not None:
-            state.update((pd.Timestamp(start), pd.Timestamp(last), n, json.dumps(clicks), okc, errc))
-            state.setTimeoutTimestamp(int(pd.Timestamp(last).timestamp() * 1000) + gap_us // 1000)
+            state.update((start, last, n, json.dumps(clicks), okc, errc))
+            state.setTimeoutTimestamp(last // 1000 + gap_us // 1000)
         if closed_only:
             if closed:
                 yield pd.DataFrame(closed, columns=CLOSED_COLUMNS)
@@ -136,6 +146,10 @@ CLOSED_OUT = ("ip string, session_start timestamp, session_end timestamp, sessio
               "clickstream array<string>, successCodes long, errorCodes long")
 
 
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
 def closed_sessions_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id", gap: str = SESSION_GAP,
                            watermark: str = "1 hour", limit: int = CLICKSTREAM_LIMIT) -> DataFrame:
     """ST1 + T4 on a stream: one row per session once it has closed (append mode).
@@ -146,7 +160,8 @@ def closed_sessions_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id
     e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq"))
          .withWatermark("ts", watermark))
     return e.groupBy("ip").applyInPandasWithState(
-        _session_update(duration_us(gap), limit, closed_only=True), CLOSED_OUT, SESSION_STATE, "append",
+        _session_update(duration_us(gap), limit, closed_only=True, tz=_session_tz(rows)), CLOSED_OUT,
+        SESSION_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
@@ -158,7 +173,7 @@ def session_updates_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id
     e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq"))
          .withWatermark("ts", watermark))
     return e.groupBy("ip").applyInPandasWithState(
-        _session_update(duration_us(gap), limit), SESSION_OUT, SESSION_STATE, "append",
+        _session_update(duration_us(gap), limit, tz=_session_tz(rows)), SESSION_OUT, SESSION_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
@@ -170,8 +185,8 @@ def live_session_snapshot(spark, checkpoint_location: str) -> DataFrame:
     v = F.col("value")["groupState"]     # Pandas keyed state: (groupState, timeoutTimestamp)
     return st.select(
         F.col("key")["ip"].alias("ip"),
-        v["session_start"].cast("timestamp_ntz").alias("session_start"),
-        v["last_ts"].cast("timestamp_ntz").alias("session_end"),
+        F.timestamp_micros(v["session_start"]).cast("timestamp_ntz").alias("session_start"),
+        F.timestamp_micros(v["last_ts"]).cast("timestamp_ntz").alias("session_end"),
         v["n"].alias("sessionLength"),
         F.from_json(v["clicks"], "array<string>").alias("clickstream"),
         v["ok"].alias("successCodes"), v["err"].alias("errorCodes"))
