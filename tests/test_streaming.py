@@ -251,3 +251,32 @@ def test_stream_models_resume_after_restart(spark):
     fresh = jobs.StreamingKMeans(spark, ml.KMeansModel(np.zeros((2, 2)), np.zeros(2)), name=name)
     fresh.train(spark.createDataFrame([], "features array<double>"), 1)      # restarted at batch 1
     assert np.allclose(fresh.model.centers, km.model.centers)
+
+
+def test_keyed_state_sessions_independent_of_session_time_zone(spark):
+    def run_in(tz):
+        old = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            d = _dir()
+            # one session for "a" spread over three batches (gaps under 30 minutes), then a far
+            # row that moves the watermark past a's timeout
+            spec = [(0, "a", 0), (1, "a", 1000), (2, "a", 1500), (3, "b", 10000)]
+            data = [(i, ip, T0 + timedelta(seconds=t), f"/{i}", "200") for i, ip, t in spec]
+            df = spark.createDataFrame(data, "event_id long, ip string, ts timestamp_ntz, url string, status string")
+            for i in range(4):
+                df.where(F.col("event_id") == i).coalesce(1).write.mode("append").parquet(d + "/in")
+                time.sleep(0.05)
+            src = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(d + "/in")
+            name = "tz_" + tz.replace("/", "_")
+            q = (jobs.closed_sessions_stream(src, watermark="0 seconds").writeStream.outputMode("append")
+                 .format("memory").queryName(name).option("checkpointLocation", d + "/ck")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+            return rows(spark.table(name).select("ip", F.col("session_start").cast("timestamp_ntz"),
+                                                 "sessionLength", "clickstream"))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", old)
+    utc = run_in("UTC")
+    assert utc == [("a", T0, 3, ["/0", "/1", "/2"])]
+    assert run_in("America/Los_Angeles") == utc
