@@ -1,9 +1,8 @@
 """Session helpers.
 
 Operators never create sessions; only entry points (tests, bench, CLI) do.
-``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the running session and
-only falls back to a fresh scratch folder when the cluster did not name one
-(local tests).
+``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the running session.  Only a
+``local[...]`` master may go without it and gets a scratch folder.
 """
 
 from __future__ import annotations
@@ -48,10 +47,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder and is
-    used as is.  Only when it is unset (local tests) a scratch folder is created.
+    used as is.  When it is unset a local master gets a scratch folder; a cluster raises,
+    since executors could not read each other's files in a machine-local folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="logweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
