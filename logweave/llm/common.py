@@ -138,3 +138,13 @@ def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype=np.uint8), off - off[0]
     data = np.frombuffer(col.buffers()[2], dtype=np.uint8)[off[0]:off[-1]]
     return data, off - off[0]
+
+
+def text_chunks(batch, text: int, max_bytes: int = 1 << 21):
+    """Row ranges of an Arrow batch with about ``max_bytes`` of text each: (first, last, bytes, offsets)."""
+    data, off = text_bytes(batch.column(text))
+    a, n = 0, len(off) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(off, off[a] + max_bytes, "right")) - 1)
+        yield a, min(b, n), data[off[a]:off[min(b, n)]], off[a:min(b, n) + 1] - off[a]
+        a = min(b, n)

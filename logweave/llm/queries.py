@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, mixing, warc
+from logweave.llm import decontaminate, mixing, ngram_join, warc
 from logweave.llm.common import new_path, read
 
 
@@ -21,10 +21,16 @@ def op4_decontaminate(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_ngram_join(spark, sf_dir):
+    """Components of documents whose word 5-gram sets have a Jaccard similarity of 0.8 or more."""
+    out = ngram_join.jaccard_classes(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_mixing(spark, sf_dir):
     """Words taken from every document by the mixture to target weights."""
     p = mixing.mix_plan(read(spark, sf_dir, "documents"))
     return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op4_decontaminate, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_warc, op4_decontaminate, op7_ngram_join, op9_mixing)}
