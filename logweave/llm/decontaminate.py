@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from logweave.llm.common import cut_table, lower_ascii, small_side
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates words; splitting is several times faster than extracting every match.
+SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 K = 5
 
 
 def words(text: str):
-    return F.coalesce(F.regexp_extract_all(lower_ascii(F.col(text)), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), SEPARATOR), "")
 
 
 def _fingerprints(df: DataFrame, k: int, window: int, short: list[int]) -> DataFrame:

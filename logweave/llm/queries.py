@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, mixing, ngram_join, warc
+from logweave.llm import decontaminate, line_dedup, mixing, ngram_join, warc
 from logweave.llm.common import new_path, read
 
 
@@ -33,4 +33,10 @@ def op9_mixing(spark, sf_dir):
     return p.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op4_decontaminate, op7_ngram_join, op9_mixing)}
+def op10_line_dedup(spark, sf_dir):
+    """Lines of each document without those that match an earlier line of the corpus (token Jaccard >= 0.8)."""
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_warc, op4_decontaminate, op7_ngram_join, op9_mixing, op10_line_dedup)}

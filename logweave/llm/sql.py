@@ -57,3 +57,26 @@ SELECT doc_id, size, source_size, target,
        size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
 FROM r
 """
+
+SQL["op10_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(string_split(text, chr(10)), []) AS s FROM documents),
+l AS (SELECT r, doc_id, unnest(s) AS line, unnest(range(len(s))) AS line_no FROM d),
+t AS (SELECT *, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS toks FROM l),
+c AS (SELECT toks, len(toks) AS n, min({'d': doc_id, 'l': line_no}) AS f, row_number() OVER () AS c
+      FROM t WHERE len(toks) > 0 GROUP BY toks),
+e AS (SELECT c, n, f, unnest(toks) AS tok FROM c WHERE n > 3),
+q AS (SELECT tok, count(*) AS df FROM e GROUP BY tok),
+p AS (SELECT c, n, f, tok FROM (SELECT e.*, row_number() OVER (PARTITION BY c ORDER BY df, tok) AS k FROM e JOIN q USING (tok))
+      WHERE k <= n - ceil(0.8 * n) + 1),
+pairs AS (SELECT DISTINCT a.c AS x, b.c AS y FROM p a JOIN p b USING (tok)
+          WHERE a.f > b.f AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+late AS (SELECT DISTINCT x FROM (SELECT x, len(list_intersect(u.toks, v.toks)) AS o, u.n AS nx, v.n AS ny
+         FROM pairs JOIN c u ON u.c = x JOIN c v ON v.c = y) WHERE 100 * o >= 80 * (nx + ny - o)),
+z AS (SELECT t.r, t.line_no FROM t JOIN c ON t.toks = c.toks
+      WHERE c.c IN (SELECT x FROM late) OR t.doc_id <> c.f.d OR t.line_no <> c.f.l),
+g AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.line_no) AS kept, count(*) AS n_kept
+      FROM l ANTI JOIN z ON l.r = z.r AND l.line_no = z.line_no GROUP BY l.r)
+SELECT doc_id, len(s)::BIGINT AS n_lines, (len(s) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (r)
+"""
