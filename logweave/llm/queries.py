@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, line_dedup, mixing, ngram_join, warc
+from logweave.llm import decontaminate, line_dedup, mixing, ngram_join, pii, warc
 from logweave.llm.common import new_path, read
 
 
@@ -15,6 +15,13 @@ def op2_warc(spark, sf_dir):
     return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_pii(spark, sf_dir):
+    """Personal data spans of every document."""
+    r = pii.pii_report(read(spark, sf_dir, "documents"))
+    return r.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.spelled("found", only_base=True), 256).alias("base_sha256"),
+                    pii.spelled("found").alias("spans"))
+
+
 def op4_decontaminate(spark, sf_dir):
     """Words of each document covered by a 10-word window of a benchmark item."""
     out = decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -39,4 +46,4 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op4_decontaminate, op7_ngram_join, op9_mixing, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_pii, op4_decontaminate, op7_ngram_join, op9_mixing, op10_line_dedup)}
