@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, line_dedup, mixing, ngram_join, pii, warc
+from logweave.llm import decontaminate, langid, line_dedup, mixing, ngram_join, pii, warc
 from logweave.llm.common import new_path, read
 
 
+def op1_langid(spark, sf_dir):
+    """Predicted language of every document; one fold in four is held out of the training."""
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(langid.training_fold(docs))
+    out = langid.classify(docs, model)
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_warc(spark, sf_dir):
     """Write a content-addressed archive of every page, then read it back."""
     path = new_path(spark, "warc")
@@ -46,4 +54,4 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_pii, op4_decontaminate, op7_ngram_join, op9_mixing, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op7_ngram_join, op9_mixing, op10_line_dedup)}
