@@ -137,7 +137,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     """Fit on all ``rows`` with a language; None when there is none with a letter in its text."""
     t = rows.where(F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), letters(text).alias("letters"),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h")).where("letters is not null")
+        F.md5(F.coalesce(F.col(key).cast("string"), F.col(text))).alias("h")).where("letters is not null")
     df = t.select("letters").mapInArrow(_document_frequency, "cell long, df long").groupBy("cell").agg(F.sum("df")).collect()
     freq = dict((int(c), int(n)) for c, n in df)  # DIM + 1 numbers
     total = freq.pop(-1, 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, langid, line_dedup, mixing, ngram_join, pii, warc
+from logweave.llm import decontaminate, embed_dedup, html_extract, langid, line_dedup, mixing, ngram_join, pii, warc
 from logweave.llm.common import new_path, read
 
 
@@ -36,12 +36,23 @@ def op4_decontaminate(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_html(spark, sf_dir):
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op7_ngram_join(spark, sf_dir):
     """Components of documents whose word 5-gram sets have a Jaccard similarity of 0.8 or more."""
     out = ngram_join.jaccard_classes(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_embeddings(spark, sf_dir):
+    """Links, components and representatives of embeddings with a cosine of 0.9 or more."""
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark, sf_dir):
     """Words taken from every document by the mixture to target weights."""
     p = mixing.mix_plan(read(spark, sf_dir, "documents"))
@@ -54,4 +65,4 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op7_ngram_join, op9_mixing, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op5_html, op7_ngram_join, op8_embeddings, op9_mixing, op10_line_dedup)}
