@@ -156,16 +156,16 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later matches taken out of ``text``, plus n_lines and n_removed (long, 0 for null texts)."""
     r = removed_lines(docs, doc_id, text).where("removed")
-    gone = r.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key"), F.sort_array("gone").alias("gone"))
+    gone = r.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("__gone"))
+    gone = gone.select(F.col("doc_id").alias("__gid"), F.col("text_key").alias("__gkey"), F.sort_array("__gone").alias("__gone"))
     gone = cut_table(gone, "gone")
     d = docs.withColumn("__key", F.xxhash64(F.col(text)))
     d = d.join(small_side(gone, gone.count(), BROADCAST_DOCS),
-               F.col(doc_id).eqNullSafe(F.col("g_id")) & (F.col("__key") == F.col("g_key")), "left")
+               F.col(doc_id).eqNullSafe(F.col("__gid")) & (F.col("__key") == F.col("__gkey")), "left")
     # The lines are referred to twice below, so they stay a column and a text is split once.
     d = d.withColumn("__lines", F.split(F.col(text), "\n")).withColumn("__n", F.size("__lines"))
-    kept = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), gone), i -> get(__lines, i)), '\n')")
+    kept = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone), i -> get(__lines, i)), '\n')")
     d = d.withColumns({"n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.col("__n")).cast("long"),
-                       "n_removed": F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"),
-                       text: F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept)})
-    return d.drop("__key", "__lines", "__n", "g_id", "g_key", "gone")
+                       "n_removed": F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long"),
+                       text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept)})
+    return d.drop("__key", "__lines", "__n", "__gid", "__gkey", "__gone")

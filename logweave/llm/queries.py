@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import decontaminate, embed_dedup, html_extract, langid, line_dedup, mixing, ngram_join, pii, warc
+from logweave.llm import decontaminate, embed_dedup, html_extract, langid, line_dedup, mixing, ngram_join, pii, suffix_dedup, warc
 from logweave.llm.common import new_path, read
 
 
@@ -42,6 +42,12 @@ def op5_html(spark, sf_dir):
     return html_extract.extract(pages, html_extract.train(pages))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    """Bytes of every document outside 200-byte strings that also start elsewhere."""
+    out = suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_ngram_join(spark, sf_dir):
     """Components of documents whose word 5-gram sets have a Jaccard similarity of 0.8 or more."""
     out = ngram_join.jaccard_classes(read(spark, sf_dir, "documents"))
@@ -65,4 +71,4 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op5_html, op7_ngram_join, op8_embeddings, op9_mixing, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op5_html, op6_suffix_dedup, op7_ngram_join, op8_embeddings, op9_mixing, op10_line_dedup)}
