@@ -68,7 +68,9 @@ def write_archive(records: DataFrame, path: str, record_id: str = "page_id", url
     # One copy of each payload: the rows of the first id, then one row per digest.
     keep = rec.select("id", "digest", "payload").join(
         groups.select("digest", "first_id").withColumnRenamed("digest", "d"),
-        (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("first_id")))
+        # The ids never differ downwards; as an inequality they stay out of the join keys, so one shuffle by
+        # digest serves the join and the row choice.
+        (F.col("digest") == F.col("d")) & (F.col("first_id").isNull() | (F.col("id") <= F.col("first_id"))))
     keep.select("digest", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
     h = narrow.join(groups.select("digest", "first_id"), "digest")
     revisit = (F.col("bytes") >= min_revisit) & ~F.col("id").eqNullSafe(F.col("first_id"))
