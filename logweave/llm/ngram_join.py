@@ -5,16 +5,19 @@ a >= b with 100 * |x & y| >= 80 * |x | y| differ in at most floor((a + b) / 9) e
 Sizes are cut into bands; in the band of the larger set that bound is H, and the hash
 universe is cut into m = H + 1 ranges ("segments"), so one segment of x and y at least
 agrees.  An agreement on an *empty* segment would match almost everything, which makes
-it the most expensive posting list; its unit of the pigeonhole budget is therefore moved
-to the next segment, where one differing element is then allowed:
+it the most expensive posting list.  The cost-based allocation therefore takes the unit of
+the pigeonhole budget away from empty segments and gives it to the first segments, which
+are made ``WIDE`` times wider, so that one differing element there is still selective:
 
-* ``Q(j, x_j)``              for every non-empty segment j;
-* ``D(j, x_j)``, ``D(j, x_j - e)`` for every segment j after an empty one (cyclic).
+* ``Q(j, x_j)`` for every non-empty segment j;
+* ``D(j, x_j)`` and ``D(j, x_j - e)`` for the first segments, until as many non-empty
+  ones are covered as x has empty segments.
 
-If x and y share no Q, every segment that is not empty in both differs; if they share no
-D, the successor of every segment empty in both differs in two elements or is itself
-charged again: together at least m > H differences.  So every qualifying pair shares a
-signature.  A set is indexed in its own band and in the next when a partner may lie there.
+Let E segments be empty in both sets.  Sharing no Q means that the other m - E segments
+differ; sharing no D means that E of them differ in two elements: together m > H
+differences.  So every qualifying pair shares a signature.  (A set with fewer non-empty
+than empty segments gets one signature ``F`` of its band besides.)  A set is indexed in
+its own band and in the next when a partner may lie there.
 
 Equal sets are one class (its smallest id stands for it).  Documents that share a
 signature are first paired with the smallest of their group; exact verification and
@@ -46,6 +49,8 @@ N = 5
 #: Similarity as a fraction.
 NUM, DEN = 80, 100
 BAND = 1.5
+#: One segment in WIDE_SHARE is WIDE times wider; they come first.
+WIDE, WIDE_SHARE = 3, 8
 #: A signature seen so often in one batch is salted over SALTS parts.
 HOT, SALTS = 64, 64
 ROWS_PER_TASK = 1_500_000
@@ -129,7 +134,9 @@ def signatures(sets: np.ndarray, off: np.ndarray, num: int = NUM, den: int = DEN
         row = np.repeat(np.arange(len(use)), n)
         e = sets[np.repeat(off[use] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
         # Ranges of the universe: sets are sorted, so segments come in order.
-        seg = ((e >> U(32)) * m[row].astype(np.uint64) >> U(32)).astype(np.int64) + base[row]
+        wide = m // WIDE_SHARE
+        unit = ((e >> U(32)) * (m + (WIDE - 1) * wide)[row].astype(np.uint64) >> U(32)).astype(np.int64)
+        seg = np.where(unit < WIDE * wide[row], unit // WIDE, unit - (WIDE - 1) * wide[row]) + base[row]
         g = mix(e ^ U(0xA0761D6478BD642F))
         pre = np.concatenate([np.zeros(1, np.uint64), np.cumsum(g, dtype=np.uint64)])
         cnt = np.bincount(seg, minlength=base[-1])
@@ -141,11 +148,17 @@ def signatures(sets: np.ndarray, off: np.ndarray, num: int = NUM, den: int = DEN
         q = np.flatnonzero(cnt)
         out_s.append(mix(content[q] + place[q]))
         out_d.append(use[who[q]])
-        prev = np.where(j == 0, base[who + 1] - 1, np.arange(base[-1]) - 1)
-        d = cnt[prev] == 0
+        full = cnt > 0
+        before = np.cumsum(full) - full
+        before -= before[base[:-1]][who]  # non-empty segments of the same set that come earlier
+        filled = np.bincount(who[q], minlength=len(use))
+        d = before < (m - filled)[who]
         dd = np.flatnonzero(d)
         out_s.append(mix((content[dd] ^ U(0x5851F42D4C957F2D)) + place[dd]))
         out_d.append(use[who[dd]])
+        odd = np.flatnonzero(filled < m - filled)
+        out_s.append(mix(k[odd].astype(np.uint64) ^ U(0xC2B2AE3D27D4EB4F)))
+        out_d.append(use[odd])
         el = np.flatnonzero(d[seg])
         out_s.append(mix(((content[seg[el]] - g[el]) ^ U(0x5851F42D4C957F2D)) + place[seg[el]]))
         out_d.append(use[row[el]])
