@@ -254,6 +254,51 @@ def _check_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
+def _folded(sketch: np.ndarray, width: int) -> np.ndarray:
+    """Sketch bytes XORed down to ``width`` bytes: coarser cells are unions of neighbouring fine ones."""
+    if len(sketch) == width:
+        return sketch
+    bits = np.unpackbits(sketch).reshape(width * 8, -1)
+    return np.packbits(np.bitwise_xor.reduce(bits, axis=1))
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of one signature in different components whose sizes and sketches allow a link; no other pair is put out."""
+    cols = [[b.column(i).to_numpy() for i in range(4)] + [b.column(4).to_pylist()] for b in batches]
+    if not cols:
+        return
+    sig, ids, comp, n = (np.concatenate([c[i] for c in cols]) for i in range(4))
+    sketch = [s for c in cols for s in c[4]]
+    order = np.lexsort((ids, sig))
+    edge = np.flatnonzero(np.concatenate([[True], sig[order][1:] != sig[order][:-1], [True]]))
+    out_a, out_b = [], []
+    for lo, hi in zip(edge[:-1], edge[1:]):
+        g = order[lo:hi]
+        c, size, who = comp[g], n[g], ids[g]
+        width = np.array([len(sketch[i]) for i in g])
+        table: dict[int, np.ndarray] = {}
+        for i in range(hi - lo - 1):
+            j = np.arange(i + 1, hi - lo)
+            j = j[(c[j] != c[i]) & (DEN * np.minimum(size[j], size[i]) >= NUM * np.maximum(size[j], size[i])) & (who[j] != who[i])]
+            for w in np.unique(np.minimum(width[j], width[i])):
+                if w not in table:
+                    table[w] = np.zeros((hi - lo, w // 8), dtype=np.uint64)
+                    for k in np.flatnonzero((width >= w) & (width <= 2 * w)):
+                        table[w][k] = _folded(np.frombuffer(sketch[g[k]], np.uint8), int(w)).view(np.uint64)
+                jj = j[np.minimum(width[j], width[i]) == w]
+                for z in range(0, len(jj), 4096):
+                    part = jj[z:z + 4096]
+                    apart = np.bitwise_count(table[w][part] ^ table[w][i]).sum(axis=1, dtype=np.int64)
+                    part = part[apart <= (size[part] + size[i]) * (DEN - NUM) // (DEN + NUM)]
+                    out_a.append(np.full(len(part), who[i]))
+                    out_b.append(who[part])
+        if sum(map(len, out_a)) > 100_000:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+            out_a, out_b = [], []
+    if out_a:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
@@ -302,15 +347,10 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     near = _links(star, prof, first)
     comp = connected_components(near)
     g = groups.select("sig", "id").distinct().join(comp.withColumnRenamed("node", "id"), "id", "left")
-    g = g.join(prof.select(F.col("doc_id").alias("id"), "n"), "id")
-    g = cut_table(g.select("sig", "id", F.coalesce("component", "id").alias("comp"), "n"), "members")
+    g = cut_table(g.select("sig", "id", F.coalesce("component", "id").alias("comp")), "members")
     mixed = g.groupBy("sig").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed").select("sig")
-    g = g.join(mixed, "sig")
-    x, y = g.toDF("sig", "a", "ca", "na"), g.toDF("sig", "b", "cb", "nb")
-    fits = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (
-        DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb"))
-    rest = x.join(y, "sig").where(fits).select("a", "b").distinct()
-    rest = rest.join(star, ["a", "b"], "left_anti")
+    g = g.join(mixed, "sig").join(prof.select(F.col("doc_id").alias("id"), "n", "sketch"), "id")
+    rest = g.select("sig", "id", "comp", "n", "sketch").repartition(parts, "sig").mapInArrow(_cross, "a long, b long").distinct()
     links = near.unionAll(_links(rest, prof, first))
     comp = connected_components(links).toDF("cnode", "component")
     out = profile.join(classes.select(F.col("n").alias("cn"), F.col("f1").alias("c1"), F.col("f2").alias("c2"), "class_id"),
