@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logweave.session import cut
 from logweave.functions.timecols import duration_us, epoch_us, from_epoch_us
-from logweave.operators.ordered import next_after, suppress_repeats
+from logweave.operators.ordered import next_after, running_totals, suppress_repeats
 
 # --- Fixed values: reference defaults ---------------------------------------------------------
 MIN_ROWS = 100                 # alarm only when success + failure > 100
@@ -50,7 +50,7 @@ def error_ratio_alarms(totals: DataFrame, min_rows: int = MIN_ROWS, max_ratio: f
 
 
 def _interval_fold(step: int):
-    """Per-interval arithmetic fold (one pandas group): inside a gap the alarm repeats every
+    """Per-interval arithmetic fold of one run of gaps: inside a gap the alarm repeats every
     ``step``; the first one is at the gap start or when the quiet period after the previous
     interval's last alarm ends, whichever is later."""
     import numpy as np
@@ -77,7 +77,7 @@ def _interval_fold(step: int):
 
 
 def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA_TIMEOUT,
-                   quiet: str = QUIET_PERIOD, tick: str = "1 second", task_limit: int = 200_000) -> DataFrame:
+                   quiet: str = QUIET_PERIOD, tick: str = "1 second") -> DataFrame:
     """AL3: alarms for stretches with no data longer than ``timeout``.
 
     Data arrives in ``tick``-long batches.  After the last batch with data at ``s``,
@@ -85,10 +85,11 @@ def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA
     alarm candidate; candidates pass the 30-minute suppression rule against the last
     *fired* no-data alarm.  Returns the fired alarms: ``last_data, next_data, alarm_ts``.
 
-    The gap table has one row per data gap longer than ``timeout`` (at most time span /
-    timeout rows).  When a size check shows at most ``task_limit`` gaps they are folded
-    in one task with interval arithmetic; otherwise every empty batch becomes a
-    candidate for the distributed pointer-doubling fold.
+    The gap table has one row per data gap longer than ``timeout``.  A gap that starts a
+    whole repeat period (``quiet`` plus one tick) after the end of the gap before it cannot
+    be affected by earlier alarms, so it begins a new run; runs are numbered with
+    distributed running totals and folded independently, each with interval arithmetic
+    (one step per gap and alarm, never one per tick).
     """
     tick_us, lim_us, quiet_us = duration_us(tick), duration_us(timeout), duration_us(quiet)
     active = (data_times.where(F.col(ts).isNotNull())
@@ -98,12 +99,12 @@ def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA
     gaps = cut(gaps.select("_s", "next", (F.col("_s") + F.lit(lim_us + tick_us)).alias("_a"),
                            (F.col("next") - F.lit(tick_us)).alias("_b"))
                .where(F.col("_a") <= F.col("_b")))
-    if gaps.count() <= task_limit:
-        fired = (gaps.groupBy(F.lit(0).alias("_g"))
-                 .applyInPandas(_interval_fold(quiet_us + tick_us), "_s long, next long, _t long"))
-    else:
-        cands = gaps.select("_s", "next", F.explode(F.sequence("_a", "_b", F.lit(tick_us))).alias("_t"))
-        folded = suppress_repeats(cands.select("_t"), "_t", quiet_us, task_limit=0)
-        fired = cands.join(folded.where("fired").select("_t"), on="_t")
+    step = quiet_us + tick_us
+    follow = next_after(gaps, "_a", 0, lim_us).select(F.col("_a").alias("_p"), F.col("next").alias("_n"))
+    new_run = (gaps.join(follow, F.col("_a") == F.col("_p")).where(F.col("_n") >= F.col("_b") + F.lit(step))
+               .select(F.col("_n").alias("_h"), F.lit(1).cast("long").alias("_new")))
+    runs = gaps.join(new_run, F.col("_a") == F.col("_h"), "left").withColumn("_new", F.coalesce("_new", F.lit(0).cast("long")))
+    runs = running_totals(runs.select("_s", "next", "_a", "_b", "_new"), "_a", sums=["_new"])
+    fired = runs.groupBy("run__new").applyInPandas(_interval_fold(step), "_s long, next long, _t long")
     return fired.select(from_epoch_us("_s").alias("last_data"), from_epoch_us("next").alias("next_data"),
                         from_epoch_us("_t").alias("alarm_ts"))

@@ -49,29 +49,22 @@ class KMeansModel:
         return cls(np.array([[float(x) for x in r[0]] for r in rows]), np.full(len(rows), float(weight)), decay)
 
 
-_INLINE_TERMS = 4096   # up to k * dim terms the distances are plain arithmetic (codegen)
-
-
 def _double_literal(x: float) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)" if not np.isfinite(x) else f"({float(x)!r}D)"
 
 
-def squared_distance(features: str, center: np.ndarray, inline: bool = True) -> Column:
+def squared_distance(features: str, center: np.ndarray) -> Column:
     """Squared Euclidean distance of array column ``features`` to a literal center.
 
-    Inline form: the sum of ``(x[j] - c_j) * (x[j] - c_j)`` over element lookups, written
-    as one SQL expression (one parser call instead of thousands of Column objects) and
-    compiled with the stage; otherwise ``zip_with`` + ``aggregate`` (same value, interpreted)."""
+    The sum of ``(x[j] - c_j) * (x[j] - c_j)`` over element lookups, written as one SQL
+    expression (one parser call instead of thousands of Column objects) and compiled with
+    the stage."""
     col = "`" + features.replace("`", "``") + "`"
-    if inline:
-        terms = []
-        for j, x in enumerate(center):
-            d = f"(CAST({col}[{j}] AS DOUBLE) - {_double_literal(x)})"
-            terms.append(f"{d} * {d}")
-        return F.expr(" + ".join(terms))
-    c = F.array(*[F.lit(float(x)) for x in center])
-    diffs = F.zip_with(F.col(features), c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
+    terms = []
+    for j, x in enumerate(center):
+        d = f"(CAST({col}[{j}] AS DOUBLE) - {_double_literal(x)})"
+        terms.append(f"{d} * {d}")
+    return F.expr(" + ".join(terms))
 
 
 def kmeans_predict(df: DataFrame, model: KMeansModel, features: str = "features", out: str = "cluster") -> DataFrame:
@@ -81,9 +74,8 @@ def kmeans_predict(df: DataFrame, model: KMeansModel, features: str = "features"
     The k distances are columns of one projection and the argmin (``least`` + ``CASE``)
     reads them in the next, so each distance is computed once inside compiled code."""
     centers = model.centers
-    inline = centers.size <= _INLINE_TERMS
     names = [f"_d{i}" for i in range(len(centers))]
-    dist = df.select("*", *[squared_distance(features, c, inline).alias(n) for n, c in zip(names, centers)])
+    dist = df.select("*", *[squared_distance(features, c).alias(n) for n, c in zip(names, centers)])
     m = F.least(*[F.col(n) for n in names])
     arg = None
     for i, n in enumerate(names):

@@ -60,52 +60,19 @@ def next_after(nodes: DataFrame, t: str, offset: int, bucket: int, key=None) ->
     return out.select(*ks, F.col("_src").alias(t), F.coalesce("_near", "_far").alias("next"))
 
 
-def _fold_in_task(cands: DataFrame, t: str, quiet: int, ks: list[str]) -> DataFrame:
-    """Sequential fold per key, one pandas group per key (only used below a size bound)."""
-    import numpy as np
-    import pandas as pd
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf[t].to_numpy(dtype="int64"))
-        fired = np.zeros(len(times), dtype=bool)
-        last = None
-        for i, v in enumerate(times):
-            if last is None or v > last + quiet:
-                fired[i] = True
-                last = v
-        out = pd.DataFrame({t: times[fired]})
-        for k in ks:
-            out[k] = pdf[k].iloc[0]
-        return out
-
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in cands.select(*ks).schema.fields]
-                       + [f"`{t}` bigint"])
-    base = cands.select(*ks, t).distinct()
-    grouped = base.groupBy(*ks) if ks else base.groupBy(F.lit(0).alias("_g"))
-    res = grouped.applyInPandas(fold, schema)
-    return res.select(*ks, t)
-
-
 def suppress_repeats(cands: DataFrame, t: str, quiet: int, bucket: int | None = None, key=None,
-                     max_rounds: int = 64, task_limit: int = 200_000) -> DataFrame:
+                     max_rounds: int = 64) -> DataFrame:
     """Alarm fold: a candidate fires when it is more than ``quiet`` after the last fired one.
 
-    When every key has at most ``task_limit`` candidates (checked with one small
-    aggregate), each key's candidates are folded in one task.  Beyond that bound
-    the fired set is found without a single-task scan: it is the chain
-    ``first, next(first), ...`` with ``next(x)`` the first candidate later than
-    ``x + quiet``, computed by pointer doubling in O(log length) join rounds,
-    starting from every candidate more than ``quiet`` after its predecessor (those
-    always fire).  Each round is checkpointed to the session's checkpoint folder.
+    The fired set is found without a single-task scan, whatever the input size: it is the
+    chain ``first, next(first), ...`` with ``next(x)`` the first candidate later than
+    ``x + quiet``, computed by pointer doubling in O(log length) join rounds, starting
+    from every candidate more than ``quiet`` after its predecessor (those always fire).
+    Each round is checkpointed to the session's checkpoint folder.
     Returns ``cands`` with a boolean ``fired``.
     """
     ks = _keys(key)
-    per_key = cands.select(*ks, t).distinct().groupBy(*ks).count()
-    biggest = per_key.agg(F.max("count")).first()[0] or 0
-    if biggest <= task_limit:
-        reach = _fold_in_task(cands, t, quiet, ks)
-    else:
-        reach = _doubling(cands, t, quiet, bucket or quiet, ks, max_rounds)
+    reach = _doubling(cands, t, quiet, bucket or quiet, ks, max_rounds)
     fired = reach.withColumn("fired", F.lit(True))
     return cands.join(fired, on=[*ks, t], how="left").withColumn("fired", F.coalesce("fired", F.lit(False)))
 

@@ -257,7 +257,7 @@ FROM orders"""
 SQL["user_holdout"] = """WITH r AS (
   SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders),
 c AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS ti FROM r WHERE rn BETWEEN 11 AND 20)
-SELECT r.o_orderkey, r.o_custkey, COALESCE(c.ti <= 100000, FALSE) AS is_test
+SELECT r.o_orderkey, r.o_custkey, c.ti IS NOT NULL AS is_test
 FROM r LEFT JOIN c USING (o_orderkey)"""
 
 # ----------------------------------------------------------------------------- ML

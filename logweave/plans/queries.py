@@ -21,7 +21,7 @@ from logweave.sources.tables import table
 SLIDING_LENGTH, SLIDING_SLIDE = "300 seconds", "60 seconds"
 ALARM_WINDOW, ALARM_SLIDE = "12 hours", "10 minutes"
 ALARM_MAX_RATIO = 0.4
-HOLDOUT_START, HOLDOUT_STOP, HOLDOUT_CAP = 11, 20, 100000
+HOLDOUT_START, HOLDOUT_STOP = 11, 20
 
 
 def _events(spark, sf_dir):
@@ -208,7 +208,7 @@ def q_kfold(spark, sf_dir):
 def q_user_holdout(spark, sf_dir):
     """SP2: each customer's orders number 11..20 (in o_orderkey order) are test rows."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return splits.user_holdout(o, "o_custkey", ["o_orderkey"], HOLDOUT_START, HOLDOUT_STOP, HOLDOUT_CAP)
+    return splits.user_holdout(o, "o_custkey", ["o_orderkey"], HOLDOUT_START, HOLDOUT_STOP)
 
 
 # ----------------------------------------------------------------------------- ML

@@ -17,6 +17,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from logweave.functions.timecols import duration_us
@@ -35,7 +36,9 @@ def load_state(spark, path: str) -> dict | None:
     """Read a record written by ``save_state``; None when there is none."""
     try:
         rows = spark.read.text(path).collect()
-    except Exception:  # noqa: BLE001  (missing path)
+    except AnalysisException as e:  # only a missing path means "no state"; other failures are raised
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return json.loads(rows[0][0]) if rows else None
 
@@ -219,8 +222,9 @@ class BatchCap:
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         before = self._read(df.sparkSession, batch_id)
-        if before > self.cap:
+        if before > self.cap:  # saved again, so that a restart finds the newest version
             self.total, self.done = before, True
+            save_state(df.sparkSession, f"{self.dir}/v={batch_id}", {"total": self.total})
             return
         n = df.count()
         if n:
@@ -324,9 +328,8 @@ class StreamingKMeans:
             self._resume(batch_id)
         df.persist()
         try:
-            if df.count() == 0:          # whole batch computed once, reused by the update
-                return
-            self.model = ml.kmeans_update(self.model, df, self.features)
+            if df.count():  # whole batch computed once, reused by the update; an empty one saves the model it found
+                self.model = ml.kmeans_update(self.model, df, self.features)
         finally:
             df.unpersist()
         save_state(self.spark, f"{self.dir}/v={batch_id}",
@@ -353,9 +356,8 @@ class StreamingRegression:
                 self.model = ml.LinearModel(st["weight"], st["intercept"])
         df.persist()
         try:
-            if df.count() == 0:
-                return
-            self.model = ml.linreg_update(self.model, df, self.label, self.feature)
+            if df.count():
+                self.model = ml.linreg_update(self.model, df, self.label, self.feature)
         finally:
             df.unpersist()
         save_state(df.sparkSession, f"{self.dir}/v={batch_id}",

@@ -48,4 +48,16 @@ def test_no_data_quiet_period_spans_gaps(spark):
     df = spark.createDataFrame([(T0 + timedelta(seconds=s),) for s in secs], "ts timestamp_ntz")
     exp = [(T0 + timedelta(seconds=t),) for t in (601, 2402, 4203)]
     assert rows(alarms.no_data_alarms(df), "alarm_ts") == exp
-    assert rows(alarms.no_data_alarms(df, task_limit=0), "alarm_ts") == exp   # distributed fold
+
+
+def test_no_data_year_long_gap_and_runs(spark):
+    # Data every 700 s for a while (runs of gaps), then a gap of a year.
+    secs = [700 * i for i in range(60)] + [42_000 + 365 * 86_400]
+    df = spark.createDataFrame([(T0 + timedelta(seconds=s),) for s in secs], "ts timestamp_ntz")
+    exp, allowed = [], None
+    for s, nxt in zip(secs, secs[1:]):
+        t = s + 601 if allowed is None else max(s + 601, allowed)
+        while t < nxt:
+            exp.append((T0 + timedelta(seconds=t),))
+            allowed = t = t + 1801
+    assert rows(alarms.no_data_alarms(df), "alarm_ts") == sorted(exp)

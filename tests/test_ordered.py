@@ -26,20 +26,18 @@ def _fold(ts, quiet):
     return fired
 
 
-def test_suppress_repeats_both_paths(spark):
+def test_suppress_repeats(spark):
     ts = [0, 29, 30, 31, 45, 61, 62, 200, 229, 230, 231, 232, 262, 1000]
     df = spark.createDataFrame([(t,) for t in ts], "t long")
     exp = _fold(ts, 30)
-    for limit in (10**6, 0):            # in-task fold, then pointer doubling
-        got = {r["t"] for r in suppress_repeats(df, "t", 30, task_limit=limit).where("fired").collect()}
-        assert got == exp, limit
+    assert {r["t"] for r in suppress_repeats(df, "t", 30).where("fired").collect()} == exp
 
 
 def test_suppress_repeats_keyed_random(spark):
     rnd = random.Random(5)
     data = [(k, rnd.randint(0, 5000)) for k in ("a", "b") for _ in range(200)]
     df = spark.createDataFrame(data, "k string, t long").distinct()
-    got = {(r["k"], r["t"]) for r in suppress_repeats(df, "t", 40, key="k", task_limit=0).where("fired").collect()}
+    got = {(r["k"], r["t"]) for r in suppress_repeats(df, "t", 40, key="k").where("fired").collect()}
     exp = {(k, t) for k in ("a", "b") for t in _fold({t for kk, t in data if kk == k}, 40)}
     assert got == exp
 

@@ -39,14 +39,6 @@ def test_regex_runs_once_per_line(spark):
     assert p.count("regexp_replace(") == 1 and "RLike" not in p and "rlike(" not in p.lower()
 
 
-def test_spread_only_small_scans(spark):
-    from logweave.sources.tables import _bytes, spread
-    df = spark.read.parquet(f"{SF}/events.parquet")
-    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(df, max_bytes=0) is df
-    assert _bytes("128m") == _bytes("134217728b") == 1 << 27
-
-
 def test_holdout_ranks_only_first_rows_per_user(spark):
     from logweave.operators import splits
     o = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_custkey")

@@ -22,7 +22,7 @@ def _fold(ts, quiet):
 @given(ts=times, quiet=st.integers(min_value=1, max_value=400), bucket=st.integers(min_value=1, max_value=500))
 def test_doubling_fold_equals_sequential(spark, ts, quiet, bucket):
     df = spark.createDataFrame([(t,) for t in ts], "t long")
-    got = {r["t"] for r in suppress_repeats(df, "t", quiet, bucket=bucket, task_limit=0).where("fired").collect()}
+    got = {r["t"] for r in suppress_repeats(df, "t", quiet, bucket=bucket).where("fired").collect()}
     assert got == _fold(ts, quiet)
 
 

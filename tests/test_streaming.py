@@ -175,12 +175,12 @@ def test_print_and_console_sinks(spark, capsys):
 
 def test_delimited_readers(spark):
     d = _dir()
-    open(d + "/r.tsv", "w").write("1\t6\t5\t887431973\n2\t10\t3\t875693118\n")
-    open(d + "/u.txt", "w").write("1|24|M|technician|85711\n2|53|F|other|V3N4P\n")
-    open(d + "/g.txt", "w").write("unknown|0\nAction|1\n\n")
-    assert rows(streams.ratings(spark, d + "/r.tsv")) == [(1, 6, 5, 887431973), (2, 10, 3, 875693118)]
-    assert rows(streams.users(spark, d + "/u.txt"), "id", "zip") == [(1, "85711"), (2, "V3N4P")]
-    assert rows(streams.genres(spark, d + "/g.txt")) == [("Action", 1), ("unknown", 0)]
+    open(d + "/r.tsv", "w").write("71\t908\t4\t1700000001\n72\t33\t2\t1700000502\n")
+    open(d + "/u.txt", "w").write("71|40|X|gardener|00071\n72|19|Y|pilot|AB12C\n")
+    open(d + "/g.txt", "w").write("space opera|4\nheist|9\n\n")
+    assert rows(streams.ratings(spark, d + "/r.tsv")) == [(71, 908, 4, 1700000001), (72, 33, 2, 1700000502)]
+    assert rows(streams.users(spark, d + "/u.txt"), "id", "zip") == [(71, "00071"), (72, "AB12C")]
+    assert rows(streams.genres(spark, d + "/g.txt")) == [("heist", 9), ("space opera", 4)]
 
 
 def test_archive_batches_order(spark):
