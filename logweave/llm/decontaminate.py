@@ -38,7 +38,8 @@ def _fingerprints(df: DataFrame, k: int, window: int, short: list[int]) -> DataF
     """Adds ``fps``: distinct fingerprints of the array ``words``; needs no shuffle.
 
     Each array feeds the next through several references, so the optimizer keeps it as a
-    column and computes it once per row.
+    column and computes it once per row.  (Explode ``fps`` with the outer form: the plain
+    form implies a filter that is pushed below these columns and computes them again.)
     """
     df = df.withColumn("h", F.expr("transform(words, w -> xxhash64(w))")).withColumn("n", F.size("h"))
     refs = ", ".join(f"h[i + {j}]" for j in range(k))
@@ -57,7 +58,7 @@ def _windows(df: DataFrame, lengths: list[int], keep: list[str]) -> DataFrame:
     parts = []
     for m in lengths:
         at = F.expr(f"if(n >= {m}, sequence(0, n - {m}), array())").cast("array<int>")
-        parts.append(df.select(*keep, "words", F.explode(at).alias("at")).select(
+        parts.append(df.select(*keep, "words", F.explode_outer(at).alias("at")).where("at is not null").select(
             *keep, "at", F.lit(m).alias("span"), F.array_join(F.slice("words", F.col("at") + 1, m), " ").alias("key")))
     return reduce(DataFrame.unionAll, parts)
 
@@ -75,7 +76,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     items = cut_table(items.withColumn("n", F.size("words")).where("n > 0").distinct(), "items")
     short = [r[0] for r in items.where(F.col("n") < window).select("n").distinct().orderBy("n").collect()]
     item_fps = _of_items(items, window, short, lambda d, m: _fingerprints(
-        d.select("words"), k, window, [m] if m < window else []).select(F.explode("fps").alias("item_fp"))).distinct()
+        d.select("words"), k, window, [m] if m < window else []).select(F.explode_outer("fps").alias("item_fp"))).where("item_fp is not null").distinct()
     item_runs = _of_items(items, window, short, lambda d, m: _windows(d, [m], ["item"])).select("item", "span", "key").distinct()
     item_fps, item_runs = cut_table(item_fps, "item-fps"), cut_table(item_runs, "item-runs")
 

@@ -68,7 +68,9 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         f"""if(size(m{i}) > 0, transform(sequence(0, size(m{i}) - 1), j -> named_struct('gen', {i}, 'j', j,
             'match', get(m{i}, j), 'gap', length(get(g{i}, j)), 'before', right(get(g{i}, j), {CONTEXT}),
             'after', left(get(g{i}, j + 1), {CONTEXT}))), array())""") for i in range(len(GENERATORS))])
-    c = d.select("doc_id", "text_key", F.explode(F.flatten(found)).alias("c")).select("doc_id", "text_key", "c.*")
+    # The outer form: a plain explode implies a filter on its size, which would be pushed below the match
+    # columns and run the patterns again inside the lambdas.
+    c = d.select("doc_id", "text_key", F.explode_outer(F.flatten(found)).alias("c")).where("c is not null").select("doc_id", "text_key", "c.*")
     n = c.sparkSession.conf.get("spark.sql.shuffle.partitions")
     c = c.repartition(int(n), "doc_id", "text_key").dropDuplicates(["doc_id", "text_key", "gen", "j"])
     w = Window.partitionBy("doc_id", "text_key", "gen").orderBy("j")
