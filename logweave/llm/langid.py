@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import mix, text_bytes, text_chunks
+from logweave.llm.common import cut_table, mix, small_side, text_bytes, text_chunks
 
 DIM = 4096
 CENTROIDS = 4
@@ -146,7 +146,9 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     counts = np.array([freq.get(i, 0) for i in range(DIM)])
     idf = np.log((1 + total) / (1 + counts)).astype(np.float32) + 1
     # A bounded sample per language: ids whose hash lies below sample / rows of the language.
-    sizes = t.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    # One row per language, broadcast after its count, so that rows are thinned before they are dealt by language.
+    sizes = cut_table(t.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    sizes = small_side(sizes, sizes.count())
     u = F.conv(F.substring("h", 1, 13), 16, 10).cast("double") / float(1 << 52)
     picked = t.join(sizes, "lang").where(u * F.col("rows") < sample).select("lang", "letters", "h")
     fits = picked.groupBy("lang").applyInPandas(_cluster(idf), "lang string, centroids binary, floor double")
