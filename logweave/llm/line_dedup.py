@@ -1,9 +1,10 @@
 """Line dedup as an exact set-similarity join, with DataFrame operations only.
 
 A line's set holds its distinct tokens (runs without white space).  Tokens are ordered by
-rarity: all tokens of the corpus are counted in ``BUCKETS`` hash buckets, and the rank of
-a token's bucket followed by the rest of its 64-bit hash is one long, so sorting a line's
-longs puts rare tokens first.  The table of bucket ranks has a fixed size.
+rarity: all tokens of the corpus are counted in ``BUCKETS`` hash buckets, and the rarity
+class of a token's bucket (a third of an octave of its count) followed by the low 57 bits of
+the token's hash is one long, so sorting a line's longs puts rare tokens first.  The table of
+bucket classes has a fixed size, one byte a bucket.
 
 A line is removed when an earlier line of the corpus (by doc_id, then line number) has a
 Jaccard similarity of ``num / den`` or more with it, whether or not that earlier line is
@@ -22,16 +23,17 @@ come first; empty tables work; other columns pass through unchanged.
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import cut_table, small_side
 
 NUM, DEN = 80, 100
 #: Rarity buckets; a power of two.
-BUCKETS = 8192
+BUCKETS = 1 << 17
 _SHIFT = 64 - BUCKETS.bit_length() + 1
+#: Bits of a token's hash that follow its rarity class.
+_LOW = 57
 #: Most documents with removed lines whose line flags are broadcast.
 BROADCAST_DOCS = 200_000
 
@@ -48,27 +50,28 @@ def _hashes(line):
     return F.array_remove(F.transform(F.split(line, " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit("")))
 
 
-def bucket_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Rank of every hash bucket by its number of tokens in the whole corpus, rarest first."""
+def rarity_classes(docs: DataFrame, text: str = "text") -> Column:
+    """Array constant: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest."""
     one_line = F.replace(_spaced(text), F.lit("\n"), F.lit(" "))
     token = docs.select(F.explode(F.split(one_line, " ")).alias("t")).where("t != ''")
-    rows = token.groupBy(F.shiftrightunsigned(F.xxhash64("t"), _SHIFT).alias("b")).count().collect()  # at most BUCKETS rows
-    count = np.zeros(BUCKETS, dtype=np.int64)
-    for b, n in rows:
-        count[b] = n
-    rank = np.empty(BUCKETS, dtype=np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(BUCKETS)
-    return rank
-
-
-def token_sets(lines: DataFrame, rank: np.ndarray, line: str = "line") -> DataFrame:
+    count = token.groupBy(F.shiftrightunsigned(F.xxhash64("t"), _SHIFT).alias("b")).count()
+    level = F.least(F.floor(3 * F.log2("count")), F.lit(126)).cast("int")
+    # At most BUCKETS entries, gathered as one short array per 512 buckets.
+    rows = count.groupBy(F.shiftright("b", 9).alias("top")).agg(F.collect_list(F.struct(F.col("b").cast("int"), level)).alias("at")).collect()
+    table = [0] * BUCKETS
+    for row in rows:
+        for bucket, value in row["at"]:
+            table[bucket] = value
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+
+
+def token_sets(lines: DataFrame, rarity: Column, line: str = "line") -> DataFrame:
     """Adds ``toks``: the distinct tokens of each line as longs, rarest first."""
-    table = F.lit(rank)
-    low = F.lit((1 << _SHIFT) - 1).cast("long")
+    low = F.lit((1 << _LOW) - 1).cast("long")
 
     def pack(h):
-        r = F.coalesce(F.get(table, F.shiftrightunsigned(h, _SHIFT).cast("int")), F.lit(0).cast("long"))
-        return F.shiftleft(r, _SHIFT).bitwiseOR(h.bitwiseAND(low))
+        r = F.coalesce(F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")), F.lit(0).cast("long"))
+        return F.shiftleft(r, _LOW).bitwiseOR(h.bitwiseAND(low))
 
     return lines.withColumn("toks", F.sort_array(F.array_distinct(F.transform(_hashes(F.col(line)), pack))))
 
@@ -87,7 +90,7 @@ def _order(prefix: str = ""):
     return F.struct(*[F.col(prefix + c) for c in ("doc_id", "text_key", "line_no")])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rank: np.ndarray, doc_id: str, text: str) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rarity: Column, doc_id: str, text: str) -> DataFrame:
     """Classes (cid, h2) that come later than a class at the threshold, from candidate pairs of class ids."""
     pairs = cut_table(pairs, "pairs")
     ids = cut_table(pairs.select(F.explode(F.array("x", "y")).alias("need")).distinct(), "need")
@@ -98,7 +101,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rank: np.nd
     at = (F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))
           & (F.col("line_no") == F.col("w_no")))
     lines = _lines(docs, doc_id, text).join(small_side(w, w.count()), at, "left_semi").dropDuplicates(["doc_id", "text_key", "line_no"])
-    t = token_sets(lines, rank).select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"),
+    t = token_sets(lines, rarity).select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"),
                                        F.col("line_no").alias("w_no"), "toks")
     full = cut_table(c.join(t, at).select("cid", "h2", "n", _order().alias("at"), "toks"), "need-tokens")
     x = full.toDF("x", "x2", "nx", "ax", "tx")
@@ -113,8 +116,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rank: np.nd
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_key, line_no, removed) of every line with a token."""
-    rank = bucket_ranks(docs, text)
-    t = token_sets(_lines(docs, doc_id, text), rank).withColumn("n", F.size("toks")).where("n > 0")
+    rarity = rarity_classes(docs, text)
+    t = token_sets(_lines(docs, doc_id, text), rarity).withColumn("n", F.size("toks")).where("n > 0")
     sketch = F.expr("aggregate(toks, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
     t = t.select("doc_id", "text_key", "line_no", "n", F.xxhash64("n", "toks").alias("cid"), F.hash("toks").alias("h2"),
                  sketch.alias("sk"), F.slice("toks", 1, (F.col("n") - _need(F.col("n")) + 1).cast("int")).alias("prefix"))
@@ -132,12 +135,11 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         position = 1 + F.least(nx - px, ny - py) - 1 >= overlap
         return length & position & (F.bit_count(sx.bitwiseXOR(sy)) <= nx + ny - 2 * overlap)
 
-    w = Window.partitionBy("tok")
-    lead = F.min(F.struct("doc_id", "cid", "n", "pos", "sk")).over(w)
-    star = posts.withColumn("l", lead).where("cid != l.cid").where(fits(
+    lead = posts.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "pos", "sk")).alias("l"), F.count(F.lit(1)).alias("sharing"))
+    star = posts.join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(fits(
         F.col("n"), F.col("pos"), F.col("sk"), F.col("l.n"), F.col("l.pos"), F.col("l.sk")))
     late = _verified(star.select(F.greatest("cid", "l.cid").alias("x"), F.least("cid", "l.cid").alias("y")).distinct(),
-                     classes, docs, rank, doc_id, text)
+                     classes, docs, rarity, doc_id, text)
     open_ = posts.join(late.select(F.col("cid").alias("done")), F.col("cid") == F.col("done"), "left_anti")
     x = open_.toDF("x", "nx", "sx", "dx", "px", "tok")
     y = posts.toDF("y", "ny", "sy", "dy", "py", "tok")
@@ -145,7 +147,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = x.join(y, "tok").where((F.col("x") != F.col("y")) & (F.col("dx").isNotNull() | F.col("dy").isNull())
                                    & (F.col("dy").isNull() | (F.col("dx") >= F.col("dy"))))
     pairs = pairs.where(fits(*[F.col(c) for c in ("nx", "px", "sx", "ny", "py", "sy")]))
-    late = late.unionAll(_verified(pairs.select("x", "y").distinct(), classes, docs, rank, doc_id, text)).distinct()
+    late = late.unionAll(_verified(pairs.select("x", "y").distinct(), classes, docs, rarity, doc_id, text)).distinct()
 
     k = classes.join(late.withColumn("late", F.lit(True)), ["cid", "h2"], "left").select(
         "cid", "h2", "n", _order().alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
