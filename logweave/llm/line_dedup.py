@@ -2,7 +2,7 @@
 
 A line's set holds its distinct tokens (runs without white space).  Tokens are ordered by
 rarity: all tokens of the corpus are counted in ``BUCKETS`` hash buckets, and the rarity
-class of a token's bucket (a third of an octave of its count) followed by the low 57 bits of
+class of a token's bucket (two thirds of an octave of its count) followed by the low 57 bits of
 the token's hash is one long, so sorting a line's longs puts rare tokens first.  The table of
 bucket classes has a fixed size, one byte a bucket.
 
@@ -11,9 +11,10 @@ Jaccard similarity of ``num / den`` or more with it, whether or not that earlier
 removed itself.  Equal sets are one class, represented by its first line.  Classes are
 joined on the tokens of their prefixes (n - ceil(t n) + 1 rarest tokens) under length and
 positional filters and a parity sketch (|x ^ y| >= popcount), then verified on all tokens.
-A first round pairs each class only with the earliest class of its token groups, which
-settles large groups of near copies in linear work; classes found late need no partner
-any more, and the second round joins the others with every class that shares a token.
+A first round pairs each class only with the earliest class that has one of the ``STAR``
+smallest token hashes of its prefix in common, which settles large groups of near copies in
+linear work; classes found late need no partner any more, and the second round joins the
+others with every class that shares any prefix token.
 
 Defined cases: null texts have no lines and stay null; lines without tokens are never
 matched or removed; white space other than a line feed only separates tokens; rows that
@@ -34,6 +35,8 @@ BUCKETS = 1 << 17
 _SHIFT = 64 - BUCKETS.bit_length() + 1
 #: Bits of a token's hash that follow its rarity class.
 _LOW = 57
+#: Prefix tokens of a class that the first round looks up.
+STAR = 3
 #: Most documents with removed lines whose line flags are broadcast.
 BROADCAST_DOCS = 200_000
 
@@ -47,21 +50,21 @@ def _spaced(text: str):
 
 
 def _hashes(line):
-    return F.array_remove(F.transform(F.split(line, " "), lambda t: F.xxhash64(t)), F.xxhash64(F.lit("")))
+    return F.transform(F.split(line, " "), lambda t: F.xxhash64(t))
 
 
 def rarity_classes(docs: DataFrame, text: str = "text") -> Column:
-    """Array constant: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest."""
+    """Array constant: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest, above ``_LOW`` bits."""
     one_line = F.replace(_spaced(text), F.lit("\n"), F.lit(" "))
     token = docs.select(F.explode(F.split(one_line, " ")).alias("t")).where("t != ''")
     count = token.groupBy(F.shiftrightunsigned(F.xxhash64("t"), _SHIFT).alias("b")).count()
-    level = F.least(F.floor(3 * F.log2("count")), F.lit(126)).cast("int")
+    level = F.least(F.floor(F.log2("count") * 1.5), F.lit(63)).cast("int")
     # At most BUCKETS entries, gathered as one short array per 512 buckets.
     rows = count.groupBy(F.shiftright("b", 9).alias("top")).agg(F.collect_list(F.struct(F.col("b").cast("int"), level)).alias("at")).collect()
     table = [0] * BUCKETS
     for row in rows:
         for bucket, value in row["at"]:
-            table[bucket] = value
+            table[bucket] = value << _LOW
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
@@ -70,10 +73,10 @@ def token_sets(lines: DataFrame, rarity: Column, line: str = "line") -> DataFram
     low = F.lit((1 << _LOW) - 1).cast("long")
 
     def pack(h):
-        r = F.coalesce(F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")), F.lit(0).cast("long"))
-        return F.shiftleft(r, _LOW).bitwiseOR(h.bitwiseAND(low))
+        return F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")).bitwiseOR(h.bitwiseAND(low))
 
-    return lines.withColumn("toks", F.sort_array(F.array_distinct(F.transform(_hashes(F.col(line)), pack))))
+    toks = F.array_distinct(F.transform(_hashes(F.col(line)), pack))
+    return lines.withColumn("toks", F.sort_array(F.array_remove(toks, pack(F.xxhash64(F.lit(""))))))
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -119,15 +122,17 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rarity = rarity_classes(docs, text)
     t = token_sets(_lines(docs, doc_id, text), rarity).withColumn("n", F.size("toks")).where("n > 0")
     sketch = F.expr("aggregate(toks, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
+    # Candidates share the low 31 bits of a prefix token; verification compares the tokens whole.
+    prefix = F.transform(F.slice("toks", 1, (F.col("n") - _need(F.col("n")) + 1).cast("int")),
+                         lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
     t = t.select("doc_id", "text_key", "line_no", "n", F.xxhash64("n", "toks").alias("cid"), F.hash("toks").alias("h2"),
-                 sketch.alias("sk"), F.slice("toks", 1, (F.col("n") - _need(F.col("n")) + 1).cast("int")).alias("prefix"))
+                 sketch.alias("sk"), prefix.alias("prefix"))
     t = cut_table(t, "lines")
     first = F.min(F.struct("doc_id", "text_key", "line_no", "sk", "prefix")).alias("f")
     classes = cut_table(t.groupBy("cid", "h2", "n").agg(first).select("cid", "h2", "n", "f.*"), "classes")
     # Sets of fewer than 4 tokens are at the threshold only with themselves.
     smallest = -(-NUM // (DEN - NUM))
-    posts = classes.where(F.col("n") >= smallest).select(
-        "cid", "n", "sk", "doc_id", F.posexplode("prefix").alias("pos", "tok"))
+    several = classes.where(F.col("n") >= smallest)
 
     def fits(nx, px, sx, ny, py, sy):
         overlap = F.ceil((nx + ny) * NUM / F.lit(DEN + NUM))
@@ -135,19 +140,24 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         position = 1 + F.least(nx - px, ny - py) - 1 >= overlap
         return length & position & (F.bit_count(sx.bitwiseXOR(sy)) <= nx + ny - 2 * overlap)
 
-    lead = posts.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "pos", "sk")).alias("l"), F.count(F.lit(1)).alias("sharing"))
-    star = posts.join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(fits(
-        F.col("n"), F.col("pos"), F.col("sk"), F.col("l.n"), F.col("l.pos"), F.col("l.sk")))
+    few = several.select("cid", "n", "sk", "doc_id", F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, STAR)).alias("tok"))
+    lead = few.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "sk")).alias("l"), F.count(F.lit(1)).alias("sharing"))
+    star = few.drop("doc_id").join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(fits(
+        F.col("n"), F.lit(0), F.col("sk"), F.col("l.n"), F.lit(0), F.col("l.sk")))
     late = _verified(star.select(F.greatest("cid", "l.cid").alias("x"), F.least("cid", "l.cid").alias("y")).distinct(),
                      classes, docs, rarity, doc_id, text)
-    open_ = posts.join(late.select(F.col("cid").alias("done")), F.col("cid") == F.col("done"), "left_anti")
-    x = open_.toDF("x", "nx", "sx", "dx", "px", "tok")
-    y = posts.toDF("y", "ny", "sy", "dy", "py", "tok")
-    # The earlier class of a pair has a smaller or equal document id; only the later one must still be open.
-    pairs = x.join(y, "tok").where((F.col("x") != F.col("y")) & (F.col("dx").isNotNull() | F.col("dy").isNull())
-                                   & (F.col("dy").isNull() | (F.col("dx") >= F.col("dy"))))
-    pairs = pairs.where(fits(*[F.col(c) for c in ("nx", "px", "sx", "ny", "py", "sy")]))
-    late = late.unionAll(_verified(pairs.select("x", "y").distinct(), classes, docs, rarity, doc_id, text)).distinct()
+    settled = late.select(F.col("cid").alias("done"), F.lit(True).alias("late"))
+    posts = several.join(small_side(settled, settled.count()), F.col("cid") == F.col("done"), "left").select(
+        "cid", "n", "sk", "doc_id", F.coalesce("late", F.lit(False)).alias("late"), F.posexplode("prefix").alias("pos", "tok"))
+    # Both sides are the same postings with the same columns, so that one shuffle serves both.  The class
+    # with the larger document id is the later one (either may be within a document) and must still be open.
+    x = posts.toDF("x", "nx", "sx", "dx", "lx", "px", "tok")
+    y = posts.toDF("y", "ny", "sy", "dy", "ly", "py", "tok")
+    open_ = F.when(F.col("dx").eqNullSafe(F.col("dy")), ~(F.col("lx") & F.col("ly"))).when(
+        F.col("dy").isNull() | (F.col("dx") > F.col("dy")), ~F.col("lx")).otherwise(~F.col("ly"))
+    pairs = x.join(y, "tok").where((F.col("x") > F.col("y")) & open_)
+    pairs = pairs.where(fits(*[F.col(c) for c in ("nx", "px", "sx", "ny", "py", "sy")])).select("x", "y")
+    late = late.unionAll(_verified(pairs.distinct(), classes, docs, rarity, doc_id, text)).distinct()
 
     k = classes.join(late.withColumn("late", F.lit(True)), ["cid", "h2"], "left").select(
         "cid", "h2", "n", _order().alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
