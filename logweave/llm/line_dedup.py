@@ -9,8 +9,9 @@ bucket classes has a fixed size, one byte a bucket.
 A line is removed when an earlier line of the corpus (by doc_id, then line number) has a
 Jaccard similarity of ``num / den`` or more with it, whether or not that earlier line is
 removed itself.  Equal sets are one class, represented by its first line.  Classes are
-joined on the tokens of their prefixes (n - ceil(t n) + 1 rarest tokens) under length and
-positional filters and a parity sketch (|x ^ y| >= popcount), then verified on all tokens.
+joined on the tokens of their prefixes (n - ceil(t n) + 1 rarest tokens) under a length
+filter and a parity sketch (|x ^ y| >= popcount); the position of their first common token
+and the number of common prefix tokens drop most pairs before all tokens are compared.
 A first round pairs each class only with the earliest class that has one of the ``STAR``
 smallest token hashes of its prefix in common, which settles large groups of near copies in
 linear work; classes found late need no partner any more, and the second round joins the
@@ -134,16 +135,17 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     smallest = -(-NUM // (DEN - NUM))
     several = classes.where(F.col("n") >= smallest)
 
-    def fits(nx, px, sx, ny, py, sy):
-        overlap = F.ceil((nx + ny) * NUM / F.lit(DEN + NUM))
+    def overlap(nx, ny):
+        return F.ceil((nx + ny) * NUM / F.lit(DEN + NUM))
+
+    def near(nx, sx, ny, sy):
         length = DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)
-        position = 1 + F.least(nx - px, ny - py) - 1 >= overlap
-        return length & position & (F.bit_count(sx.bitwiseXOR(sy)) <= nx + ny - 2 * overlap)
+        return length & (F.bit_count(sx.bitwiseXOR(sy)) <= nx + ny - 2 * overlap(nx, ny))
 
     few = several.select("cid", "n", "sk", "doc_id", F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, STAR)).alias("tok"))
     lead = few.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "sk")).alias("l"), F.count(F.lit(1)).alias("sharing"))
-    star = few.drop("doc_id").join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(fits(
-        F.col("n"), F.lit(0), F.col("sk"), F.col("l.n"), F.lit(0), F.col("l.sk")))
+    star = few.drop("doc_id").join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(near(
+        F.col("n"), F.col("sk"), F.col("l.n"), F.col("l.sk")))
     late = _verified(star.select(F.greatest("cid", "l.cid").alias("x"), F.least("cid", "l.cid").alias("y")).distinct(),
                      classes, docs, rarity, doc_id, text)
     settled = late.select(F.col("cid").alias("done"), F.lit(True).alias("late"))
@@ -156,8 +158,13 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     open_ = F.when(F.col("dx").eqNullSafe(F.col("dy")), ~(F.col("lx") & F.col("ly"))).when(
         F.col("dy").isNull() | (F.col("dx") > F.col("dy")), ~F.col("lx")).otherwise(~F.col("ly"))
     pairs = x.join(y, "tok").where((F.col("x") > F.col("y")) & open_)
-    pairs = pairs.where(fits(*[F.col(c) for c in ("nx", "px", "sx", "ny", "py", "sy")])).select("x", "y")
-    late = late.unionAll(_verified(pairs.distinct(), classes, docs, rarity, doc_id, text)).distinct()
+    pairs = pairs.where(near(*[F.col(c) for c in ("nx", "sx", "ny", "sy")]))
+    # The first common token has the smallest position on both sides.  All common tokens of the prefix that ends
+    # first lie in both prefixes, which leaves at least overlap - ceil(0.8 n) + 1 of them, n the larger size.
+    o, nx, ny = overlap(F.col("nx"), F.col("ny")), F.col("nx"), F.col("ny")
+    pairs = pairs.groupBy("x", "y", "nx", "ny").agg(F.min("px").alias("px"), F.min("py").alias("py"), F.count(F.lit(1)).alias("common"))
+    pairs = pairs.where((F.least(nx - F.col("px"), ny - F.col("py")) >= o) & (F.col("common") >= o - _need(F.greatest(nx, ny)) + 1))
+    late = late.unionAll(_verified(pairs.select("x", "y").distinct(), classes, docs, rarity, doc_id, text)).distinct()
 
     k = classes.join(late.withColumn("late", F.lit(True)), ["cid", "h2"], "left").select(
         "cid", "h2", "n", _order().alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
