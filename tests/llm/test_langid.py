@@ -1,3 +1,5 @@
+import base64
+import random
 import zlib
 
 import duckdb
@@ -42,3 +44,26 @@ def test_rejects_foreign_texts_and_bears_edge_rows(spark):
     assert kept.columns == df.columns and 0 < kept.count() <= len(DOCS) - 4
     assert langid.train(df.limit(0)) is None and langid.classify(df, None).where("lang_pred != 'und'").isEmpty()
     assert langid.train(df) is not None
+
+
+def test_rejects_long_foreign_texts_and_keeps_short_clean_ones(spark):
+    rnd = random.Random(5)
+
+    def words(letters, n):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))) for _ in range(n))
+
+    polish = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem "
+              "i sumieniem i powinni postępować wobec innych w duchu braterstwa. ")
+    turkish = ("Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve "
+               "birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. ")
+    odd = [words("абвгдежзийклмнопрстуфхцчшщъыьэюя", 2000), "".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(5000)),
+           words("abcdefghijklmnopqrstuvwxyz", 60), base64.b64encode(rnd.randbytes(2250)).decode(), polish, polish * 8, turkish,
+           turkish * 8, "asdf jkl qwer uiop zxcv asdfgh lkjh poiu mnbv fghj dfgh"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(langid.training_fold(docs))
+    got = langid.classify(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), model).collect()
+    assert [r.doc_id for r in got if not r.rejected] == []
+    clean = docs.where(langid.held_out()).where("text rlike '[a-z]'")
+    for size in (10, 30, 100, 300, 3000):
+        cut = langid.classify(clean.selectExpr("doc_id", f"left(text, {size}) AS text"), model).collect()
+        assert sum(r.rejected for r in cut) <= 0.02 * len(cut), size
