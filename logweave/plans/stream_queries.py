@@ -58,13 +58,17 @@ def q_stream_session_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC6 P3 W2 T1 on a stream: referer counts in 300 s windows sliding by 60 s as two
     chained streaming aggregates (append mode, watermark), top 5 per closed window ranked in
-    ``foreachBatch``.  Windows still open when the input ends are not emitted (rows-only)."""
+    ``foreachBatch``.  A last line far after the others moves the watermark past all windows,
+    so that every window is emitted; its own stay open."""
     from logweave.operators import windows
 
     base = _base(spark, "stream_top_referrers")
     (access_log_lines(table(spark, sf_dir, "events"), with_ts=True)
      .select(F.concat_ws("\t", F.date_format("arrival_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "value").alias("v"))
      .write.text(base + "/in"))
+    at = spark.read.text(base + "/in").agg(F.max(F.to_timestamp_ntz(F.substring_index("value", "\t", 1))).alias("at")).where("at is not null")
+    (at.select(F.concat(F.date_format(F.col("at") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("\t")).alias("v"))
+     .write.mode("append").text(base + "/in"))
     # Files land unordered in time, so they are taken in one trigger: rows later than the
     # watermark across triggers would be dropped, as in any event-time stream.
     raw = streams.text_dir_stream(spark, base + "/in")
@@ -86,13 +90,17 @@ def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1 + T4 on a stream: keyed state with bounded per-ip state emits each session once it
-    closes (a later row more than 30 minutes after it, or the event-time timeout).  Sessions
-    still open when the input ends are not emitted (rows-only)."""
+    """ST1 + T4 on a stream: keyed state with bounded per-ip state emits each session once the
+    watermark has passed its end by 30 minutes.  A last row far after the others moves the
+    watermark past all of them, so that every session is emitted; its own stays open."""
     base = _base(spark, "stream_closed_sessions")
     rows = parse.session_requests(access_log_lines(table(spark, sf_dir, "events"), with_ts=True),
                                   keep=["event_id", "arrival_ts"])
     rows.write.parquet(base + "/in")
+    kinds = {f.name: f.dataType for f in rows.schema}
+    end = spark.read.parquet(base + "/in").agg((F.max("arrival_ts") + F.expr("INTERVAL 1 DAY")).alias("at")).where("at is not null")
+    end.select(*[(F.col("at") if c == "arrival_ts" else F.lit("") if c == "ip" else F.lit(None)).cast(kinds[c]).alias(c)
+                 for c in rows.columns]).write.mode("append").parquet(base + "/in")
     src = spark.readStream.schema(rows.schema).parquet(base + "/in")
     out = jobs.closed_sessions_stream(src, ts="arrival_ts", watermark="1 hour")
     q = (out.writeStream.outputMode("append").format("parquet").option("path", base + "/out")

@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,13 +84,14 @@ SESSION_OUT = ("event_id long, ip string, ts timestamp, session_start timestamp,
 SESSION_STATE = "session_start long, last_ts long, n long, clicks string, ok long, err long"
 
 
-def _session_update(gap_us: int, limit: int, closed_only: bool = False, tz: str = "UTC"):
-    """Keyed-state function: per ip, the open session (start, last time, length, first
-    ``limit`` urls, success and error counts) -- bounded state whatever the session length.
+def _to_ts(us: int, tz: str) -> pd.Timestamp:
+    return pd.Timestamp(us, unit="us", tz="UTC").tz_convert(tz).tz_localize(None)
+
 
-    ``closed_only=False`` emits the updated session after every row (ST2);
-    ``closed_only=True`` emits each session once, when it closes: when a later row is
-    more than ``gap`` after it, or when the event-time timeout fires (ST1)."""
+def _session_update(gap_us: int, limit: int, tz: str = "UTC"):
+    """Keyed-state function of ST2: per ip, the open session (start, last time, length, first
+    ``limit`` urls, success and error counts) -- bounded state whatever the session length.
+    Emits the updated session after every row; the rows of a micro-batch are taken in time order."""
     def to_us(x) -> int:
         # Spark hands pandas naive wall-clock times of the session time zone; the state
         # keeps epoch microseconds of the actual instants, so gaps, the event-time
@@ -98,15 +100,8 @@ def _session_update(gap_us: int, limit: int, closed_only: bool = False, tz: str
         t = t if t.tzinfo else t.tz_localize(tz, ambiguous=False, nonexistent="shift_forward")
         return t.value // 1000
 
-    def to_ts(us: int) -> pd.Timestamp:
-        return pd.Timestamp(us, unit="us", tz="UTC").tz_convert(tz).tz_localize(None)
-
     def fn(key, pdfs, state: GroupState):
         if state.hasTimedOut:
-            if closed_only and state.exists:
-                start, last, n, clicks, okc, errc = state.get
-                yield pd.DataFrame([(key[0], to_ts(start), to_ts(last), n, json.loads(clicks), okc, errc)],
-                                   columns=CLOSED_COLUMNS)
             state.remove()
             return
         if state.exists:
@@ -116,13 +111,13 @@ def _session_update(gap_us: int, limit: int, closed_only: bool = False, tz: str
             start = last = None
             n = okc = errc = 0
             clicks = []
-        out, closed = [], []
-        for pdf in pdfs:
-            for r in pdf.sort_values(["ts", "seq"]).itertuples(index=False):
+        out = []
+        # Spark hands a key's rows over in several chunks (spark.sql.execution.arrow.maxRecordsPerBatch).
+        chunks = list(pdfs)
+        if chunks:
+            for r in pd.concat(chunks, ignore_index=True).sort_values(["ts", "seq"]).itertuples(index=False):
                 t = to_us(r.ts)
                 if last is None or t > last + gap_us:
-                    if last is not None:
-                        closed.append((key[0], to_ts(start), to_ts(last), n, list(clicks), okc, errc))
                     start, n, okc, errc, clicks = t, 0, 0, 0, []
                 n += 1
                 if len(clicks) < limit:
@@ -131,19 +126,75 @@ def _session_update(gap_us: int, limit: int, closed_only: bool = False, tz: str
                 good = (not pd.isna(code)) and 200 <= int(code) < 400
                 okc, errc = okc + int(good), errc + int(not good)
                 last = t if last is None or t > last else last
-                out.append((r.seq, key[0], to_ts(t), to_ts(start), n, list(clicks), okc, errc))
+                out.append((r.seq, key[0], _to_ts(t, tz), _to_ts(start, tz), n, list(clicks), okc, errc))
         if last is not None:
             state.update((start, last, n, json.dumps(clicks), okc, errc))
             state.setTimeoutTimestamp(last // 1000 + gap_us // 1000)
-        if closed_only:
-            if closed:
-                yield pd.DataFrame(closed, columns=CLOSED_COLUMNS)
-        elif out:
+        if out:
             yield pd.DataFrame(out, columns=["event_id", "ip", "ts", "session_start", "sessionLength", "clickstream",
                                              "successCodes", "errorCodes"])
     return fn
 
 
+# Open pieces of sessions as JSON: [[start, last, rows, ok, err, [[time, seq, url], ...]], ...] in epoch microseconds
+CLOSED_STATE = "pieces string"
+
+
+def _pieces(pdf: pd.DataFrame, gap_us: int, limit: int) -> list[list]:
+    """Sessions within some rows of one ip, in any order."""
+    pdf = pdf.sort_values(["us", "seq"])
+    us, seq, url = pdf["us"].to_numpy(), pdf["seq"].tolist(), pdf["url"].tolist()
+    code = pd.to_numeric(pdf["status"], errors="coerce").to_numpy(dtype=float)
+    good = (code >= 200) & (code < 400)
+    edge = [0, *(np.flatnonzero(np.diff(us) > gap_us) + 1).tolist(), len(us)]
+    out = []
+    for a, b in zip(edge, edge[1:]):
+        ok = int(good[a:b].sum())
+        out.append([int(us[a]), int(us[b - 1]), b - a, ok, b - a - ok,
+                    [[int(us[i]), seq[i], url[i]] for i in range(a, min(b, a + limit))]])
+    return out
+
+
+def _joined(pieces: list[list], gap_us: int, limit: int) -> list[list]:
+    """Pieces that lie within ``gap_us`` of each other as one; the same for every order of arrival."""
+    out: list[list] = []
+    for p in sorted(pieces, key=lambda p: p[:2]):
+        if out and p[0] <= out[-1][1] + gap_us:
+            q = out[-1]
+            out[-1] = [q[0], max(q[1], p[1]), q[2] + p[2], q[3] + p[3], q[4] + p[4],
+                       sorted(q[5] + p[5], key=lambda c: c[:2])[:limit]]
+        else:
+            out.append(p)
+    return out
+
+
+def _session_close(gap_us: int, limit: int, tz: str = "UTC"):
+    """Keyed-state function of ST1: per ip, the open sessions as pieces that join in any order
+    of rows; each is emitted once, when the watermark has passed its last row by ``gap``, so
+    that no later row can belong to it."""
+    def fn(key, pdfs, state: GroupState):
+        open_ = json.loads(state.get[0]) if state.exists else []
+        if not state.hasTimedOut:
+            fresh: list[list] = []
+            for pdf in pdfs:
+                fresh += _pieces(pdf, gap_us, limit) if len(pdf) else []
+                if len(fresh) > len(open_) + 10_000:
+                    open_, fresh = _joined(open_ + fresh, gap_us, limit), []
+            open_ = _joined(open_ + fresh, gap_us, limit)
+        passed = state.getCurrentWatermarkMs() * 1000
+        closed = [p for p in open_ if p[1] + gap_us < passed]
+        open_ = [p for p in open_ if p[1] + gap_us >= passed]
+        if open_:
+            state.update((json.dumps(open_),))
+            state.setTimeoutTimestamp((open_[0][1] + gap_us) // 1000)
+        elif state.exists:
+            state.remove()
+        if closed:
+            yield pd.DataFrame([(key[0], _to_ts(p[0], tz), _to_ts(p[1], tz), p[2], [c[2] for c in p[5]], p[3], p[4])
+                                for p in closed], columns=CLOSED_COLUMNS)
+    return fn
+
+
 CLOSED_COLUMNS = ["ip", "session_start", "session_end", "sessionLength", "clickstream", "successCodes", "errorCodes"]
 CLOSED_OUT = ("ip string, session_start timestamp, session_end timestamp, sessionLength long, "
               "clickstream array<string>, successCodes long, errorCodes long")
@@ -157,14 +208,13 @@ def closed_sessions_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id
                            watermark: str = "1 hour", limit: int = CLICKSTREAM_LIMIT) -> DataFrame:
     """ST1 + T4 on a stream: one row per session once it has closed (append mode).
 
-    Keyed state holds only the open session's counters and first ``limit`` urls, so a
-    session of any length costs the same state.  Input columns: ip, url, status, ``ts``,
-    ``seq``."""
+    Keyed state holds only the open sessions' counters and first ``limit`` urls, so a
+    session of any length costs the same state.  Rows may come in any order within the
+    watermark.  Input columns: ip, url, status, ``ts``, ``seq``."""
     e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq"))
-         .withWatermark("ts", watermark))
+         .withColumn("us", F.unix_micros("ts")).withWatermark("ts", watermark))
     return e.groupBy("ip").applyInPandasWithState(
-        _session_update(duration_us(gap), limit, closed_only=True, tz=_session_tz(rows)), CLOSED_OUT,
-        SESSION_STATE, "append",
+        _session_close(duration_us(gap), limit, tz=_session_tz(rows)), CLOSED_OUT, CLOSED_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
 
 
