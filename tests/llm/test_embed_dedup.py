@@ -51,3 +51,22 @@ def test_edge_vectors_and_groups(spark):
     got = sorted((tuple(x) for x in ed.near_duplicates(null).collect()), key=str)
     assert got == [(5, 1, 5, True), (5, 1, 5, True), (None, 0, None, None)]
     assert ed.near_duplicates(null.limit(0)).count() == 0
+
+
+def _planted(spark, sizes, alone):
+    """Groups of such sizes far apart and lone vectors; (rep, dim, v)."""
+    r = np.random.default_rng(8)
+    vecs = [b + 0.03 * r.normal(size=32) for n in sizes for b in [r.normal(size=32)] for _ in range(n)]
+    vecs += list(r.normal(size=(alone, 32)))
+    rows = [(i, 32, list(map(float, v))) for i, v in enumerate(vecs)]
+    return spark.createDataFrame(rows, "rep long, dim int, v array<double>").repartition(4)
+
+
+def test_audit_is_never_empty_and_weighs_probes(spark):
+    _, alone = ed.near_links(_planted(spark, [], 600), shard_rows=200)
+    assert alone.linked == 0 and alone.probes > 200 and alone.neighbours >= 0.97
+    _, lost = ed.near_links(_planted(spark, [], 600), beam=1, min_recall=0.0, shard_rows=200)
+    assert lost.neighbours < 0.5  # a search that finds too little is seen without any link
+    _, planted = ed.near_links(_planted(spark, [1500, 200] + [3] * 100 + [2] * 200, 1000), shard_rows=1000)
+    print(planted)
+    assert planted.linked > 50 and planted.links >= 0.97 and planted.neighbours > 0.5
