@@ -147,6 +147,9 @@ def parse(source: str) -> Tree:
                     if name in GROUPS:
                         flush()
             continue
+        if name in ("svg", "math") and attrs.endswith("/"):  # self-closed, unlike elements of HTML itself
+            text(" ")
+            continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
             at = end.end() if end else n

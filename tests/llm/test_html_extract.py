@@ -72,3 +72,10 @@ def test_edge_pages(spark):
     by = {r.page_id: r.text for r in got}
     assert by[1] == by[2] == by[8] == "" and by[5].count("a. b. c.") == 20_000
     assert he.extract(df.limit(0), he.train(df.limit(0))).count() == 0
+
+
+def test_self_closed_foreign_elements_keep_the_rest_of_the_page():
+    page = "<article><p>The first sentence of the article is here.</p>{}<p>The second one follows it, also whole.</p></article>"
+    for inner in ("<svg/>", '<svg class="i" />', "<math/>", "<svg><path d='m'/>no text</svg>"):
+        text = he.main_text(page.format(inner), he.Potentials())
+        assert text == "The first sentence of the article is here.\n\nThe second one follows it, also whole.", inner
