@@ -80,3 +80,33 @@ SELECT doc_id, len(s)::BIGINT AS n_lines, (len(s) - coalesce(n_kept, 0))::BIGINT
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN g USING (r)
 """
+
+SQL["op13_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+f AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+g AS (SELECT part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+                    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+                    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS bad,
+             EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND quality = 1) AS good,
+             EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND toxic = 1) AS toxic
+      FROM f),
+c AS (SELECT part, bad, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM g GROUP BY ALL),
+l AS (SELECT unnest(range(1, 6)) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS p FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT p, k, p[k] AS i FROM o, (SELECT i AS k FROM l)),
+r AS (SELECT part, p, k, any_value(i) AS i,
+             sum(n) FILTER (NOT before AND bad[i]) AS removed, sum(n) FILTER (before AND bad[i]) AS redundant,
+             sum(n) FILTER (NOT before AND NOT bad[i]) AS kept, sum(n) FILTER (bad[i] AND alone) AS unique_fails,
+             sum(n_good) FILTER (NOT before AND bad[i]) AS good_lost, sum(n_toxic) FILTER (NOT before AND bad[i]) AS toxic_lost
+      FROM (SELECT c.*, p, k, i, list_bool_or([false] || [bad[j] FOR j IN p[1:k - 1]]) AS before,
+                   len([x FOR x IN bad IF x]) = 1 AS alone FROM c, s)
+      GROUP BY part, p, k)
+SELECT part, array_to_string([substr('ABCDE', j, 1) FOR j IN p], '') AS filter_order, k::INTEGER AS step,
+       coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+       coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, i))::BIGINT AS shapley
+FROM r
+"""
