@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import (decontaminate, embed_dedup, filter_audit, html_extract, langid, line_dedup, mixing, ngram_join,
-                          pii, suffix_dedup, warc)
+from logweave.llm import (collocations, decontaminate, embed_dedup, filter_audit, html_extract, langid, line_dedup, mixing,
+                          ngram_join, pii, suffix_dedup, warc)
 from logweave.llm.common import new_path, read
 
 
@@ -72,10 +72,15 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark, sf_dir):
+    """Best collocations of two and three words of every language of the documents."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark, sf_dir):
     """Five filters over every document: what each removes in every order, and its Shapley value, per source."""
     return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op5_html, op6_suffix_dedup, op7_ngram_join,
-                                   op8_embeddings, op9_mixing, op10_line_dedup, op13_filter_audit)}
+                                   op8_embeddings, op9_mixing, op10_line_dedup, op12_collocations, op13_filter_audit)}

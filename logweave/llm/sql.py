@@ -110,3 +110,28 @@ SELECT part, array_to_string([substr('ABCDE', j, 1) FOR j IN p], '') AS filter_o
        (sum(coalesce(removed, 0)) OVER (PARTITION BY part, i))::BIGINT AS shapley
 FROM r
 """
+
+SQL["op12_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\x0A-\x0D]')) AS s FROM documents),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS w, count(*) AS f FROM i GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, w, f AS a FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT c.lang, c.phrase, c.a, j AS cut, x.f AS l, y.f AS r,
+                (1000000 * a::HUGEINT * a::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+         JOIN f x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(c.w[1:j], ' ')
+         JOIN f y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+held AS (SELECT lang, part, max(a) AS longer
+         FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3)
+         GROUP BY lang, part),
+kept AS (SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.part = b.phrase
+         WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
