@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logweave.llm import (collocations, decontaminate, embed_dedup, filter_audit, html_extract, langid, line_dedup, mixing,
-                          ngram_join, pii, suffix_dedup, warc)
+from logweave.llm import (chat_format, collocations, decontaminate, embed_dedup, filter_audit, html_extract, langid, line_dedup,
+                          mixing, ngram_join, pii, suffix_dedup, warc)
 from logweave.llm.common import new_path, read
 
 
@@ -72,6 +72,38 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def chat_records(conv):
+    """Stand-in input: every conversation as one JSON record, in one of the layouts that can hold its roles.
+
+    Rows go by turn (ties by role and text, nulls first); null texts and roles are empty.
+    """
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    c = conv.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
+    plain = "forall(t, x -> x.role in ('user', 'assistant', 'system'))"
+    pair = "size(t) = 2 and t[0].role = 'user' and t[1].role = 'assistant'"
+    return c.selectExpr("conv_id", f"""case
+        when pmod(conv_id, 5) = 1 and {plain} then to_json(struct(transform(t, x -> struct(
+            case x.role when 'user' then 'human' when 'assistant' then 'gpt' else x.role end as `from`, x.text as value)) as conversations))
+        when pmod(conv_id, 5) = 2 then to_json(struct(struct(transform(t, x -> struct(
+            struct(x.role as name) as speaker, struct(x.text as text) as utterance)) as turns) as dialogue))
+        when pmod(conv_id, 5) = 3 and {pair} then to_json(struct(t[0].text as prompt, t[1].text as completion))
+        when pmod(conv_id, 5) = 4 and {pair} then to_json(struct(t[0].text as instruction, t[1].text as output))
+        else to_json(struct(transform(t, x -> struct(x.role as role, x.text as content)) as messages)) end as record""")
+
+
+def op11_chat_format(spark, sf_dir):
+    """Every conversation (and one of control strings) formatted, then read back from the formatted text."""
+    conv = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], conv.schema)
+    out = chat_format.format_records(chat_records(conv.unionAll(more)))
+    back = chat_format.read_back(out.select("conv_id", "formatted", "loss"))
+    spelled = F.expr("array_join(transform(read_turns, x -> concat(x.role, '\n', x.text, '\n')), '')")
+    return back.select("conv_id", F.size("read_turns").cast("long").alias("n_turns"), F.sha2(spelled, 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op12_collocations(spark, sf_dir):
     """Best collocations of two and three words of every language of the documents."""
     return collocations.collocations(read(spark, sf_dir, "documents"))
@@ -83,4 +115,4 @@ def op13_filter_audit(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_langid, op2_warc, op3_pii, op4_decontaminate, op5_html, op6_suffix_dedup, op7_ngram_join,
-                                   op8_embeddings, op9_mixing, op10_line_dedup, op12_collocations, op13_filter_audit)}
+                                   op8_embeddings, op9_mixing, op10_line_dedup, op11_chat_format, op12_collocations, op13_filter_audit)}

@@ -135,3 +135,16 @@ SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC,
        phrase, a, l, r, n, score::BIGINT AS score
 FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 """
+
+SQL["op11_chat_format"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, length(text) + len(regexp_extract_all(text, '<\\*(?:s>|/s>|<SYS>>|</SYS>>)|\[\\*(?:INST\]|/INST\])')) AS body FROM c),
+m AS (SELECT *, body + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 16 + length(url_encode(role)) END AS whole FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(whole)::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id
+"""
