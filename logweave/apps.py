@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from logweave.operators import ml, parse, textstats
 from logweave.sources import streams
-from logweave.streaming import jobs, listener, run, sinks
+from logweave.session import rocksdb_state
+from logweave.streaming import jobs, listener, run, sinks, sliding
 
 
 def _with_arrival(lines: DataFrame, time_col: str | None) -> DataFrame:
@@ -23,19 +24,25 @@ def _with_arrival(lines: DataFrame, time_col: str | None) -> DataFrame:
 
 
 def log_parser(lines: DataFrame, checkpoint: str, time_col: str | None = None, length: str = "300 seconds",
-               slide: str = "1 second", k: int = 5, watermark: str = "1 minute", **opts):
+               slide: str = "1 second", k: int = 5, watermark: str = "1 minute", sink=None, **opts):
     """Top referrers and user agents over a sliding window (P3 W2 T1 SNK1)."""
     t = time_col or "arrival_ts"
     src = _with_arrival(lines, time_col)
     queries = []
     for field in ("referer", "agent"):
         f = parse.field_or_error(src, field, keep=[t])
-        counts = jobs.sliding_counts_stream(f, field, t, length, slide, watermark)
-        queries.append(run.start(counts, f"{checkpoint}/{field}",
-                                 foreach_batch=jobs.top_k_each_batch(field, k, sinks.print_rows(k)), **opts))
+        queries.append(_top_windows(f, field, t, length, slide, watermark, k, f"{checkpoint}/{field}", sink, opts))
     return queries
 
 
+def _top_windows(df, key, t, length, slide, watermark, k, checkpoint, sink, opts):
+    """Top ``k`` of every sliding window, as stretches of windows with the same ranking, to ``sink`` (default: print)."""
+    def fn(runs, batch_id):
+        (sink or sinks.print_rows(k))(sliding.top_k_runs(runs, key, k, length, slide), batch_id)
+    with rocksdb_state(df.sparkSession):
+        return run.start(sliding.sliding_runs_stream(df, key, t, length, slide, watermark), checkpoint, foreach_batch=fn, **opts)
+
+
 def log_sql(lines: DataFrame, checkpoint: str, out: str, **opts):
     """Per batch: raw (url, status, agent) rows and agent counts as JSON (P4 A4 SNK2 F4)."""
     return run.start(parse.requests(lines), checkpoint, foreach_batch=sinks.raw_and_counts_json(out), **opts)
@@ -78,15 +85,13 @@ def keyed_store(lines: DataFrame, checkpoint: str, fmt: str, options: dict, **op
 
 
 def strict_urls(lines: DataFrame, checkpoint: str, time_col: str | None = None, payload: str | None = None,
-                length: str = "300 seconds", slide: str = "1 second", watermark: str = "1 minute", **opts):
+                length: str = "300 seconds", slide: str = "1 second", watermark: str = "1 minute", sink=None, **opts):
     """Custom-receiver / Kinesis / Flume programs: strict urls, sliding counts, top 10
     (P14 P7 W2 T1 SNK1).  ``payload`` names a binary column to decode first."""
     src = parse.decode_payload(lines, payload, keep=[c for c in lines.columns if c != payload]) if payload else lines
     t = time_col or "arrival_ts"
     src = _with_arrival(src, time_col)
-    counts = jobs.sliding_counts_stream(parse.strict_urls(src, keep=[t]), "url", t, length, slide, watermark)
-    return run.start(counts, checkpoint, foreach_batch=jobs.top_k_each_batch("url", 10, sinks.print_rows(10)),
-                     **opts)
+    return _top_windows(parse.strict_urls(src, keep=[t]), "url", t, length, slide, watermark, 10, checkpoint, sink, opts)
 
 
 def word_count_per_batch(lines: DataFrame, checkpoint: str, **opts):

@@ -81,6 +81,20 @@ WHERE rank <= {k}"""
 
 
 SQL["top_referrers"] = _sliding_top("CASE WHEN ok THEN g8 ELSE '[error]' END", "referer", 5)
+SQL["stream_top_referrers"] = SQL["top_referrers"]  # the stream emits every window
+# Stretches of window starts between changes: a bucket enters at b - 299 s and leaves at b + 1 s.
+SQL["stream_top_referrers_1s"] = f"""WITH {PARSED_CTE},
+b AS (SELECT epoch_us(arrival_ts) // 1000000 AS b, CASE WHEN ok THEN g8 ELSE '[error]' END AS referer, count(*) AS n
+      FROM parsed WHERE arrival_ts IS NOT NULL GROUP BY ALL),
+r AS (SELECT referer, n, b, b - 299 AS a, b + 1 AS z, unnest(range((b - 299) // 300, b // 300 + 1)) AS cell FROM b),
+e AS (SELECT DISTINCT cell, unnest([greatest(a, cell * 300), least(z, cell * 300 + 300)]) AS p FROM r),
+s AS (SELECT cell, p, lead(p) OVER (PARTITION BY cell ORDER BY p) AS q FROM e),
+c AS (SELECT s.cell, p, q, referer, CAST(sum(n) AS BIGINT) AS "count" FROM s JOIN r ON s.cell = r.cell AND p >= a AND p < z
+      WHERE q IS NOT NULL GROUP BY ALL)
+SELECT * FROM (
+  SELECT make_timestamp(p * 1000000) AS first_start, make_timestamp((q - 1) * 1000000) AS last_start, referer, "count",
+         CAST(row_number() OVER (PARTITION BY cell, p ORDER BY "count" DESC, referer) AS INTEGER) AS rank FROM c)
+WHERE rank <= 5"""
 SQL["top_agents"] = _sliding_top("CASE WHEN ok THEN g9 ELSE '[error]' END", "agent", 5)
 SQL["top_urls_strict"] = _sliding_top(
     f"CASE WHEN ok AND len({_REQ_TOKENS}) = 3 THEN {_REQ_TOKENS}[2] ELSE '[error]' END", "url", 10)
@@ -321,3 +335,4 @@ SELECT CAST(dense_rank() OVER (ORDER BY turn) - 1 AS INTEGER) AS batch, rows, ch
   CAST(floor(sum(chars) OVER w / sum(rows) OVER w) AS BIGINT) AS avg_length,
   max(longest) OVER w AS max_length
 FROM per WINDOW w AS (ORDER BY turn ROWS UNBOUNDED PRECEDING)"""
+SQL["stream_closed_sessions"] = SQL["sessions"]  # the stream emits every session

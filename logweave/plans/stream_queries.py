@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.operators import parse, textstats
-from logweave.session import scratch_path
+from logweave.session import rocksdb_state, scratch_path
 from logweave.sources import streams
 from logweave.sources.eventlog import access_log_lines
 from logweave.sources.tables import table
-from logweave.streaming import jobs
+from logweave.streaming import jobs, sliding
 
 
 def _base(spark: SparkSession, name: str) -> str:
@@ -55,14 +55,8 @@ def q_stream_session_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sessionLength", "clickstream", "successCodes", "errorCodes")
 
 
-def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC6 P3 W2 T1 on a stream: referer counts in 300 s windows sliding by 60 s as two
-    chained streaming aggregates (append mode, watermark), top 5 per closed window ranked in
-    ``foreachBatch``.  A last line far after the others moves the watermark past all windows,
-    so that every window is emitted; its own stay open."""
-    from logweave.operators import windows
-
-    base = _base(spark, "stream_top_referrers")
+def _referrer_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """(referer, arrival_ts) from the access log as a text stream with one last line a day later."""
     (access_log_lines(table(spark, sf_dir, "events"), with_ts=True)
      .select(F.concat_ws("\t", F.date_format("arrival_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "value").alias("v"))
      .write.text(base + "/in"))
@@ -74,12 +68,24 @@ def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = streams.text_dir_stream(spark, base + "/in")
     lines = raw.select(F.to_timestamp_ntz(F.substring_index("value", "\t", 1)).alias("arrival_ts"),
                        F.expr("substring(value, instr(value, '\t') + 1)").alias("value"))
-    ref = parse.field_or_error(lines, "referer", keep=["arrival_ts"])
+    return parse.field_or_error(lines, "referer", keep=["arrival_ts"])
+
+
+def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6 P3 W2 T1 on a stream: referer counts in 300 s windows sliding by 60 s as two
+    chained streaming aggregates (append mode, watermark), top 5 per closed window ranked in
+    ``foreachBatch``.  A last line far after the others moves the watermark past all windows,
+    so that every window is emitted; its own stay open."""
+    from logweave.operators import windows
+
+    base = _base(spark, "stream_top_referrers")
+    ref = _referrer_stream(spark, sf_dir, base)
     counts = jobs.sliding_counts_stream(ref, "referer", "arrival_ts", "300 seconds", "60 seconds",
                                         watermark="10 minutes")
 
     def rank(df, batch_id):
-        windows.top_k_per_window(df, "referer", 5).write.mode("append").parquet(base + "/out")
+        # a replayed batch writes its own folder again
+        windows.top_k_per_window(df, "referer", 5).write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
 
     q = (counts.writeStream.outputMode("append").foreachBatch(rank)
          .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
@@ -89,6 +95,25 @@ def q_stream_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "referer", "count", "rank")
 
 
+def q_stream_top_referrers_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 at the reference's slide: referer counts in 300 s windows sliding by 1 s, by difference
+    counts in keyed state, and the top 5 of every window.  A row stands for the windows that start
+    in [first_start, last_start]; stretches end where a count changes or at a multiple of 300 s."""
+    base = _base(spark, "stream_top_referrers_1s")
+    ref = _referrer_stream(spark, sf_dir, base)
+
+    def rank(df, batch_id):
+        top = sliding.top_k_runs(df, "referer", 5, "300 seconds", "1 second")
+        top.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    with rocksdb_state(spark):
+        runs = sliding.sliding_runs_stream(ref, "referer", "arrival_ts", "300 seconds", "1 second", watermark="10 minutes")
+        q = (runs.writeStream.outputMode("append").foreachBatch(rank)
+             .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(base + "/out").drop("batch")
+
+
 def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 + T4 on a stream: keyed state with bounded per-ip state emits each session once the
     watermark has passed its end by 30 minutes.  A last row far after the others moves the
@@ -130,6 +155,7 @@ STREAM_QUERIES = {
     "stream_status_hourly": q_stream_status_hourly,
     "stream_session_updates": q_stream_session_updates,
     "stream_top_referrers": q_stream_top_referrers,
+    "stream_top_referrers_1s": q_stream_top_referrers_1s,
     "stream_closed_sessions": q_stream_closed_sessions,
     "archive_replay": q_archive_replay,
 }

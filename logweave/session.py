@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,9 @@ _DEFAULT_CONF = {
     # Event-time jobs run over wall-clock UTC timestamps; keep NTZ literals exact.
     "spark.sql.ansi.enabled": "true",
 }
+#: transformWithState needs this state store.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def get_spark(master: str | None = None, app: str = "logweave", shuffle_partitions: int | None = None,
@@ -43,6 +47,20 @@ def get_spark(master: str | None = None, app: str = "logweave", shuffle_partitio
     return spark
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside use the RocksDB state store; the session's own setting comes back afterwards."""
+    before = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE[0])
+        else:
+            spark.conf.set(STATE_STORE[0], before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
