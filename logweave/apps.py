@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from logweave.operators import ml, parse, textstats
 from logweave.sources import streams
 from logweave.session import rocksdb_state
-from logweave.streaming import jobs, listener, run, sinks, sliding
+from logweave.streaming import alarm_state, jobs, listener, run, sinks, sliding
 
 
 def _with_arrival(lines: DataFrame, time_col: str | None) -> DataFrame:
@@ -49,12 +49,16 @@ def log_sql(lines: DataFrame, checkpoint: str, out: str, **opts):
 
 
 def log_alarmer(spark: SparkSession, lines: DataFrame, checkpoint: str, window: str = "300 seconds",
-                max_ratio: float = 0.5, timeout: str = "600 seconds", **opts):
-    """Error-ratio and no-data alarms with source health events (P9 W4 A7 AL1-AL4)."""
+                max_ratio: float = 0.5, timeout: str = "600 seconds", sink=None, beats: DataFrame | None = None, **opts):
+    """Error-ratio and no-data alarms with source health events (P9 W4 A7 AL1-AL4).
+
+    Alarms go to ``sink`` per batch (default: printed); ``beats`` replaces the one-second heartbeat."""
     health = listener.attach(spark)
-    monitor = jobs.AlarmMonitor(spark, window=window, max_ratio=max_ratio, timeout=timeout)
-    q = run.start(parse.status_classes(lines), checkpoint, foreach_batch=monitor, **opts)
-    return q, monitor, health
+    classes = parse.status_classes(lines.withColumn("at", F.current_timestamp()), keep=["at"])
+    beats = alarm_state.heartbeat(spark) if beats is None else beats
+    events = alarm_state.alarm_stream(classes, beats, window=window, max_ratio=max_ratio, timeout=timeout)
+    with rocksdb_state(spark):
+        return run.start(events, checkpoint, foreach_batch=sink or sinks.print_rows(20), **opts), health
 
 
 def sessionizer(lines: DataFrame, checkpoint: str, time_col: str | None = None, watermark: str = "1 hour",
@@ -120,7 +124,7 @@ def text_lengths(spark: SparkSession, archive: str, checkpoint: str, **opts):
 def save_texts(spark: SparkSession, responses: DataFrame, checkpoint: str, out: str, cap: int = 1000, **opts):
     """JSON responses -> texts, one text folder per non-empty batch, stop past ``cap`` texts
     (SRC8 SNK3 A8 F4).  The caller stops the query once ``cap.done``."""
-    cap_fn = jobs.BatchCap(spark, sinks.text_per_batch(out), cap=cap)
+    cap_fn = jobs.BatchCap(spark, sinks.text_per_batch(out), cap=cap, folder=f"{checkpoint}/cap")
     q = run.start(streams.response_texts(responses).select("text"), checkpoint, foreach_batch=cap_fn, **opts)
     return q, cap_fn
 
@@ -128,7 +132,7 @@ def save_texts(spark: SparkSession, responses: DataFrame, checkpoint: str, out:
 def streaming_kmeans(spark: SparkSession, train: DataFrame, test: DataFrame, checkpoint: str, k: int = 5,
                      dim: int = 2, seed: int = 42, **opts):
     """Train on '[a,b]' lines, predict '(label,[a,b])' lines (SRC9 ML1 ML2)."""
-    model = jobs.StreamingKMeans(spark, ml.KMeansModel.random(k, dim, 0.0, seed))
+    model = jobs.StreamingKMeans(spark, ml.KMeansModel.random(k, dim, 0.0, seed), folder=f"{checkpoint}/model")
     tq = run.start(train.select(streams.parse_vector("value").alias("features")), f"{checkpoint}/train",
                    foreach_batch=model.train, **opts)
     lp = test.select(streams.parse_labeled_point("value").alias("p")).select("p.label", "p.features")
@@ -139,7 +143,7 @@ def streaming_kmeans(spark: SparkSession, train: DataFrame, test: DataFrame, che
 
 def streaming_regression(spark: SparkSession, train: DataFrame, test: DataFrame, checkpoint: str, **opts):
     """Train on 'label,x' lines, predict with the known label carried (SRC9 ML3 ML4)."""
-    model = jobs.StreamingRegression(spark)
+    model = jobs.StreamingRegression(spark, folder=f"{checkpoint}/model")
 
     def points(df):
         return (df.select(streams.parse_labeled_point("value").alias("p"))

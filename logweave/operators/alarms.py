@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logweave.session import cut
 from logweave.functions.timecols import duration_us, epoch_us, from_epoch_us
-from logweave.operators.ordered import next_after, running_totals, suppress_repeats
+from logweave.operators.ordered import suppress_repeats
 
 # --- Fixed values: reference defaults ---------------------------------------------------------
 MIN_ROWS = 100                 # alarm only when success + failure > 100
@@ -49,33 +49,6 @@ def error_ratio_alarms(totals: DataFrame, min_rows: int = MIN_ROWS, max_ratio: f
     return out.withColumn("state", state).drop("_t", "fired")
 
 
-def _interval_fold(step: int):
-    """Per-interval arithmetic fold of one run of gaps: inside a gap the alarm repeats every
-    ``step``; the first one is at the gap start or when the quiet period after the previous
-    interval's last alarm ends, whichever is later."""
-    import numpy as np
-    import pandas as pd
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_a")
-        allowed = None
-        out_s, out_n, out_t = [], [], []
-        for s_, nxt, a, b in pdf[["_s", "next", "_a", "_b"]].itertuples(index=False):
-            f = a if allowed is None else max(a, allowed)
-            if f > b:
-                continue
-            times = f + step * np.arange((b - f) // step + 1, dtype="int64")
-            out_s.append(np.full(len(times), s_, dtype="int64"))
-            out_n.append(np.full(len(times), nxt, dtype="int64"))
-            out_t.append(times)
-            allowed = int(times[-1]) + step
-        if not out_t:
-            return pd.DataFrame({"_s": [], "next": [], "_t": []}, dtype="int64")
-        return pd.DataFrame({"_s": np.concatenate(out_s), "next": np.concatenate(out_n),
-                             "_t": np.concatenate(out_t)})
-    return fold
-
-
 def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA_TIMEOUT,
                    quiet: str = QUIET_PERIOD, tick: str = "1 second") -> DataFrame:
     """AL3: alarms for stretches with no data longer than ``timeout``.
@@ -85,26 +58,13 @@ def no_data_alarms(data_times: DataFrame, ts: str = "ts", timeout: str = NO_DATA
     alarm candidate; candidates pass the 30-minute suppression rule against the last
     *fired* no-data alarm.  Returns the fired alarms: ``last_data, next_data, alarm_ts``.
 
-    The gap table has one row per data gap longer than ``timeout``.  A gap that starts a
-    whole repeat period (``quiet`` plus one tick) after the end of the gap before it cannot
-    be affected by earlier alarms, so it begins a new run; runs are numbered with
-    distributed running totals and folded independently, each with interval arithmetic
-    (one step per gap and alarm, never one per tick).
+    The gaps are ranges of candidate ticks for ``alarm_fold.fold_ranges``: no gap, run of gaps
+    or stretch of time is handled row by row in one task.
     """
-    tick_us, lim_us, quiet_us = duration_us(tick), duration_us(timeout), duration_us(quiet)
-    active = (data_times.where(F.col(ts).isNotNull())
-              .select(F.floor(epoch_us(ts) / F.lit(tick_us)).cast("long").alias("_tick"))
-              .select((F.col("_tick") * F.lit(tick_us)).alias("_s")).distinct())
-    gaps = next_after(active, "_s", 0, lim_us).where(F.col("next").isNotNull())
-    gaps = cut(gaps.select("_s", "next", (F.col("_s") + F.lit(lim_us + tick_us)).alias("_a"),
-                           (F.col("next") - F.lit(tick_us)).alias("_b"))
-               .where(F.col("_a") <= F.col("_b")))
-    step = quiet_us + tick_us
-    follow = next_after(gaps, "_a", 0, lim_us).select(F.col("_a").alias("_p"), F.col("next").alias("_n"))
-    new_run = (gaps.join(follow, F.col("_a") == F.col("_p")).where(F.col("_n") >= F.col("_b") + F.lit(step))
-               .select(F.col("_n").alias("_h"), F.lit(1).cast("long").alias("_new")))
-    runs = gaps.join(new_run, F.col("_a") == F.col("_h"), "left").withColumn("_new", F.coalesce("_new", F.lit(0).cast("long")))
-    runs = running_totals(runs.select("_s", "next", "_a", "_b", "_new"), "_a", sums=["_new"])
-    fired = runs.groupBy("run__new").applyInPandas(_interval_fold(step), "_s long, next long, _t long")
-    return fired.select(from_epoch_us("_s").alias("last_data"), from_epoch_us("next").alias("next_data"),
-                        from_epoch_us("_t").alias("alarm_ts"))
+    from logweave.operators.alarm_fold import data_gaps, fold_ranges
+
+    gaps = cut(data_gaps(data_times, ts, timeout, tick).where("next_us is not null"))
+    fired = fold_ranges(gaps, quiet, tick).withColumnRenamed("lo", "_lo")
+    fired = fired.join(gaps, F.col("_lo") == F.col("lo"))
+    return fired.select(from_epoch_us("last_us").alias("last_data"), from_epoch_us("next_us").alias("next_data"),
+                        from_epoch_us("alarm").alias("alarm_ts"))

@@ -336,3 +336,15 @@ SELECT CAST(dense_rank() OVER (ORDER BY turn) - 1 AS INTEGER) AS batch, rows, ch
   max(longest) OVER w AS max_length
 FROM per WINDOW w AS (ORDER BY turn ROWS UNBOUNDED PRECEDING)"""
 SQL["stream_closed_sessions"] = SQL["sessions"]  # the stream emits every session
+SQL["alarms_one_clock"] = f"""WITH RECURSIVE {PARSED_CTE},
+{_CLASS_TOTALS},
+d AS (SELECT DISTINCT time_bucket(INTERVAL 10 MINUTE, arrival_ts, TIMESTAMP '1970-01-01') AS d FROM parsed WHERE arrival_ts IS NOT NULL),
+tk AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 10 MINUTE)) AS t FROM d),
+er AS (SELECT window_end - INTERVAL 10 MINUTE AS t, CASE WHEN success = 0 THEN CAST('Infinity' AS DOUBLE)
+              ELSE CAST(failure AS DOUBLE) / CAST(success AS DOUBLE) END AS ratio FROM tot WHERE success + failure > 100),
+every AS (SELECT tk.t, d.d, er.ratio FROM tk ASOF JOIN d ON tk.t >= d.d LEFT JOIN er ON er.t = tk.t AND er.ratio > 0.4),
+{_fold("cand AS (SELECT *, row_number() OVER (ORDER BY t) AS rn FROM every WHERE ratio IS NOT NULL OR t > d + INTERVAL 20 MINUTE)")}
+SELECT c.t AS alarm_ts, CASE WHEN ratio IS NULL THEN 'no_data' ELSE 'error_ratio' END AS kind, ratio,
+       CASE WHEN ratio IS NULL THEN d END AS last_data
+FROM fold f JOIN cand c ON c.rn = f.rn WHERE f.fired"""
+SQL["stream_alarms"] = SQL["alarms_one_clock"]

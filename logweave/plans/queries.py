@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.operators import alarms, ml, parse, sessions, splits, textstats, windows
+from logweave.operators import alarm_fold, alarms, ml, parse, sessions, splits, textstats, windows
 from logweave.sources import streams
 from logweave.sources.eventlog import access_log_lines
 from logweave.sources.tables import table
@@ -21,6 +21,7 @@ from logweave.sources.tables import table
 SLIDING_LENGTH, SLIDING_SLIDE = "300 seconds", "60 seconds"
 ALARM_WINDOW, ALARM_SLIDE = "12 hours", "10 minutes"
 ALARM_MAX_RATIO = 0.4
+ALARM_TIMEOUT = "20 minutes"     # two ticks of ALARM_SLIDE
 HOLDOUT_START, HOLDOUT_STOP = 11, 20
 
 
@@ -84,8 +85,7 @@ def q_top_urls_strict(spark, sf_dir):
 
 
 def _class_totals(spark, sf_dir):
-    c = parse.status_classes(_lines(spark, sf_dir, with_ts=True), keep=["arrival_ts"])
-    return windows.status_class_totals(c, "arrival_ts", ALARM_WINDOW, ALARM_SLIDE)
+    return windows.status_class_totals(status_classes_at(spark, sf_dir), "arrival_ts", ALARM_WINDOW, ALARM_SLIDE)
 
 
 def q_status_class_window(spark, sf_dir):
@@ -103,6 +103,18 @@ def q_no_data_alarms(spark, sf_dir):
     return alarms.no_data_alarms(_events(spark, sf_dir), ts="ts")
 
 
+def status_classes_at(spark, sf_dir):
+    return parse.status_classes(_lines(spark, sf_dir, with_ts=True), keep=["arrival_ts"])
+
+
+def q_alarms_one_clock(spark, sf_dir):
+    """AL1 AL2 AL3 with one clock: fired alarms of both kinds up to the last arrival."""
+    c = status_classes_at(spark, sf_dir)
+    last = c.select(F.max("arrival_ts")).scalar()
+    return alarm_fold.alarms_one_clock(c, "arrival_ts", ALARM_WINDOW, ALARM_SLIDE, max_ratio=ALARM_MAX_RATIO,
+                                       timeout=ALARM_TIMEOUT, until=last)
+
+
 # ----------------------------------------------------------------------------- sessions
 def _session_rows(spark, sf_dir):
     return parse.session_requests(_lines(spark, sf_dir, with_ts=True), keep=["event_id", "arrival_ts"])
@@ -276,6 +288,7 @@ QUERIES = {
     "status_class_window": q_status_class_window,
     "error_ratio_alarms": q_error_ratio_alarms,
     "no_data_alarms": q_no_data_alarms,
+    "alarms_one_clock": q_alarms_one_clock,
     "sessions": q_sessions,
     "session_running": q_session_running,
     "session_snapshot": q_session_snapshot,

@@ -17,7 +17,7 @@ from logweave.session import rocksdb_state, scratch_path
 from logweave.sources import streams
 from logweave.sources.eventlog import access_log_lines
 from logweave.sources.tables import table
-from logweave.streaming import jobs, sliding
+from logweave.streaming import alarm_state, jobs, sliding
 
 
 def _base(spark: SparkSession, name: str) -> str:
@@ -114,6 +114,28 @@ def q_stream_top_referrers_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(base + "/out").drop("batch")
 
 
+def q_stream_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AL1-AL3 with one clock in keyed state: the fired alarms, from the request classes and a
+    heartbeat every ten minutes between the first and the last request, each landed as files."""
+    from logweave.plans import queries
+
+    base = _base(spark, "stream_alarms")
+    queries.status_classes_at(spark, sf_dir).select(F.col("arrival_ts").alias("at"), "class").write.parquet(base + "/classes")
+    step = f"INTERVAL {queries.ALARM_SLIDE}"
+    ends = spark.read.parquet(base + "/classes").select(F.min("at").alias("a"), F.max("at").alias("z")).where("a is not null")
+    ends.select(F.explode(F.expr(f"sequence(a, z, {step})")).alias("at")).write.parquet(base + "/beats")
+    read = lambda d, schema: spark.readStream.schema(schema).parquet(f"{base}/{d}")
+    events = alarm_state.alarm_stream(read("classes", "at timestamp_ntz, class string"), read("beats", "at timestamp_ntz"),
+                                      window=queries.ALARM_WINDOW, tick=queries.ALARM_SLIDE, max_ratio=queries.ALARM_MAX_RATIO,
+                                      timeout=queries.ALARM_TIMEOUT)
+    with rocksdb_state(spark):
+        q = (events.writeStream.outputMode("append").format("parquet").option("path", base + "/out")
+             .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    fired = spark.read.parquet(base + "/out").where("state = 'fired'")
+    return fired.select("alarm_ts", "kind", "ratio", F.when(F.col("kind") == "no_data", F.col("last_data")).alias("last_data"))
+
+
 def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 + T4 on a stream: keyed state with bounded per-ip state emits each session once the
     watermark has passed its end by 30 minutes.  A last row far after the others moves the
@@ -156,6 +178,7 @@ STREAM_QUERIES = {
     "stream_session_updates": q_stream_session_updates,
     "stream_top_referrers": q_stream_top_referrers,
     "stream_top_referrers_1s": q_stream_top_referrers_1s,
+    "stream_alarms": q_stream_alarms,
     "stream_closed_sessions": q_stream_closed_sessions,
     "archive_replay": q_archive_replay,
 }

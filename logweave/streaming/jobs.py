@@ -1,11 +1,11 @@
-"""Structured Streaming forms of the jobs (W1-W5, ST1-ST3, A3, A5, A6, A8, AL1-AL3, ML1-ML4).
+"""Structured Streaming forms of the jobs (W1-W5, ST1-ST3, A3, A5, A6, A8, ML1-ML4).
 
 Event-time jobs take a watermark: rows later than it are dropped by Spark and
 closed windows/sessions leave the state store.  Ranking (T1) and cross-batch
 folds run inside ``foreachBatch`` on the (small) per-batch aggregate output.
 State that must survive restarts and executor loss lives either in Spark's
 state store (checkpointed) or in a small versioned table under the shared
-checkpoint folder, written per ``batch_id`` so a replayed batch rewrites the
+query's checkpoint (``folder``), written per ``batch_id`` so a replayed batch rewrites the
 same version.
 """
 
@@ -22,7 +22,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from logweave.functions.timecols import duration_us
-from logweave.operators import alarms as al
 from logweave.operators import ml, parse, windows
 from logweave.operators.sessions import CLICKSTREAM_LIMIT, SESSION_GAP
 from logweave.session import scratch_path
@@ -44,6 +43,13 @@ def load_state(spark, path: str) -> dict | None:
     return json.loads(rows[0][0]) if rows else None
 
 
+def save_version(spark, folder: str, batch_id: int, values: dict) -> None:
+    """State after a batch as ``<folder>/v=<batch>``.  A batch may run again, so the version before stays; older ones go."""
+    save_state(spark, f"{folder}/v={batch_id}", values)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v={batch_id - 2}")
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def with_event_time(df: DataFrame, ts: str, watermark: str, out: str = "event_time") -> DataFrame:
     """Event-time column as TIMESTAMP (watermarks reject TIMESTAMP_NTZ) plus the watermark."""
     return df.withColumn(out, F.col(ts).cast("timestamp")).withWatermark(out, watermark)
@@ -260,9 +266,10 @@ class BatchCap:
     batch that takes the running row count past ``cap``.  The count is kept in a
     versioned file per batch so a restarted query resumes it."""
 
-    def __init__(self, spark, sink: Callable[[DataFrame, int], None], cap: int = 1000, name: str = "batch_cap"):
+    def __init__(self, spark, sink: Callable[[DataFrame, int], None], cap: int = 1000, name: str = "batch_cap",
+                 folder: str | None = None):
         self.sink, self.cap = sink, cap
-        self.dir = scratch_path(spark, name)
+        self.dir = folder or scratch_path(spark, name)
         self.total = 0
         self.done = False   # the driver stops the query once set (not from inside the batch)
 
@@ -274,13 +281,13 @@ class BatchCap:
         before = self._read(df.sparkSession, batch_id)
         if before > self.cap:  # saved again, so that a restart finds the newest version
             self.total, self.done = before, True
-            save_state(df.sparkSession, f"{self.dir}/v={batch_id}", {"total": self.total})
+            save_version(df.sparkSession, self.dir, batch_id, {"total": self.total})
             return
         n = df.count()
         if n:
             self.sink(df, batch_id)
         self.total = before + n
-        save_state(df.sparkSession, f"{self.dir}/v={batch_id}", {"total": self.total})
+        save_version(df.sparkSession, self.dir, batch_id, {"total": self.total})
         self.done = self.total > self.cap
 
 
@@ -292,77 +299,15 @@ def word_counts_each_batch(sink: Callable[[DataFrame, int], None]) -> Callable[[
     return fn
 
 
-# ----------------------------------------------------------------------------- alarms
-class AlarmMonitor:
-    """AL1-AL3 on a stream of status classes, evaluated once per micro-batch at the batch's
-    processing time, as the reference does.
-
-    State (per-slide success/failure counts inside the window, last data time, last
-    fired alarm) is a small table versioned by ``batch_id`` under the checkpoint
-    folder: bounded by ``window / slide`` rows, distributed like any DataFrame.
-    ``events`` collects (batch_id, kind, state) tuples for callers and tests.
-    """
-
-    def __init__(self, spark, window: str = "300 seconds", slide: str = "1 second",
-                 min_rows: int = al.MIN_ROWS, max_ratio: float = al.MAX_ERROR_RATIO,
-                 quiet: str = al.QUIET_PERIOD, timeout: str = al.NO_DATA_TIMEOUT, name: str = "alarms",
-                 clock: Callable[[], float] | None = None):
-        import time
-        self.spark = spark
-        self.win_us, self.slide_us = duration_us(window), duration_us(slide)
-        self.min_rows, self.max_ratio = min_rows, max_ratio
-        self.quiet_us, self.timeout_us = duration_us(quiet), duration_us(timeout)
-        self.dir = scratch_path(spark, name)
-        self.clock = clock or time.time
-        self.events: list[tuple] = []
-
-
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        now = int(self.clock() * 1_000_000)
-        meta = load_state(self.spark, f"{self.dir}/meta-{batch_id - 1}") or {"last_data": now, "last_fired": None}
-        counts = (df.groupBy().agg(F.count_if(F.col("class") == "Success").alias("s"),
-                                   F.count_if(F.col("class") == "Failure").alias("f"),
-                                   F.count(F.lit(1)).alias("n"))
-                  .withColumn("bucket", F.lit(now - now % self.slide_us)))
-        hist = counts.select("bucket", "s", "f", "n")
-        if batch_id > 0 and load_state(self.spark, f"{self.dir}/meta-{batch_id - 1}") is not None:
-            hist = self.spark.read.parquet(f"{self.dir}/counts-{batch_id - 1}").unionByName(hist)
-        hist = hist.where(F.col("bucket") > F.lit(now - self.win_us))
-        hist = hist.groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("f").alias("f"), F.sum("n").alias("n"))
-        hist.write.mode("overwrite").parquet(f"{self.dir}/counts-{batch_id}")
-        tot = self.spark.read.parquet(f"{self.dir}/counts-{batch_id}").agg(
-            F.sum("s"), F.sum("f"), F.sum("n")).first()
-        success, failure, batch_rows = int(tot[0] or 0), int(tot[1] or 0), None
-        batch_rows = counts.first()["n"]
-        last_fired = meta["last_fired"]
-        if batch_rows:
-            meta["last_data"] = now
-        if success + failure > self.min_rows:
-            ratio = float("inf") if success == 0 else failure / success
-            if ratio > self.max_ratio:
-                if last_fired is None or now - last_fired > self.quiet_us:
-                    self.events.append((batch_id, "error_ratio", "fired"))
-                    last_fired = now
-                else:
-                    self.events.append((batch_id, "error_ratio", "suppressed"))
-            else:
-                self.events.append((batch_id, "error_ratio", "all clear"))
-        if not batch_rows and now - meta["last_data"] > self.timeout_us:
-            if last_fired is None or now - last_fired > self.quiet_us:
-                self.events.append((batch_id, "no_data", "fired"))
-                last_fired = now
-        meta["last_fired"] = last_fired
-        save_state(self.spark, f"{self.dir}/meta-{batch_id}", meta)
-
-
 # ----------------------------------------------------------------------------- ML
 class StreamingKMeans:
     """ML1/ML2 on streams: ``train`` is a foreachBatch function updating the model, whose
     k centers are saved per batch so a restart resumes from the last batch."""
 
-    def __init__(self, spark, model: ml.KMeansModel, features: str = "features", name: str = "kmeans"):
+    def __init__(self, spark, model: ml.KMeansModel, features: str = "features", name: str = "kmeans",
+                 folder: str | None = None):
         self.spark, self.model, self.features = spark, model, features
-        self.dir = scratch_path(spark, name)
+        self.dir = folder or scratch_path(spark, name)
         self._resumed = False
 
     def _resume(self, batch_id: int) -> None:
@@ -382,7 +327,7 @@ class StreamingKMeans:
                 self.model = ml.kmeans_update(self.model, df, self.features)
         finally:
             df.unpersist()
-        save_state(self.spark, f"{self.dir}/v={batch_id}",
+        save_version(self.spark, self.dir, batch_id,
                    {"centers": self.model.centers.tolist(), "weights": self.model.weights.tolist()})
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -392,10 +337,11 @@ class StreamingKMeans:
 class StreamingRegression:
     """ML3/ML4 on streams: full-batch SGD per micro-batch, weight carried across batches."""
 
-    def __init__(self, spark, label: str = "label", feature: str = "x", name: str = "linreg"):
+    def __init__(self, spark, label: str = "label", feature: str = "x", name: str = "linreg",
+                 folder: str | None = None):
         self.model = ml.LinearModel()
         self.label, self.feature = label, feature
-        self.dir = scratch_path(spark, name)
+        self.dir = folder or scratch_path(spark, name)
         self._resumed = False
 
     def train(self, df: DataFrame, batch_id: int) -> None:
@@ -410,7 +356,7 @@ class StreamingRegression:
                 self.model = ml.linreg_update(self.model, df, self.label, self.feature)
         finally:
             df.unpersist()
-        save_state(df.sparkSession, f"{self.dir}/v={batch_id}",
+        save_version(df.sparkSession, self.dir, batch_id,
                    {"weight": self.model.weight, "intercept": self.model.intercept})
 
     def predict(self, df: DataFrame) -> DataFrame:

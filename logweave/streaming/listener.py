@@ -8,14 +8,16 @@ exception.
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql.streaming import StreamingQueryListener
 
 
 class HealthListener(StreamingQueryListener):
     """Records ('started' | 'idle' | 'progress' | 'stopped' | 'error', query name, detail)."""
 
-    def __init__(self, printer=print):
-        self.events: list[tuple[str, str | None, str]] = []
+    def __init__(self, printer=print, keep: int = 1000):
+        self.events: deque[tuple[str, str | None, str]] = deque(maxlen=keep)  # the latest ones
         self._print = printer
 
     def _emit(self, kind: str, name, detail: str) -> None:

@@ -85,24 +85,6 @@ def test_batch_cap(spark):
     assert taken == [(0, 600), (1, 400), (3, 1)] and cap.done
 
 
-def test_alarm_monitor_clock(spark):
-    now = [1_000_000.0]
-    mon = jobs.AlarmMonitor(spark, window="300 seconds", slide="1 second", min_rows=3, max_ratio=0.5,
-                            timeout="600 seconds", name="alarm-test-" + str(time.time()), clock=lambda: now[0])
-    def batch(classes):
-        return spark.createDataFrame([(c,) for c in classes], "class string") if classes else \
-            spark.createDataFrame([], "class string")
-    mon(batch(["Failure", "Failure", "Success", "Failure"]), 0)          # ratio 3 > 0.5 -> fired
-    now[0] += 60
-    mon(batch(["Failure"]), 1)                                           # suppressed
-    now[0] += 700
-    mon(batch([]), 2)                                                    # no data 760 s, but within quiet period
-    now[0] += 1200
-    mon(batch([]), 3)                                                    # 1960 s after fired: no-data alarm
-    kinds = [(b, k, s) for b, k, s in mon.events]
-    assert kinds == [(0, "error_ratio", "fired"), (1, "error_ratio", "suppressed"), (3, "no_data", "fired")]
-
-
 def test_health_listener(spark):
     lst = listener.attach(spark, listener.HealthListener(printer=None))
     d = _dir()
