@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.operators import ml, parse, textstats
-from logweave.sources import streams
+from logweave.operators import ml, parse, textstats, windows
+from logweave.sources import archive, streams
 from logweave.session import rocksdb_state
 from logweave.streaming import alarm_state, jobs, listener, run, sinks, sliding
 
@@ -104,31 +104,54 @@ def word_count_per_batch(lines: DataFrame, checkpoint: str, **opts):
                      interval=opts.pop("interval", "2 seconds"), **opts)
 
 
-def popular_words(spark: SparkSession, archive: str, checkpoint: str, k: int = 10, **opts):
-    """Archived texts replayed one file per batch: cleaned words, top 10 per batch
-    (SRC7 P12 F2 F3 T1 SNK1)."""
-    texts = streams.archive_stream(spark, archive)
+def popular_words(spark: SparkSession, root: str, checkpoint: str, k: int = 10, window: str = "10 seconds", sink=None,
+                  beats: DataFrame | None = None, **opts):
+    """Archived texts replayed one file per batch: cleaned words, top ``k`` per window of arrival time
+    (SRC7 P12 F2 F3 W3 T1 SNK1).  ``beats`` (default: a row a second) keeps the time moving, so that
+    windows close after the last file; they reach ``sink`` (default: printed) once closed."""
+    texts = archive.replay(spark, root).withColumnRenamed("value", "text")
+    words = textstats.clean_word_rows(texts).withColumn("at", F.current_timestamp())
+    beats = alarm_state.heartbeat(spark) if beats is None else beats
+    both = words.select("at", "word").unionAll(beats.select("at", F.lit(None).cast("string").alias("word")))
+    counts = (both.withWatermark("at", "0 seconds").groupBy(F.window("at", window).alias("w"), "word")
+              .agg(F.count(F.lit(1)).alias("count"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "word", "count"))
+
+    if opts.pop("available_now", False):
+        raise ValueError("popular_words follows the clock: stop it when the windows wanted have been shown")
 
     def top(df, batch_id):
-        words = textstats.clean_word_rows(df.withColumnRenamed("value", "text")).withColumn("batch", F.lit(batch_id))
-        sinks.print_rows(k)(textstats.top_words(words, "batch", k), batch_id)
-    return run.start(texts, checkpoint, foreach_batch=top, **opts)
+        best = windows.top_k_per_window(df.where("word is not null"), "word", k)
+        (sink or sinks.print_rows(k))(best, batch_id)
+    return run.start(counts, checkpoint, foreach_batch=top, **opts)
 
 
-def text_lengths(spark: SparkSession, archive: str, checkpoint: str, **opts):
+def text_lengths(spark: SparkSession, root: str, checkpoint: str, **opts):
     """Average and longest text over the replayed archive (SRC7 P13 A5 A6)."""
-    totals = jobs.length_totals_stream(streams.archive_stream(spark, archive).withColumnRenamed("value", "text"))
-    return run.start(totals, checkpoint, foreach_batch=sinks.print_rows(1), mode="complete", **opts)
+    totals = jobs.length_totals_stream(archive.replay(spark, root).withColumnRenamed("value", "text"))
+    drain = opts.pop("available_now", False)  # that trigger would take a single file
+    q = run.start(totals, checkpoint, foreach_batch=sinks.print_rows(1), mode="complete", **opts)
+    if drain:
+        q.processAllAvailable()
+        q.stop()
+    return q
 
 
 def save_texts(spark: SparkSession, responses: DataFrame, checkpoint: str, out: str, cap: int = 1000, **opts):
     """JSON responses -> texts, one text folder per non-empty batch, stop past ``cap`` texts
-    (SRC8 SNK3 A8 F4).  The caller stops the query once ``cap.done``."""
+    (SRC8 SNK3 A8 F4).  ``stop_after_cap`` ends the query once ``cap.done``."""
     cap_fn = jobs.BatchCap(spark, sinks.text_per_batch(out), cap=cap, folder=f"{checkpoint}/cap")
     q = run.start(streams.response_texts(responses).select("text"), checkpoint, foreach_batch=cap_fn, **opts)
     return q, cap_fn
 
 
+def stop_after_cap(query, cap: jobs.BatchCap, poll: float = 0.5) -> None:
+    """Waits until the query ends by itself or its batches have passed the cap, then stops it."""
+    while query.isActive and not cap.done:
+        query.awaitTermination(poll)
+    query.stop()
+
+
 def streaming_kmeans(spark: SparkSession, train: DataFrame, test: DataFrame, checkpoint: str, k: int = 5,
                      dim: int = 2, seed: int = 42, **opts):
     """Train on '[a,b]' lines, predict '(label,[a,b])' lines (SRC9 ML1 ML2)."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logweave.operators import parse, textstats
 from logweave.session import rocksdb_state, scratch_path
-from logweave.sources import streams
+from logweave.sources import archive, streams
 from logweave.sources.eventlog import access_log_lines
 from logweave.sources.tables import table
 from logweave.streaming import alarm_state, jobs, sliding
@@ -159,6 +159,28 @@ def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sessionLength", "clickstream", "successCodes", "errorCodes")
 
 
+def q_stream_archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 + SNK3 + A5 A6: conversation texts, one folder per turn, replayed as a stream in (folder,
+    file) order, kept batch by batch by the committing sink, and read back with running count,
+    characters, integer average and longest.
+    As with any text file, a text holding line breaks comes back as several lines."""
+    base = _base(spark, "stream_archive_replay")
+    conv = table(spark, sf_dir, "conversations").select("turn", "text")
+    # Stand-in archive: a folder of text files per turn
+    (conv.withColumn("batch", F.format_string("turn_%05d", F.col("turn"))).select("batch", "text")
+     .repartition("batch").write.partitionBy("batch").text(base + "/in"))
+    lines = archive.replay(spark, base + "/in", dir_glob="batch=turn_*")
+    q = (archive.text_batches(lines, base + "/saved").option("checkpointLocation", base + "/ck")
+         .trigger(processingTime="100 milliseconds").start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    saved = streams.archive_batches(spark, base + "/saved")
+    return textstats.length_running(saved.withColumnRenamed("value", "text"), "batch").select(
+        "batch", "rows", "chars", "total_rows", "total_chars", "avg_length", "max_length")
+
+
 def q_archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3 + SRC7 + A5 A6: conversation texts saved one folder per batch (turn), replayed in
     (folder, file) order with running count, characters, integer average and longest.
@@ -180,5 +202,6 @@ STREAM_QUERIES = {
     "stream_top_referrers_1s": q_stream_top_referrers_1s,
     "stream_alarms": q_stream_alarms,
     "stream_closed_sessions": q_stream_closed_sessions,
+    "stream_archive_replay": q_stream_archive_replay,
     "archive_replay": q_archive_replay,
 }

@@ -58,7 +58,8 @@ def broker_lines(spark: SparkSession, fmt: str, options: dict, payload: str = "d
 # ---------------------------------------------------------------- archive replay (SRC7)
 def archive_batches(spark: SparkSession, root: str, dir_glob: str = "Tweets_*", file_glob: str = "part-*") -> DataFrame:
     """SRC7 (batch form): archived text files ``root/<dir_glob>/<file_glob>`` with a ``batch``
-    number that follows (directory, file) name order; empty files give no batch."""
+    number that follows (directory, file) name order; empty files give no batch.
+    ``sources.archive.replay`` is the stream form."""
     df = (spark.read.option("pathGlobFilter", file_glob).text(f"{root.rstrip('/')}/{dir_glob}")
           .select("value", F.col("_metadata.file_path").alias("file")))
     from logweave.operators.ordered import global_index
@@ -66,12 +67,6 @@ def archive_batches(spark: SparkSession, root: str, dir_glob: str = "Tweets_*",
     return df.join(files, "file")
 
 
-def archive_stream(spark: SparkSession, root: str, dir_glob: str = "Tweets_*", file_glob: str = "part-*") -> DataFrame:
-    """SRC7 (stream form): one archived file per micro-batch (file source orders by time)."""
-    return (spark.readStream.option("maxFilesPerTrigger", 1).option("pathGlobFilter", file_glob)
-            .text(f"{root.rstrip('/')}/{dir_glob}"))
-
-
 # ---------------------------------------------------------------- JSON responses (SRC8)
 RESPONSE_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(
     T.StructType([T.StructField("text", T.StringType())])))])

@@ -47,14 +47,15 @@ def raw_and_counts_json(base: str, key: str = "agent") -> Callable[[DataFrame, i
     return fn
 
 
-def text_per_batch(base: str, prefix: str = "Tweets_") -> Callable[[DataFrame, int], None]:
-    """SNK3 + F4: one text file per non-empty batch in ``<base>/<prefix><batch_id>``."""
+def text_per_batch(base: str, prefix: str = "Tweets_", width: int = 10) -> Callable[[DataFrame, int], None]:
+    """SNK3 + F4 for ``foreachBatch``: text files per non-empty batch in ``<base>/<prefix><padded batch_id>``, by
+    Spark's own committed write.  ``sources.archive.text_batches`` is the sink for plain streams."""
     def fn(df: DataFrame, batch_id: int) -> None:
         try:
             if _consume(df).isEmpty():
                 return
-            df.select(F.col(df.columns[0]).cast("string")).coalesce(1).write.mode("overwrite").text(
-                _path(base, f"{prefix}{batch_id}"))
+            df.select(F.col(df.columns[0]).cast("string")).write.mode("overwrite").text(
+                _path(base, f"{prefix}{batch_id:0{width}d}"))
         finally:
             df.unpersist()
     return fn

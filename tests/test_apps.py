@@ -57,3 +57,52 @@ def test_cli_stream_program(spark):
     assert main(["hourly-status", "--input", d + "/in", "--checkpoint", d + "/ck", "--available-now"]) == 0
     # the console sink prints from the JVM process; the checkpoint shows the committed batch
     assert os.path.exists(d + "/ck/commits/0") and os.path.exists(d + "/ck/state")
+
+
+def _archive(d, texts):
+    for i, t in enumerate(texts):
+        os.makedirs(f"{d}/in/Tweets_{i}")
+        with open(f"{d}/in/Tweets_{i}/part-00000", "w") as f:
+            f.write(t)
+
+
+def test_popular_words_by_window(spark):
+    """Windows of arrival time: all words are counted once, in windows of one second, best first."""
+    import time
+    d, seen = tempfile.mkdtemp(prefix="logweave-app-"), []
+    _archive(d, ["storm storm rain\n", "storm hail\n"])
+    q = apps.popular_words(spark, d + "/in", d + "/ck", k=2, window="1 second", interval="200 milliseconds",
+                           sink=lambda df, i: seen.extend(df.collect()))
+    try:
+        for _ in range(200):
+            if sum(r["count"] for r in seen) >= 5 or not q.isActive:
+                break
+            time.sleep(0.25)
+    finally:
+        q.stop()
+    total = {}
+    for r in seen:
+        total[r.word] = total.get(r.word, 0) + r["count"]
+        assert (r.window_end - r.window_start).total_seconds() == 1 and r["rank"] <= 2
+    assert total == {"storm": 3, "rain": 1, "hail": 1}
+
+
+def test_text_lengths_prints_the_running_totals(spark, capsys):
+    d = tempfile.mkdtemp(prefix="logweave-app-")
+    _archive(d, ["ab\ncde\n", "x\n"])
+    apps.text_lengths(spark, d + "/in", d + "/ck", available_now=True, interval="200 milliseconds")
+    assert "|3         |6          |3         |2         |" in capsys.readouterr().out
+
+
+def test_save_texts_stops_after_the_cap(spark):
+    import json
+    d = tempfile.mkdtemp(prefix="logweave-app-")
+    for i in range(6):
+        spark.createDataFrame([(json.dumps({"data": [{"text": f"t{i}-{j}"} for j in range(4)]}),)], "value string").coalesce(1).write.mode(
+            "append").text(d + "/in")
+    q, cap = apps.save_texts(spark, streams.text_dir_stream(spark, d + "/in", max_files_per_trigger=1), d + "/ck", d + "/out", cap=10,
+                             interval="100 milliseconds")
+    apps.stop_after_cap(q, cap)
+    saved = spark.read.text(d + "/out/Tweets_*").count()
+    assert saved == cap.total == 12 and not q.isActive
+    assert sorted(os.listdir(d + "/out")) == [f"Tweets_{i:010d}" for i in range(3)]
