@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from logweave.operators import ml, parse, textstats, windows
 from logweave.sources import archive, streams
 from logweave.session import rocksdb_state
-from logweave.streaming import alarm_state, jobs, listener, run, sinks, sliding
+from logweave.streaming import alarm_state, jobs, keyed, listener, run, sinks, sliding
 
 
 def _with_arrival(lines: DataFrame, time_col: str | None) -> DataFrame:
@@ -81,11 +81,15 @@ def hourly_status(lines: DataFrame, checkpoint: str, **opts):
 
 
 def keyed_store(lines: DataFrame, checkpoint: str, fmt: str, options: dict, **opts):
-    """(ip, url, status, agent) rows upserted per batch into a keyed table (P5 SNK4)."""
+    """(ip, url, status, agent) rows upserted per batch into a keyed table (P5 SNK4): an external store by its
+    connector, or with ``fmt="buckets"`` the versioned table of ``streaming.keyed`` at ``options["path"]``."""
     src = _with_arrival(lines, None).withColumn("_h", F.xxhash64("value"))
     rows = parse.keyed_requests(src, keep=["arrival_ts", "_h"])
-    return run.start(rows, checkpoint, foreach_batch=sinks.keyed_table(fmt, options, "ip", ["arrival_ts", "_h"],
-                                                                       ["ip", "url", "status", "agent"]), **opts)
+    if fmt == "buckets":
+        sink = keyed.keyed_upserts(options["path"], "ip", ["arrival_ts", "_h"], buckets=int(options.get("buckets", keyed.BUCKETS)))
+    else:
+        sink = sinks.keyed_table(fmt, options, "ip", ["arrival_ts", "_h"], ["ip", "url", "status", "agent"])
+    return run.start(rows, checkpoint, foreach_batch=sink, **opts)
 
 
 def strict_urls(lines: DataFrame, checkpoint: str, time_col: str | None = None, payload: str | None = None,

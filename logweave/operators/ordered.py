@@ -106,22 +106,22 @@ def _doubling(cands: DataFrame, t: str, quiet: int, bucket: int, ks: list[str],
 def global_index(df: DataFrame, order: Sequence[str], name: str = "idx", partitions: int | None = None) -> DataFrame:
     """0-based position of each row in the total order ``order`` (must be unique).
 
-    Range-partition by the order, number rows inside each partition, and add the
+    One full shuffle: sorted range partitions, whose rows carry their number inside the
+    partition (``monotonically_increasing_id``: partition above bit 33, row below), plus the
     row count of all earlier partitions (a table of one row per partition).
     """
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The partition id is written once (reliable checkpoint): both uses below must see the
-    # same ids, even if AQE coalesces differently or a lost executor forces a recompute.
-    s = cut(df.repartitionByRange(p, *order).withColumn("_pid", F.spark_partition_id()))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))
-    w = Window.partitionBy("_pid").orderBy(*order)
-    return (s.join(F.broadcast(offs.select("_pid", "_off")), "_pid")  # one row per partition: size bounded by p
-            .withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
-            .drop("_pid", "_off"))
+    # Numbered once and written (reliable checkpoint): both uses below must see the same numbers,
+    # even if a lost executor forces a recompute.
+    s = cut(df.repartitionByRange(p, *order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()))
+    part = F.shiftright("_row", 33)
+    counts = s.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_pid", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    offs = F.broadcast(offs)  # one row per partition: size bounded by p
+    return (s.join(offs, part == F.col("_pid")).withColumn(name, F.col("_off") + F.col("_row").bitwiseAND((1 << 33) - 1))
+            .drop("_pid", "_off", "_row"))
 
 
 def running_totals(df: DataFrame, order: str, sums: Sequence[str] = (), maxes: Sequence[str] = (),

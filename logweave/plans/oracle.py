@@ -349,3 +349,4 @@ SELECT c.t AS alarm_ts, CASE WHEN ratio IS NULL THEN 'no_data' ELSE 'error_ratio
 FROM fold f JOIN cand c ON c.rn = f.rn WHERE f.fired"""
 SQL["stream_alarms"] = SQL["alarms_one_clock"]
 SQL["stream_archive_replay"] = SQL["archive_replay"]
+SQL["stream_keyed_latest"] = SQL["requests_keyed_latest"]

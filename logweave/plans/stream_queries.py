@@ -17,7 +17,7 @@ from logweave.session import rocksdb_state, scratch_path
 from logweave.sources import archive, streams
 from logweave.sources.eventlog import access_log_lines
 from logweave.sources.tables import table
-from logweave.streaming import alarm_state, jobs, sliding
+from logweave.streaming import alarm_state, jobs, keyed, sliding
 
 
 def _base(spark: SparkSession, name: str) -> str:
@@ -159,6 +159,20 @@ def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sessionLength", "clickstream", "successCodes", "errorCodes")
 
 
+def q_stream_keyed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 + SNK4: keyed requests in several micro-batches, each merged into the versioned keyed table
+    (newest row per ip by arrival), then the table read back."""
+    base = _base(spark, "stream_keyed_latest")
+    lines = access_log_lines(table(spark, sf_dir, "events"), with_ts=True)
+    reqs = parse.keyed_requests(lines, keep=["event_id", "arrival_ts"])
+    reqs.repartition(3).write.parquet(base + "/in")
+    src = spark.readStream.schema(reqs.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    q = (src.writeStream.foreachBatch(keyed.keyed_upserts(base + "/table", "ip", ["arrival_ts", "event_id"], buckets=8))
+         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return keyed.read_table(spark, base + "/table").select("ip", "url", "status", "agent")
+
+
 def q_stream_archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC7 + SNK3 + A5 A6: conversation texts, one folder per turn, replayed as a stream in (folder,
     file) order, kept batch by batch by the committing sink, and read back with running count,
@@ -202,6 +216,7 @@ STREAM_QUERIES = {
     "stream_top_referrers_1s": q_stream_top_referrers_1s,
     "stream_alarms": q_stream_alarms,
     "stream_closed_sessions": q_stream_closed_sessions,
+    "stream_keyed_latest": q_stream_keyed_latest,
     "stream_archive_replay": q_stream_archive_replay,
     "archive_replay": q_archive_replay,
 }

@@ -23,3 +23,12 @@ def test_user_holdout(spark):
     assert [p for (u, p), t in sorted(got.items()) if t] == [203, 204, 303, 304]   # fewer / exactly / more than stop
     capped = splits.user_holdout(df, "user", ["pos"], 4, 5, max_test=3)
     assert sorted(r["pos"] for r in capped.where("is_test").collect()) == [203, 204, 303]
+
+
+def test_kfold_plan_has_one_full_shuffle(spark):
+    """Positions come from the sorted partitions; what else is exchanged has one row per partition."""
+    df = spark.range(1000, numPartitions=3).selectExpr("(id * 7919) % 1000 as key")
+    out = splits.kfold_positional(df, ["key"], 4)
+    assert dict(rows(out, "key", "fold")) == {i: i * 4 // 1000 for i in range(1000)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.split("BroadcastExchange")[0] and "rangepartitioning" not in plan
