@@ -10,6 +10,8 @@ Event time: the programs that window by time use the file arrival time
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,15 +64,19 @@ def log_alarmer(spark: SparkSession, lines: DataFrame, checkpoint: str, window:
 
 
 def sessionizer(lines: DataFrame, checkpoint: str, time_col: str | None = None, watermark: str = "1 hour",
-                **opts):
-    """Per-ip session state after every row, shown through SQL per batch (P6 ST1-ST3 SNK6)."""
+                sql: str = "select * from sessionData", collect_to: list | None = None, **opts):
+    """Per-ip session state; after every batch all live sessions, read from the state that the batch
+    left in the query's checkpoint, are shown through SQL on ``sessionData`` (P6 ST1-ST3 SNK6)."""
     t = time_col or "arrival_ts"
     # ties on time are broken by a content hash (streams allow no row ids)
     src = _with_arrival(lines, time_col).withColumn("_seq", F.xxhash64("value"))
     rows = parse.session_requests(src, keep=[t, "_seq"])
     state = jobs.session_updates_stream(rows, ts=t, seq="_seq", watermark=watermark)
-    return run.start(state, checkpoint, foreach_batch=sinks.sql_per_batch("sessionData", "select * from sessionData"),
-                     mode="append", **opts)
+    name = f"sessions-{uuid.uuid4().hex}"
+    show = sinks.sql_per_batch("sessionData", sql, collect_to=collect_to)
+    after = listener.AfterBatch(name, lambda i: show(jobs.live_session_snapshot(lines.sparkSession, checkpoint, i), i))
+    lines.sparkSession.streams.addListener(after)
+    return run.start(state, checkpoint, fmt="noop", name=name, mode="append", **opts)
 
 
 def hourly_status(lines: DataFrame, checkpoint: str, **opts):

@@ -236,11 +236,12 @@ def session_updates_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id
         GroupStateTimeout.EventTimeTimeout)
 
 
-def live_session_snapshot(spark, checkpoint_location: str) -> DataFrame:
+def live_session_snapshot(spark, checkpoint_location: str, batch_id: int | None = None) -> DataFrame:
     """ST3 on a stream: every session held in the keyed state of ``session_updates_stream``,
-    read from the query's checkpoint with Spark's state-store reader (the latest committed
-    batch).  Timed-out sessions have been removed from the state, so these are the live ones."""
-    st = spark.read.format("statestore").load(checkpoint_location)
+    read from the query's checkpoint with Spark's state-store reader: after ``batch_id``, whose
+    rows must have been computed, or after the latest committed batch.  Timed-out sessions have been removed from the state, so these are the live ones."""
+    r = spark.read.format("statestore")
+    st = (r if batch_id is None else r.option("batchId", batch_id)).load(checkpoint_location)
     v = F.col("value")["groupState"]     # Pandas keyed state: (groupState, timeoutTimestamp)
     return st.select(
         F.col("key")["ip"].alias("ip"),

@@ -44,6 +44,37 @@ class HealthListener(StreamingQueryListener):
             self._emit("stopped", None, str(event.id))
 
 
+class AfterBatch(StreamingQueryListener):
+    """Calls ``fn(batch_id)`` once for every committed batch of the query named ``name``, in order.
+
+    What a batch left in the state can be read only once it is committed, so not inside its sink.
+    Errors of ``fn`` are kept in ``errors`` (a listener cannot fail its query)."""
+
+    def __init__(self, name: str, fn):
+        self.name, self.fn = name, fn
+        self.done = -1
+        self.errors: deque[Exception] = deque(maxlen=100)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name != self.name or p.batchId <= self.done:
+            return
+        self.done = p.batchId
+        try:
+            self.fn(p.batchId)
+        except Exception as e:
+            self.errors.append(e)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def attach(spark, listener: HealthListener | None = None) -> HealthListener:
     listener = listener or HealthListener()
     spark.streams.addListener(listener)

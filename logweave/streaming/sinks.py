@@ -89,13 +89,17 @@ def console_complete(df: DataFrame, num_rows: int = 20, truncate: bool = False):
 
 def sql_per_batch(view: str, sql: str, show: int = 20,
                   collect_to: list | None = None) -> Callable[[DataFrame, int], None]:
-    """SNK6: register the batch as a temp view and run SQL on it."""
+    """SNK6: register the batch as a temp view, run SQL on it, and show the first rows.
+
+    ``collect_to`` gets (batch_id, frame of the first ``show`` rows) instead."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        _consume(df).createOrReplaceTempView(view)
-        res = df.sparkSession.sql(sql)
-        if collect_to is not None:
-            collect_to.append((batch_id, res))
-        else:
-            res.show(show, truncate=False)
+        try:
+            _consume(df).createOrReplaceTempView(view)
+            res = df.sparkSession.sql(sql)
+            if collect_to is not None:
+                collect_to.append((batch_id, df.sparkSession.createDataFrame(res.limit(show).collect(), res.schema)))
+            else:
+                res.show(show, truncate=False)
+        finally:
             df.unpersist()
     return fn

@@ -106,3 +106,30 @@ def test_save_texts_stops_after_the_cap(spark):
     saved = spark.read.text(d + "/out/Tweets_*").count()
     assert saved == cap.total == 12 and not q.isActive
     assert sorted(os.listdir(d + "/out")) == [f"Tweets_{i:010d}" for i in range(3)]
+
+
+def test_sessionizer_shows_the_live_sessions_after_every_batch(spark):
+    """Four batches; a session past its gap (by the watermark) is gone from the snapshot, the others stay."""
+    import time
+    d, seen = tempfile.mkdtemp(prefix="logweave-app-"), []
+    line = lambda ip, url: f'{ip} - - [01/Jan/2024:00:00:00 +0000] "GET {url} HTTP/1.1" 200 10 "-" "agent"'
+    batches = [[("10.0.0.1", 0, "/a"), ("10.0.0.2", 60, "/b")], [("10.0.0.1", 600, "/c")], [("10.0.0.3", 9000, "/d")], [("10.0.0.3", 9100, "/e")]]
+    for b in batches:
+        rows_ = [(line(ip, u), "2024-01-01 00:00:00", s) for ip, s, u in b]
+        spark.createDataFrame(rows_, "value string, t string, s long").selectExpr(
+            "value", "cast(t as timestamp_ntz) + make_dt_interval(0, 0, 0, s) as at").coalesce(1).write.mode("append").parquet(d + "/in")
+        time.sleep(0.05)
+    lines = spark.readStream.schema("value string, at timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(d + "/in")
+    q = apps.sessionizer(lines, d + "/ck", time_col="at", watermark="0 seconds", collect_to=seen, available_now=True)
+    q.awaitTermination()
+    for _ in range(240):  # snapshots follow the commits
+        if len(seen) >= 4 and seen[-1][1].where("ip = '10.0.0.1'").isEmpty():
+            break
+        time.sleep(0.25)
+    assert [i for i, _ in seen] == list(range(len(seen)))
+    got = [sorted((r.ip, r.sessionLength, list(r.clickstream)) for r in df.collect()) for _, df in seen]
+    first, second = ("10.0.0.1", 1, ["/a"]), ("10.0.0.2", 1, ["/b"])
+    both = ("10.0.0.1", 2, ["/a", "/c"])
+    assert got[0] == [first, second] and got[1] == [both, second]
+    assert got[2] == [both, second, ("10.0.0.3", 1, ["/d"])]
+    assert got[-1] == [("10.0.0.3", 2, ["/d", "/e"])]
