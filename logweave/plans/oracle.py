@@ -350,3 +350,4 @@ FROM fold f JOIN cand c ON c.rn = f.rn WHERE f.fired"""
 SQL["stream_alarms"] = SQL["alarms_one_clock"]
 SQL["stream_archive_replay"] = SQL["archive_replay"]
 SQL["stream_keyed_latest"] = SQL["requests_keyed_latest"]
+SQL["stream_session_running"] = SQL["session_running"]

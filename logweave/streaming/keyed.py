@@ -49,9 +49,9 @@ def _rows(spark: SparkSession, root: str, manifest: dict, only=None) -> DataFram
     return spark.read.schema(manifest["schema"]).parquet(*paths) if paths else None
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame | None:
-    """The table after the latest batch; None before the first."""
-    m = _manifest(spark, root)
+def read_table(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The table after the latest batch (the latest one before ``before``); None when there is none."""
+    m = _manifest(spark, root, before)
     return None if m is None else _rows(spark, root, m)
 
 
