@@ -264,22 +264,27 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     return Model(idf, [x for x, _ in each], row, columns, np.array([f for _, f in each]))
 
 
+def _judge(model: Model, text: pa.Array):
+    """(language, score, rejected) of every text of an Arrow column; null is unknown and rejected."""
+    names = np.array(model.langs, dtype=object)
+    known = text.is_valid().to_numpy(zero_copy_only=False)
+    lang, score = np.full(len(known), UNKNOWN, dtype=object), np.zeros(len(known))
+    reject = np.ones(len(known), dtype=bool)
+    for a, b, size, (doc, cell, tf) in _pieces(pa.RecordBatch.from_arrays([text], names=["t"]), 0):
+        cos = cosines(doc, model.row[cell], weights(doc, cell, tf, model.idf, b - a), model.columns, b - a)
+        best = np.argmax(cos, axis=1)
+        top = np.clip(cos[np.arange(b - a), best].astype(float), 0, 1)
+        ok = known[a:b]
+        lang[a:b] = np.where(ok, names[best], UNKNOWN)
+        score[a:b] = np.where(ok, top, 0)
+        reject[a:b] = ~ok | (top < floor_at(model.floors[best], size))
+    return lang, score, reject
+
+
 def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array(model.langs, dtype=object)
         for batch in batches:
-            text = batch.column(batch.num_columns - 1)
-            known = text.is_valid().to_numpy(zero_copy_only=False)
-            lang, score = np.full(len(known), UNKNOWN, dtype=object), np.zeros(len(known))
-            reject = np.ones(len(known), dtype=bool)
-            for a, b, size, (doc, cell, tf) in _pieces(batch, batch.num_columns - 1):
-                cos = cosines(doc, model.row[cell], weights(doc, cell, tf, model.idf, b - a), model.columns, b - a)
-                best = np.argmax(cos, axis=1)
-                top = np.clip(cos[np.arange(b - a), best].astype(float), 0, 1)
-                ok = known[a:b]
-                lang[a:b] = np.where(ok, names[best], UNKNOWN)
-                score[a:b] = np.where(ok, top, 0)
-                reject[a:b] = ~ok | (top < floor_at(model.floors[best], size))
+            lang, score, reject = _judge(model, batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score), pa.array(reject)],
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
@@ -300,10 +305,13 @@ def keep_known(docs: DataFrame, model: Model | None, text: str = "text") -> Data
     """The rows of ``docs`` that the model does not reject, unchanged."""
     if model is None:
         return docs.limit(0)
-    schema = docs.schema
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), letters(text).alias("letters"))
-    fields = f"row {schema.simpleString()}, lang_pred string, score double, rejected boolean"
-    return row.mapInArrow(_predict(model), fields).where("not rejected").select("row.*")
+
+    # Only the letters go to Python; the rows wait in the JVM's queue, which can spill.
+    def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for t in texts:
+            yield pa.array(~_judge(model, t)[2])
+
+    return docs.where(F.arrow_udf(kept, "boolean")(letters(text)))
 
 
 def training_fold(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
