@@ -55,7 +55,7 @@ def _hashes(line):
 
 
 def rarity_classes(docs: DataFrame, text: str = "text") -> Column:
-    """Array constant: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest, above ``_LOW`` bits."""
+    """Array constant, a byte a bucket: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest."""
     one_line = F.replace(_spaced(text), F.lit("\n"), F.lit(" "))
     token = docs.select(F.explode(F.split(one_line, " ")).alias("t")).where("t != ''")
     count = token.groupBy(F.shiftrightunsigned(F.xxhash64("t"), _SHIFT).alias("b")).count()
@@ -65,8 +65,8 @@ def rarity_classes(docs: DataFrame, text: str = "text") -> Column:
     table = [0] * BUCKETS
     for row in rows:
         for bucket, value in row["at"]:
-            table[bucket] = value << _LOW
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+            table[bucket] = value
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
 
 
 def token_sets(lines: DataFrame, rarity: Column, line: str = "line") -> DataFrame:
@@ -74,7 +74,8 @@ def token_sets(lines: DataFrame, rarity: Column, line: str = "line") -> DataFram
     low = F.lit((1 << _LOW) - 1).cast("long")
 
     def pack(h):
-        return F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")).bitwiseOR(h.bitwiseAND(low))
+        level = F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")).cast("long")
+        return F.shiftleft(level, _LOW).bitwiseOR(h.bitwiseAND(low))
 
     toks = F.array_distinct(F.transform(_hashes(F.col(line)), pack))
     return lines.withColumn("toks", F.sort_array(F.array_remove(toks, pack(F.xxhash64(F.lit(""))))))
