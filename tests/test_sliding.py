@@ -6,7 +6,6 @@ import time
 from datetime import datetime, timedelta
 
 from conftest import rows
-from pyspark.sql import functions as F
 
 from logweave.operators import windows
 from logweave.session import rocksdb_state
