@@ -122,7 +122,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rarity: Col
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_key, line_no, removed) of every line with a token."""
     rarity = rarity_classes(docs, text)
-    t = token_sets(_lines(docs, doc_id, text), rarity).withColumn("n", F.size("toks")).where("n > 0")
+    # Lines without tokens go by a test of the line: one of the set would be pushed below it and build every set twice.
+    t = token_sets(_lines(docs, doc_id, text).where("trim(line) != ''"), rarity).withColumn("n", F.size("toks"))
     sketch = F.expr("aggregate(toks, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
     # Candidates share the low 31 bits of a prefix token; verification compares the tokens whole.
     prefix = F.transform(F.slice("toks", 1, (F.col("n") - _need(F.col("n")) + 1).cast("int")),
