@@ -10,7 +10,7 @@ A line is removed when an earlier line of the corpus (by doc_id, then line numbe
 Jaccard similarity of ``num / den`` or more with it, whether or not that earlier line is
 removed itself.  Equal sets are one class, represented by its first line.  Classes are
 joined on the tokens of their prefixes (n - ceil(t n) + 1 rarest tokens) under a length
-filter and a parity sketch (|x ^ y| >= popcount); the position of their first common token
+filter and a parity sketch of 128 bits (|x ^ y| >= popcount); the position of their first common token
 and the number of common prefix tokens drop most pairs before all tokens are compared.
 A first round pairs each class only with the earliest class that has one of the ``STAR``
 smallest token hashes of its prefix in common, which settles large groups of near copies in
@@ -124,14 +124,16 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rarity = rarity_classes(docs, text)
     # Lines without tokens go by a test of the line: one of the set would be pushed below it and build every set twice.
     t = token_sets(_lines(docs, doc_id, text).where("trim(line) != ''"), rarity).withColumn("n", F.size("toks"))
-    sketch = F.expr("aggregate(toks, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
+    # Parity of the tokens per cell of 128: bit 6 of a token tells the words apart.
+    both = F.expr("aggregate(toks, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
+    high = F.expr("aggregate(toks, 0L, (s, t) -> s ^ shiftleft(shiftright(t, 6) & 1L, cast(t & 63 as int)))")
     # Candidates share the low 31 bits of a prefix token; verification compares the tokens whole.
     prefix = F.transform(F.slice("toks", 1, (F.col("n") - _need(F.col("n")) + 1).cast("int")),
                          lambda t: t.bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int"))
     t = t.select("doc_id", "text_key", "line_no", "n", F.xxhash64("n", "toks").alias("cid"), F.hash("toks").alias("h2"),
-                 sketch.alias("sk"), prefix.alias("prefix"))
-    t = cut_table(t, "lines")
-    first = F.min(F.struct("doc_id", "text_key", "line_no", "sk", "prefix")).alias("f")
+                 both.alias("sk"), high.alias("sh"), prefix.alias("prefix"))
+    t = cut_table(t.withColumn("sk", F.col("sk").bitwiseXOR(F.col("sh"))), "lines")
+    first = F.min(F.struct("doc_id", "text_key", "line_no", "sk", "sh", "prefix")).alias("f")
     classes = cut_table(t.groupBy("cid", "h2", "n").agg(first).select("cid", "h2", "n", "f.*"), "classes")
     # Sets of fewer than 4 tokens are at the threshold only with themselves.
     smallest = -(-NUM // (DEN - NUM))
@@ -140,31 +142,48 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     def overlap(nx, ny):
         return F.ceil((nx + ny) * NUM / F.lit(DEN + NUM))
 
-    def near(nx, sx, ny, sy):
+    def near(nx, sx, hx, ny, sy, hy):
         length = DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)
-        return length & (F.bit_count(sx.bitwiseXOR(sy)) <= nx + ny - 2 * overlap(nx, ny))
+        differ = F.bit_count(sx.bitwiseXOR(sy)) + F.bit_count(hx.bitwiseXOR(hy))
+        return length & (differ <= nx + ny - 2 * overlap(nx, ny))
 
-    few = several.select("cid", "n", "sk", "doc_id", F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, STAR)).alias("tok"))
-    lead = few.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "sk")).alias("l"), F.count(F.lit(1)).alias("sharing"))
+    few = several.select("cid", "n", "sk", "sh", "doc_id", F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, STAR)).alias("tok"))
+    lead = few.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "sk", "sh")).alias("l"), F.count(F.lit(1)).alias("sharing"))
     star = few.drop("doc_id").join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(near(
-        F.col("n"), F.col("sk"), F.col("l.n"), F.col("l.sk")))
+        F.col("n"), F.col("sk"), F.col("sh"), F.col("l.n"), F.col("l.sk"), F.col("l.sh")))
     late = _verified(star.select(F.greatest("cid", "l.cid").alias("x"), F.least("cid", "l.cid").alias("y")).distinct(),
                      classes, docs, rarity, doc_id, text)
     settled = late.select(F.col("cid").alias("done"), F.lit(True).alias("late"))
+    # Size, position and the late flag travel as one long.
+    meta = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(
+        F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.coalesce("late", F.lit(False)).cast("long"))
     posts = several.join(small_side(settled, settled.count()), F.col("cid") == F.col("done"), "left").select(
-        "cid", "n", "sk", "doc_id", F.coalesce("late", F.lit(False)).alias("late"), F.posexplode("prefix").alias("pos", "tok"))
+        "cid", "n", "sk", "sh", "doc_id", "late", F.posexplode("prefix").alias("pos", "tok")).select("cid", "sk", "sh", "doc_id", meta.alias("m"), "tok")
     # Both sides are the same postings with the same columns, so that one shuffle serves both.  The class
     # with the larger document id is the later one (either may be within a document) and must still be open.
-    x = posts.toDF("x", "nx", "sx", "dx", "lx", "px", "tok")
-    y = posts.toDF("y", "ny", "sy", "dy", "ly", "py", "tok")
-    open_ = F.when(F.col("dx").eqNullSafe(F.col("dy")), ~(F.col("lx") & F.col("ly"))).when(
-        F.col("dy").isNull() | (F.col("dx") > F.col("dy")), ~F.col("lx")).otherwise(~F.col("ly"))
-    pairs = x.join(y, "tok").where((F.col("x") > F.col("y")) & open_)
-    pairs = pairs.where(near(*[F.col(c) for c in ("nx", "sx", "ny", "sy")]))
+    x = posts.toDF("x", "sx", "hx", "dx", "mx", "tok")
+    y = posts.toDF("y", "sy", "hy", "dy", "my", "tok")
+
+    def size(m):
+        return F.shiftright(m, 32).cast("int")
+
+    def position(m):
+        return F.shiftright(m, 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int")
+
+    def is_late(m):
+        return F.col(m).bitwiseAND(F.lit(1).cast("long")) == 1
+
+    lx, ly = is_late("mx"), is_late("my")
+    open_ = F.when(F.col("dx").eqNullSafe(F.col("dy")), ~(lx & ly)).when(
+        F.col("dy").isNull() | (F.col("dx") > F.col("dy")), ~lx).otherwise(~ly)
+    nx, ny = size(F.col("mx")), size(F.col("my"))
+    pairs = x.join(y, "tok").where((F.col("x") > F.col("y")) & near(nx, F.col("sx"), F.col("hx"), ny, F.col("sy"), F.col("hy")) & open_)
     # The first common token has the smallest position on both sides.  All common tokens of the prefix that ends
     # first lie in both prefixes, which leaves at least overlap - ceil(0.8 n) + 1 of them, n the larger size.
-    o, nx, ny = overlap(F.col("nx"), F.col("ny")), F.col("nx"), F.col("ny")
-    pairs = pairs.groupBy("x", "y", "nx", "ny").agg(F.min("px").alias("px"), F.min("py").alias("py"), F.count(F.lit(1)).alias("common"))
+    pairs = pairs.groupBy("x", "y", nx.alias("nx"), ny.alias("ny")).agg(
+        F.min(position(F.col("mx"))).alias("px"), F.min(position(F.col("my"))).alias("py"), F.count(F.lit(1)).alias("common"))
+    nx, ny = F.col("nx"), F.col("ny")
+    o = overlap(nx, ny)
     pairs = pairs.where((F.least(nx - F.col("px"), ny - F.col("py")) >= o) & (F.col("common") >= o - _need(F.greatest(nx, ny)) + 1))
     late = late.unionAll(_verified(pairs.select("x", "y").distinct(), classes, docs, rarity, doc_id, text)).distinct()
 
