@@ -30,7 +30,7 @@ CRLF = "\r\n"
 _URN = "urn:page:"
 
 
-def _header(kind, page, refers, url, digest, length):
+def _header(kind, page, refers, url, date, digest, length):
     """The header block up to and with its empty line; a revisit has no block of its own."""
     def line(name, value):
         return F.concat(F.lit(name + ": "), value, F.lit(CRLF))
@@ -40,7 +40,7 @@ def _header(kind, page, refers, url, digest, length):
     return F.concat(
         F.lit("WARC/1.1" + CRLF), line("WARC-Type", kind),
         line("WARC-Record-ID", F.concat(F.lit("<" + _URN), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))),
-        line("WARC-Target-URI", uri), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
+        line("WARC-Date", date), line("WARC-Target-URI", uri), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
         F.when(kind == "revisit", F.concat(
             line("WARC-Refers-To", F.concat(F.lit("<" + _URN), refers.cast("string"), F.lit(">"))),
             line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
@@ -51,10 +51,15 @@ def _header(kind, page, refers, url, digest, length):
 
 
 def write_archive(records: DataFrame, path: str, record_id: str = "page_id", url: str = "url",
-                  payload: str = "html", min_revisit: int = MIN_REVISIT) -> None:
-    """Write ``path/payloads`` (digest, payload) and ``path/headers`` (digest, header)."""
+                  payload: str = "html", min_revisit: int = MIN_REVISIT, date: str | None = None) -> None:
+    """Write ``path/payloads`` (digest, payload) and ``path/headers`` (digest, header).
+
+    ``date`` names a timestamp column for WARC-Date; without it, or where it is null, the time of writing stands.
+    """
     raw = F.coalesce(F.encode(F.col(payload), "UTF-8"), F.to_binary(F.lit(""), F.lit("utf-8")))
-    rec = records.select(F.col(record_id).alias("id"), F.col(url).alias("url"), raw.alias("payload"))
+    at = F.coalesce(F.col(date), F.current_timestamp()) if date else F.current_timestamp()
+    at = F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rec = records.select(F.col(record_id).alias("id"), F.col(url).alias("url"), at.alias("date"), raw.alias("payload"))
     rec = rec.withColumns({"digest": F.sha2("payload", 256), "check": F.sha2("payload", 512),
                            "bytes": F.length("payload").cast("long")})
     narrow = cut_table(rec.drop("payload"), "warc-records")
@@ -65,17 +70,19 @@ def write_archive(records: DataFrame, path: str, record_id: str = "page_id", url
     groups = cut_table(groups, "warc-groups")
     if not groups.where(~F.col("same")).isEmpty():
         raise ValueError("two payloads share a SHA-256 digest")
-    # One copy of each payload: the rows of the first id, then one row per digest.
-    keep = rec.select("id", "digest", "payload").join(
-        groups.select("digest", "first_id").withColumnRenamed("digest", "d"),
-        # The ids never differ downwards; as an inequality they stay out of the join keys, so one shuffle by
-        # digest serves the join and the row choice.
-        (F.col("digest") == F.col("d")) & (F.col("first_id").isNull() | (F.col("id") <= F.col("first_id"))))
-    keep.select("digest", "payload").dropDuplicates(["digest"]).write.parquet(f"{path}/payloads")
+    # One copy of each payload: the row of the first id.  Digest and id are the join keys, so the copies of a hot
+    # payload are spread by their ids, and the same shuffle serves the choice of one row per key.
+    def keyed(df, id_):
+        return df.withColumns({"key": F.coalesce(F.col(id_).cast("string"), F.lit("")), "no_id": F.col(id_).isNull()})
+
+    keys = ["digest", "key", "no_id"]
+    keep = keyed(rec.select("id", "digest", "payload"), "id").drop("id").join(
+        keyed(groups.select("digest", "first_id"), "first_id").select(*keys), keys)
+    keep.dropDuplicates(keys).select("digest", "payload").write.parquet(f"{path}/payloads")
     h = narrow.join(groups.select("digest", "first_id"), "digest")
     revisit = (F.col("bytes") >= min_revisit) & ~F.col("id").eqNullSafe(F.col("first_id"))
     kind = F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
-    h.select("digest", _header(kind, F.col("id"), F.col("first_id"), F.col("url"), F.col("digest"), F.col("bytes"))
+    h.select("digest", _header(kind, F.col("id"), F.col("first_id"), F.col("url"), F.col("date"), F.col("digest"), F.col("bytes"))
              .alias("header")).write.parquet(f"{path}/headers")
 
 
