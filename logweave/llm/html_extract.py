@@ -9,8 +9,15 @@ when its marginal says content.
 
 Potentials are trained from labelled pages: those with exactly one ``article`` or ``main``
 element say which nodes are content.  A bounded sample of pages (``TRAIN_PAGES``) is
-counted; ``DECLARED`` kinds (navigation, footers, asides, forms, comments, adverts ...)
-get a fixed strong potential besides, so that they hold on pages unlike the sample.
+counted; the tags of ``DECLARED`` kinds (navigation, footers, asides, forms) get a fixed
+strong potential besides, so that they hold on pages unlike the sample.
+
+Names in class, id and role are bounded potentials, counted on the same pages over a prior.
+A name whose head is a negative word ("sidebar", "post-comments", "ad-slot") marks its
+element; names of state ("with-sidebar", "comments-open", "post-share-target") are a weak
+hint only.  Every leaf also has the potential of its nearest mark, so a negative mark holds
+for any length of text, while a positive name or a main element below it lifts it.  A main
+element below a negative mark counts only when the page has no other.
 
 Blocks: white space inside becomes one space, blocks are joined by an empty line.
 
@@ -38,7 +45,7 @@ STRONG = -400.0
 _TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
     re.S)
-_HINTS = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: Elements whose content is not text of the page.
 RAW = frozenset("script style title textarea noscript template iframe svg math object select datalist canvas audio video xmp noembed noframes".split())
@@ -51,31 +58,46 @@ GROUPS = {
     "dt": "item", "table": "table", "tbody": "table", "thead": "table", "tfoot": "table", "tr": "table", "td": "cell",
     "th": "cell", "caption": "cell", "html": "root", "body": "root",
 } | dict.fromkeys("div section center address figure figcaption hgroup details summary legend".split(), "box")
-DECLARED = frozenset(("nav", "header", "footer", "aside", "form", "head", "hint-"))
+DECLARED = frozenset(("nav", "header", "footer", "aside", "form", "head"))
 NEGATIVE = frozenset("""ad ads advert adverts advertisement advertising banner promo promotion sponsor sponsored cookie cookies
     consent notice gdpr popup modal overlay sidebar aside widget related recommended recommendations share sharing social
     comment comments disqus reply replies nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer masthead
-    newsletter subscribe subscription signup login search toolbar complementary contentinfo dialog alert hidden""".split())
+    newsletter subscribe subscription signup login search toolbar complementary contentinfo dialog alert""".split())
 POSITIVE = frozenset("article content main post entry story text body".split())
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}),
            "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
 
+#: Words that make a name tell a state or purpose, not what the element is.
+STATE = frozenset("with without has no open opened closed enabled disabled on off target active visible".split())
+
+
+def _name_hint(name: str) -> str:
+    """Hint of one name: '-' when it is negative, '~' when it only mentions a negative word, '+', or ''."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    negative, positive = NEGATIVE.intersection(words), POSITIVE.intersection(words)
+    if negative:
+        plain = STATE.isdisjoint(words) and (not positive or words[-1] in NEGATIVE)
+        return "-" if plain else "~"
+    return "+" if positive else ""
+
+
 def _hint(attrs: str) -> str:
-    """'-', '+' or '' for the words of class, id and role."""
-    if not attrs or "=" not in attrs and "hidden" not in attrs:
+    """'-', '~', '+' or '' for the names in class, id and role; hidden elements are '-'."""
+    if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
         return ""
     found = set()
-    for name, value in _HINTS.findall(attrs):
-        value = value.strip("\"'")
-        if name.lower() in ("hidden", "aria-hidden"):
-            if value.lower() != "false":
-                found.add("hidden")
-            continue
-        found.update(w.lower() for w in _WORD.findall(value))
-        if name.lower() == "role" and value.lower() in ("banner", "search", "form"):
-            found.add("nav")
-    return "-" if found & NEGATIVE else "+" if found & POSITIVE else ""
+    for name, value in _ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or name == "aria-hidden" and value.lower() != "false":
+            return "-"
+        if name == "role" and value.lower() in ("banner", "search", "form"):
+            found.add("-")
+        elif name in ("class", "id", "role"):
+            found.update(map(_name_hint, value.split()))
+    if {"-", "+"} <= found:
+        return "~"
+    return next((h for h in "-+~" if h in found), "")
 
 
 class Tree:
@@ -189,28 +211,46 @@ def parse(source: str) -> Tree:
         group = GROUPS.get(name, "inline")
         stack.append(add(stack[-1], (f"tag:{group}",) + ((f"hint{hint}",) if hint else ()), None, name))
     flush()
+    for leaf, mark in enumerate(marks(t)):
+        if mark == "-" and t.tag[leaf] == "#text":
+            t.features[leaf] += ("near:-",)
     return t
 
 
+def marks(t: Tree) -> list[str]:
+    """Mark of every node, '-', '+' or '': its own or that of its nearest marked ancestor."""
+    def spread(reset: bool) -> list[str]:
+        out = [""] * len(t.tag)
+        for i in range(1, len(t.tag)):
+            above, main = out[t.parent[i]], "tag:main" in t.features[i]
+            if main and (reset or above != "-" and "hint-" not in t.features[i]):
+                out[i] = "+"
+            else:
+                out[i] = "-" if "hint-" in t.features[i] else "+" if "hint+" in t.features[i] and not main else above
+        return out
+
+    out = spread(False)
+    mains = [i for i, f in enumerate(t.features) if "tag:main" in f]
+    return spread(True) if mains and all(out[i] == "-" for i in mains) else out
+
+
 def labels(t: Tree) -> list[int] | None:
-    """State of every node of a labelled page: inside its only main element and below nothing declared."""
-    mains = [i for i, tag in enumerate(t.tag) if tag in ("article", "main")]
-    top = [i for i in mains if not any(j != i and _below(t, i, j) for j in mains)]
+    """State of every node of a labelled page: inside its only main element, below nothing declared or marked '-'."""
+    inside, top = [False] * len(t.tag), []
+    for i, tag in enumerate(t.tag):
+        main = tag in ("article", "main")
+        if main and not (i and inside[t.parent[i]]):
+            top.append(i)
+        inside[i] = main or i > 0 and inside[t.parent[i]]
     if len(top) != 1:
         return None
-    state = [0] * len(t.tag)
+    state, mark = [0] * len(t.tag), marks(t)
     for i in range(1, len(t.tag)):
-        declared = any(f.removeprefix("tag:") in DECLARED for f in t.features[i])
-        state[i] = int((i == top[0] or state[t.parent[i]] == 1) and not declared)
+        out = mark[i] == "-" or any(f.removeprefix("tag:") in DECLARED for f in t.features[i])
+        state[i] = int((i == top[0] or state[t.parent[i]] == 1) and not out)
     return state
 
 
-def _below(t: Tree, i: int, j: int) -> bool:
-    while i > j:
-        i = t.parent[i]
-    return i == j
-
-
 def _edges(t: Tree) -> list[str]:
     """Kind of the edge above every node: 'under' for what is declared or lies below it, 'in' for leaves, else 'tag'."""
     declared, out = [False] * len(t.tag), [""] * len(t.tag)
@@ -222,9 +262,12 @@ def _edges(t: Tree) -> list[str]:
 
 
 #: Fixed pseudo-counts (not content, content) that hold without any labelled page.
-PRIOR = {"tag:box": (30, 20), "tag:list": (30, 10), "tag:item": (40, 15), "tag:table": (20, 10), "tag:cell": (30, 10), "tag:main": (0.05, 60), "hint+": (0.5, 60), "tag:p": (4, 25), "tag:heading": (4, 16), "in:p": (5, 40), "in:heading": (4, 20),
+PRIOR = {"tag:box": (30, 20), "tag:list": (30, 10), "tag:item": (40, 15), "tag:table": (20, 10), "tag:cell": (30, 10), "tag:main": (0.05, 60), "hint+": (0.5, 60), "hint~": (20, 14), "hint-": (60, 0.1), "near:-": (1000, 1e-7), "tag:p": (4, 25), "tag:heading": (4, 16), "in:p": (5, 40), "in:heading": (4, 20),
          "in:box": (10, 12), "in:item": (12, 10), "links:0": (10, 20), "links:3": (40, 1), "links:2": (20, 3), "ends:0": (20, 15),
          "ends:1": (8, 20), "ends:2": (4, 15), "ends:3": (2, 20)}
+#: Least and greatest log odds of a feature, -3 and 3 of the others, so that no single weak one outvotes a page.  That of
+#: a leaf's negative mark exceeds what the leaf's four other features and the element around it can add up to.
+BOUNDS = {"tag:main": (-3.0, 8.0), "hint+": (-3.0, 8.0), "hint-": (-8.0, 3.0), "near:-": (-20.0, 3.0)}
 EDGE_PRIOR = {("tag", 0): (80, 20), ("tag", 1): (1, 99), ("in", 0): (999, 1), ("in", 1): (1, 199)}
 
 
@@ -245,11 +288,10 @@ class Potentials:
         self.unary = {}
         for f, (a, b) in merged.items():
             t = tot["tag" if f.startswith(("tag:", "hint")) else "in"]
-            # Bounded, so that no single weak feature outvotes a page.
-            top = 8.0 if f in ("tag:main", "hint+") else 3.0
-            self.unary[f] = max(-3.0, min(top, math.log((b / t[1]) / (a / t[0]))))
+            low, top = BOUNDS.get(f, (-3.0, 3.0))
+            self.unary[f] = max(low, min(top, math.log((b / t[1]) / (a / t[0]))))
         for f in DECLARED:
-            self.unary[f if f.startswith("hint") else f"tag:{f}"] = STRONG
+            self.unary[f"tag:{f}"] = STRONG
         self.edge = {("under", s): (0.0, STRONG) for s in (0, 1)}
         for (e, s), (a, b) in EDGE_PRIOR.items():
             x, y = counts.get(f">{e}|{s}", (0, 0))

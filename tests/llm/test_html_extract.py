@@ -79,3 +79,36 @@ def test_self_closed_foreign_elements_keep_the_rest_of_the_page():
     for inner in ("<svg/>", '<svg class="i" />', "<math/>", "<svg><path d='m'/>no text</svg>"):
         text = he.main_text(page.format(inner), he.Potentials())
         assert text == "The first sentence of the article is here.\n\nThe second one follows it, also whole.", inner
+
+
+BODY = "<h1>The title</h1><p>First paragraph of the story, with some text. It goes on.</p><p>Second paragraph, said by someone. It ends.</p>"
+BLOCKS = ["The title", "First paragraph of the story, with some text. It goes on.", "Second paragraph, said by someone. It ends."]
+
+
+def test_wrappers_that_mention_a_word_keep_their_article(spark):
+    pots = (he.Potentials(), he.train(spark.read.parquet(f"{SF}/pages.parquet")))
+    wrappers = ["<article class='post comments-open'>%s</article>", "<article class='overflow-hidden'>%s</article>",
+                "<div class='content with-sidebar'><article>%s</article></div>", "<div class='content with-sidebar'>%s</div>",
+                "<div id='post-share-target'><article>%s</article></div>", "<div style='overflow: hidden'><article>%s</article></div>",
+                "<div class='has-sidebar no-ads'><main>%s</main></div>", "<div class='overlay'><main>%s</main></div>",
+                "<article class='comment'>%s</article>", "<div data-widget='sidebar hidden' class='post'>%s</div>"]
+    for pot in pots:
+        for w in wrappers:
+            assert he.main_text(f"<html><body>{w % BODY}</body></html>", pot).split("\n\n") == BLOCKS, w
+
+
+def test_named_boxes_go_whatever_their_length(spark):
+    long = "".join(f"<p>Reader {i} wrote a long and whole sentence here. And then another one. It was good!</p>" for i in range(200))
+    boxes = ["<section class='comments'>%s</section>", "<div class='post-comments'>%s</div>", "<div id='comments-area'>%s</div>",
+             "<div class='sidebar-right'>%s</div>", "<div class='cookie-notice'>%s</div>", "<div hidden>%s</div>",
+             "<div class='related'><article>%s</article></div>", "<div aria-hidden='true'>%s</div>", "<div class='comment-list'><div class='comment-body'>%s</div></div>"]
+    for pot in (he.Potentials(), he.train(spark.read.parquet(f"{SF}/pages.parquet"))):
+        for box in boxes:
+            assert he.main_text(f"<html><body><article>{BODY}{box % long if 'article' not in box else ''}</article>{box % long}</body></html>", pot).split("\n\n") == BLOCKS, box
+
+
+def test_labels_in_linear_time():
+    t = he.parse("<body>" + "<article><p>text</p></article>" * 20_000)
+    assert he.labels(t) is None
+    t = he.parse("<main>" + "<article><p>text</p></article>" * 3 + "</main>")
+    assert sum(he.labels(t)) == 10
