@@ -7,11 +7,17 @@ are scored by gradient boosted trees over format and context features and accept
 from a threshold per kind, calibrated on held-out documents.
 
 Training labels come from the corpus itself: a candidate equal to a valid base span is
-positive, one that overlaps a valid base span without being one, or a failed base match,
-is negative; other candidates are unlabelled and only scored.  Rows are first aggregated
-to distinct feature vectors with counts, so the trees train on a small weighted table.
+positive, and so are valid base spans rewritten into the forms of the wide generators
+(national phones, spelled addresses); one that overlaps a valid base span without lying
+inside one of its kind, or a failed base match, is negative.  Of the others, which are the
+ones to be scored, those without a check of their own (Luhn, octets) train as negatives of
+weight ``UNKNOWN``, so that number lists found in plenty stay; thresholds are calibrated on
+known labels only.  Rows are first aggregated to distinct feature vectors with counts, so
+the trees train on a small weighted table.
 
-Accepted candidates do not overlap base spans, nor a better accepted candidate.
+Accepted candidates do not overlap base spans.  One that lies inside an accepted one of its
+kind goes; within each run of overlaps the best scores are taken first, and one that
+overlaps none taken before it stays.
 
 Defined cases: null texts are empty; repeated rows (same id and text) get equal results;
 null ids are ids; without positive or without negative candidates there is no model and
@@ -44,14 +50,20 @@ GENERATORS = (
     ("card", False, r"(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])"),
     ("card", False, r"(?<![0-9A-Za-z])[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9A-Za-z])"),
     ("phone", False, r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-][0-9]{2,4}(?![0-9])){1,4}"),
-    ("phone", False, r"(?<![0-9A-Za-z.+-])(?:\([0-9]{2,5}\)[\x20.-]?|[0-9]{2,5}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])"),
+    # Not a part of a longer row of digit groups.
+    ("phone", False, r"(?<![0-9A-Za-z.+-])(?<![0-9][\x20.-])(?:1[\x20.-])?(?:\([0-9]{2,5}\)[\x20.-]?|[0-9]{2,5}[\x20.-])"
+                     r"[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|[\x20.-][0-9])"),
 )
 CONTEXT = 24
 CUES = {"email": "mail|contact|kontakt|correo|courriel", "ip": r"\bip\b|host|addr|server|login",
         "card": "card|karte|carte|tarjeta|visa|credit", "phone": r"\btel|phone|fon|call|fax|mobil|cell"}
-FEATURES = ("gen", "n_digits", "n_chars", "n_letters", "n_seps", "plus", "paren", "luhn", "octets", "left", "right", "cue")
+FEATURES = ("sort", "n_digits", "n_chars", "n_letters", "n_seps", "plus", "paren", "spelled", "luhn", "octets", "left", "right", "cue")
 TREES, DEPTH = 8, 4
 MIN_PRECISION = 0.99
+#: Weight, as a negative example, of a candidate that nothing is known about.
+UNKNOWN = 0.1
+#: Least share of the training weight in a leaf.
+LEAF_SHARE = 0.001
 TEST_FOLD = "pmod(crc32(cast(coalesce(cast(doc_id as string), '') as binary)), 4) = 2"
 
 
@@ -122,36 +134,75 @@ def _featured(c: DataFrame) -> DataFrame:
         "n_digits": bucket(F.length("digits"), 24), "n_chars": bucket(n, 40), "n_letters": bucket(letters, 12),
         "n_seps": bucket(n - letters - F.length("digits"), 8), "plus": F.contains("match", F.lit("+")).cast("int"),
         "paren": F.contains("match", F.lit("(")).cast("int"), "left": side(F.right("before", F.lit(1))),
-        "right": side(F.left("after", F.lit(1))), "cue": cue})
+        "right": side(F.left("after", F.lit(1))), "cue": cue,
+        "spelled": bucket(F.regexp_count("match", F.lit(r"[\x20\[(](?:at|dot)[\x20\])]")), 4),
+        "sort": F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")})
 
 
 def _labelled(c: DataFrame) -> DataFrame:
-    """Adds ``hit`` (equals a valid base span), ``near`` (overlaps one) and ``label`` (1, 0 or null)."""
+    """Adds ``near`` (overlaps a valid base span) and ``label``.
+
+    1: equals a valid base span; 0: a base match that failed, or overlaps a valid span without
+    lying inside one of its own kind; null: nothing is known.
+    """
     key = ["doc_id", "text_key"]
     ok = F.col("valid")
     before = Window.partitionBy(*key).orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy(*key).orderBy("start").rangeBetween(0, Window.unboundedFollowing)
+    own = Window.partitionBy(*key, "kind").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     same = Window.partitionBy(*key, "start", "stop", "kind")
-    c = c.withColumns({"reach": F.max(F.when(ok, F.col("stop"))).over(before),
-                       "next": F.min(F.when(ok, F.col("start"))).over(after),
-                       "hit": F.max(ok).over(same)})
+    stop = F.when(ok, F.col("stop"))
+    c = c.withColumns({"reach": F.max(stop).over(before), "next": F.min(F.when(ok, F.col("start"))).over(after),
+                       "hit": F.max(ok).over(same), "part": F.coalesce(F.max(stop).over(own) >= F.col("stop"), F.lit(False))})
     near = (F.coalesce("reach", F.lit(-1)) > F.col("start")) | (F.coalesce("next", F.col("stop")) < F.col("stop"))
-    label = F.when(F.col("hit"), 1).when(near | F.col("base"), 0)
+    label = F.when(F.col("hit"), 1).when((near | F.col("base")) & ~F.col("part"), 0)
     return c.withColumns({"near": near, "label": label})
 
 
+def _masked(c: DataFrame) -> DataFrame:
+    """Valid base spans rewritten into the forms that only the wide generators propose: further positive examples.
+
+    A phone loses its country code (as written, with plain hyphens, and with a trunk zero); an address is
+    spelled out in words, in brackets, or with a bracketed sign alone.  Forms that no wide generator matches go.
+    """
+    m = F.col("match")
+    tail = F.regexp_replace(m, r"^\+[0-9]{1,3}[\x20.-]?", "")
+    digits = F.regexp_replace(tail, "[^0-9]", "")
+    plain = F.regexp_replace(digits, "^([0-9]{3})([0-9]{3})([0-9]{4})$", "$1-$2-$3")
+    trunk = F.regexp_replace(digits, "^([0-9]{2})([0-9]{4})([0-9]{4})$", "0$1 $2 $3")
+    name, domain = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
+
+    def spelt(at, dot):
+        return F.concat(name, F.lit(at), F.replace(domain, F.lit("."), F.lit(dot)))
+
+    forms = F.when(F.col("kind") == "phone", F.array(tail, plain, trunk)).when(F.col("kind") == "email", F.array(
+        spelt(" at ", " dot "), spelt(" [at] ", " [dot] "), spelt("(at)", "(dot)"), spelt(" [at] ", ".")))
+    wide = F.lit(False)
+    for kind, base, pattern in GENERATORS:
+        if not base and kind in ("phone", "email"):
+            wide = wide | ((F.col("kind") == kind) & F.col("match").rlike(f"^(?:{pattern})$"))
+    out = c.where("valid").select("doc_id", "kind", F.lit(False).alias("base"), F.explode(F.array_distinct(forms)).alias("match"), "before", "after")
+    return _checked(out.where(wide)).withColumn("label", F.lit(1))
+
+
 def _model(c: DataFrame):
     """(fitted trees, {kind: threshold}) or None when one of the classes is missing."""
-    cells = c.where("label is not null").withColumn("test", F.expr(TEST_FOLD)).groupBy("kind", "test", "label", *FEATURES).agg(
-        F.count(F.lit(1)).cast("double").alias("weight"))
-    cells = cut_table(cells.coalesce(1), "pii-cells")
+    columns = ["doc_id", "kind", "label", *FEATURES]
+    unknown = c.where("label is null and not near and not (kind = 'card' and luhn = 1) and not (kind = 'ip' and octets = 1)")
+    rows = c.where("label is not null").select(*columns, F.lit(True).alias("known")).unionByName(
+        _featured(_masked(c)).select(*columns, F.lit(True).alias("known"))).unionByName(
+        unknown.withColumn("label", F.lit(0)).select(*columns, F.lit(False).alias("known")))
+    cells = rows.withColumn("test", F.expr(TEST_FOLD)).groupBy("kind", "test", "known", "label", *FEATURES).agg(
+        (F.count(F.lit(1)) * F.when(F.col("known"), 1.0).otherwise(UNKNOWN)).alias("weight"))
+    # One row per combination of the bounded features: small, so one sorted partition makes the fit repeatable.
+    cells = cut_table(cells, "pii-cells").coalesce(1)
     seen = {(r[0], r[1]) for r in cells.select("test", "label").distinct().collect()}
     if not {(False, 0), (False, 1)} <= seen:
         return None
     put = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    fit = put.transform(cells.where("not test").orderBy("kind", "label", *FEATURES))
-    model = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(fit)
-    scored = model.transform(put.transform(cells.where("test"))).select(
+    fit = put.transform(cells.where("not test").orderBy("kind", "known", "label", *FEATURES))
+    model = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, minWeightFractionPerNode=LEAF_SHARE, seed=7).fit(fit)
+    scored = model.transform(put.transform(cells.where("test and known"))).select(
         "kind", "label", "weight", vector_to_array("probability")[1].alias("p"))
     steps = F.explode(F.array(*[F.lit(x / 20) for x in range(10, 20)]))
     table = scored.withColumn("t", steps).where("p >= t").groupBy("kind", "t").agg(
@@ -175,17 +226,24 @@ def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     if fitted is None:
         return base
     put, model, limits = fitted
-    rest = c.where("label is null")
+    rest = c.where("label is null and not near")
     rest = model.transform(put.transform(rest)).select(*keep, vector_to_array("probability")[1].alias("score"))
     limit = F.lit(2.0)
     for k, t in limits.items():
         limit = F.when(F.col("kind") == k, t).otherwise(limit)
     rest = rest.where(F.col("score") >= limit)
     rest = rest.groupBy(*keep).agg(F.max("score").alias("score"))
-    # A candidate goes when it overlaps an accepted one that starts earlier, or at its start and is longer.
-    w = Window.partitionBy("doc_id", "text_key").orderBy("start", F.col("stop").desc(), "kind").rowsBetween(
-        Window.unboundedPreceding, -1)
-    rest = rest.withColumn("reach", F.max("stop").over(w)).where("reach is null or reach <= start").drop("reach")
+    # A candidate inside an accepted one of its kind goes; the others are taken by score within each run of overlaps.
+    own = Window.partitionBy("doc_id", "text_key", "kind").orderBy("start", F.col("stop").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    rest = rest.withColumn("reach", F.max("stop").over(own)).where("reach is null or reach < stop").drop("reach")
+    w = Window.partitionBy("doc_id", "text_key").orderBy("start", F.col("stop").desc(), "kind")
+    rest = rest.withColumn("reach", F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    rest = rest.withColumn("run", F.sum(F.when(F.col("reach") > F.col("start"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    item = F.struct((-F.round("score", 6)).alias("rank"), "start", (-F.col("stop")).alias("back"), "kind", "stop", "base", "score")
+    runs = rest.groupBy("doc_id", "text_key", "run").agg(F.sort_array(F.collect_list(item)).alias("all"))
+    taken = F.expr("""aggregate(slice(all, 2, size(all)), slice(all, 1, 1), (kept, x) ->
+        if(exists(kept, k -> k.start < x.stop and x.start < k.stop), kept, concat(kept, array(x))))""")
+    rest = runs.select("doc_id", "text_key", F.explode(taken).alias("s")).select("doc_id", "text_key", "s.*").select(*keep, "score")
     return base.unionByName(rest)
 
 

@@ -56,3 +56,29 @@ def test_edge_rows(spark):
     assert len(rows) == len(DOCS)
     assert pii.pii_report(docs_frame(spark).limit(0)).count() == 0
     assert hashlib.sha256(b"").hexdigest() == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+WIDE = ["please call (269) 555-3296 today", "212-555-0188", "tel: 030 1234 5678", "joe at example dot org",
+        "write to joe [at] example [dot] com now", "call +1 (212) 555-0199 or 212-555-0188, or mail ann(at)example(dot)org"]
+
+
+def test_wide_forms_are_found(spark):
+    """Forms without a base span are learned from base spans rewritten into them."""
+    texts = TEXTS[14:] + [f"line {i}: reach u{i}@mail.example.com or +1 (303) 555-02{i:02d}, host 10.1.2.{i}" for i in range(60)] + WIDE
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.pii_report(df).select("doc_id", "text", "found", pii.spelled("found").alias("s")).collect()}
+    got = [rows[len(texts) - len(WIDE) + i] for i in range(len(WIDE))]
+    cut = [[r.text[s.start:s.stop] for s in r.found or []] for r in got]
+    assert cut == [["(269) 555-3296"], ["212-555-0188"], ["030 1234 5678"], ["joe at example dot org"], ["joe [at] example [dot] com"],
+                   ["+1 (212) 555-0199", "212-555-0188", "ann(at)example(dot)org"]]
+    # Added spans never overlap each other.
+    for r in rows.values():
+        added = sorted((s.start, s.stop) for s in r.found or [] if not s.base)
+        assert all(a[1] <= b[0] for a, b in zip(added, added[1:]))
+
+
+def test_plain_numbers_are_left_alone(spark):
+    """Number lists in a corpus are unknown candidates in plenty, and stay."""
+    texts = TEXTS[14:] + [f"in 19{i:02d} 1991 1992 we sold 12 345 678 pieces and 20 1990 2000 of {i}" for i in range(60)] * 10
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert pii.pii_report(df).where("text like 'in 19%'").where("found is not null").count() == 0
