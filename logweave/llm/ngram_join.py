@@ -28,8 +28,9 @@ task is salted before the shuffle.  Parity sketches (|x ^ y| >= popcount of the
 parities) drop most pairs before sets are fetched.
 
 Defined cases: null or word-less texts have an empty set and link with nothing; fewer
-than ``n`` words are one shingle; repeated rows fall in one class; a null id gets its
-row and no component; empty tables work; extra columns are ignored.
+than ``n`` words are one shingle; repeated rows fall in one class; rows of one id with
+different sets keep all their links and share a component; a null id gets its row and no
+component; empty tables work; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -324,9 +325,57 @@ def _links(pairs: DataFrame, profile: DataFrame, docs: DataFrame) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, class_id (smallest id with an equal set), component_id."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    profile = cut_table(docs.mapInArrow(_profile, "doc_id long, n long, f1 long, f2 long, sketch binary"), "profile")
+    profile = _profiles(docs)
+    texts = F.struct("n", "f1", "f2")
+    several = profile.where("n > 0 and doc_id is not null").groupBy("doc_id").agg((F.min(texts) < F.max(texts)).alias("several"))
+    several = cut_table(several.where("several").select(F.col("doc_id").alias("s")), "several")
+    if several.isEmpty():
+        return _classes(docs, profile)
+    return _of_repeated_ids(docs, several)
+
+
+def _profiles(docs: DataFrame) -> DataFrame:
+    return cut_table(docs.mapInArrow(_profile, "doc_id long, n long, f1 long, f2 long, sketch binary"), "profile")
+
+
+def _of_repeated_ids(docs: DataFrame, several: DataFrame) -> DataFrame:
+    """Classes of a table where the ids ``several`` stand on rows with different sets.
+
+    Each row of these ids is a node of its own; afterwards the components that hold rows of
+    one id become one, and nodes turn back into the smallest ids of their class and component.
+    """
+    side = small_side(several, several.count())
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    k = F.monotonically_increasing_id()
+    if high < 1 << 61:
+        node = F.lit(high + 1).cast("long") + k
+    elif low > -(1 << 61):
+        node = F.lit(low - 1).cast("long") - k
+    else:
+        raise ValueError("no free numbers beside the document ids")
+    keyed = cut_table(docs.join(side, F.col("doc_id") == F.col("s"), "left_semi").withColumn("node", node), "keyed")
+    rest = docs.join(side, F.col("doc_id") == F.col("s"), "left_anti")
+    nodes = cut_table(rest.unionAll(keyed.select(F.col("node").alias("doc_id"), "text")), "nodes")
+    c = _classes(nodes, _profiles(nodes)).withColumnRenamed("doc_id", "node")
+    c = c.join(keyed.select("node", F.col("doc_id").alias("own")), "node", "left").withColumn("doc_id", F.coalesce("own", "node"))
+    c = cut_table(c, "of-nodes")
+    # Components of one id: each is joined to the smallest.
+    of_id = c.where("own is not null and n_shingles > 0").select("own", "component_id").distinct()
+    least = of_id.groupBy("own").agg(F.min("component_id").alias("a"))
+    root = connected_components(of_id.join(least, "own").select("a", F.col("component_id").alias("b"))).toDF("component_id", "root")
+    c = cut_table(c.join(root, "component_id", "left").withColumn("group", F.coalesce("root", "component_id")), "of-groups")
+
+    def smallest(by, name):
+        return c.where(F.col(by).isNotNull()).groupBy(by).agg(F.min("doc_id").alias(name))
+
+    out = c.join(smallest("class_id", "least_class"), "class_id", "left").join(smallest("group", "least_group"), "group", "left")
+    return out.select("doc_id", "n_shingles", F.col("least_class").alias("class_id"), F.col("least_group").alias("component_id"))
+
+
+def _classes(docs: DataFrame, profile: DataFrame) -> DataFrame:
+    """The join itself, for ids whose rows all have one set."""
+    spark = docs.sparkSession
     full = profile.where("n > 0 and doc_id is not null")
     classes = cut_table(full.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("members")),
                         "classes")

@@ -82,3 +82,34 @@ def test_edge_tables(spark):
     df = spark.createDataFrame([(None, "a b c d e f", 1), (7, "a b c d e f", 1), (7, "a b c d e f", 2), (9, None, 3)], schema)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in nj.jaccard_classes(df).collect()), key=str)
     assert got == [(7, 2, 7), (7, 2, 7), (9, 0, 9), (None, 2, None)]
+
+
+def brute_of_ids(rows):
+    """Components by brute force where rows of one id with words belong together."""
+    sets = [brute_sets(t) for _, t in rows]
+    pos = list(range(len(rows)))
+
+    def root(i):
+        while pos[i] != i:
+            i = pos[i]
+        return i
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x and y and (rows[i][0] == rows[j][0] or 100 * len(x & y) >= 80 * len(x | y)):
+                pos[root(i)] = root(j)
+    best = {}
+    for i in range(len(rows)):
+        best[root(i)] = min(best.get(root(i), rows[i][0]), rows[i][0])
+    return sorted((rows[i][0], len(sets[i]), best[root(i)]) for i in range(len(rows)))
+
+
+def test_an_id_on_rows_with_different_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(7, a), (7, b), (3, a + " x"), (2, b + " y"), (9, b + " z"), (7, None), (7, a), (5, "alone"), (11, "c d e f g h"), (11, "c d e f g h")]
+    rows += [(i % 150 + 20, t) for i, t in corpus(3, 160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nj.jaccard_classes(df).collect())
+    assert got == brute_of_ids(rows)
+    assert {c for i, n, c in got if i in (2, 3, 7, 9) and n} == {2}
+    lost = spark.createDataFrame([(None, a), ((1 << 62) + 5, a), ((1 << 62) + 5, b)], "doc_id long, text string")
+    assert {r.component_id for r in nj.jaccard_classes(lost).collect()} == {None, (1 << 62) + 5}
