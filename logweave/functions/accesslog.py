@@ -35,32 +35,34 @@ def _c(col) -> Column:
 
 
 # One regex pass per line: a matching line is rewritten to MARK + the nine groups joined by
-# SEP; a line that does not match comes back unchanged (and so lacks the leading MARK).
-_SEP = "\u0001"
+# SEP; a line that does not match comes back without the leading MARK.  A SEP inside a line is
+# escaped before the pass (ESC and a letter, which the pattern treats like any other character).
+_SEP, _ESC = "\u0001", "\u0002"
 _MARK = "\u0000LW" + _SEP
 _REWRITE = _MARK + _SEP.join(f"${i}" for i in range(1, 10))
 
 
 def log_rewrite(line="value") -> Column:
     """The single regex pass: a matching line becomes MARK + groups joined by SEP."""
-    return F.regexp_replace(_c(line), _ANCHORED, _REWRITE)
+    safe = F.replace(F.replace(_c(line), F.lit(_ESC), F.lit(_ESC + "b")), F.lit(_SEP), F.lit(_ESC + "a"))
+    return F.regexp_replace(safe, _ANCHORED, _REWRITE)
 
 
 def fields_of_rewrite(rewritten) -> Column:
-    """``log_rewrite`` output -> ``array<string>`` of the nine groups, NULL for a bad line."""
+    """``log_rewrite`` output -> ``array<string>`` of the nine groups (to be read by ``field``), NULL for a bad line."""
     out = _c(rewritten)
     return F.when(out.startswith(_MARK), F.split(F.substring(out, len(_MARK) + 1, 1 << 30), _SEP))
 
 
 def log_fields(line="value") -> Column:
-    """All nine groups of a line as ``array<string>`` (index 1 = ip ... 9 = agent), or NULL
-    when the line does not match."""
+    """All nine groups of a line as ``array<string>`` for ``field``, or NULL when the line does
+    not match."""
     return fields_of_rewrite(log_rewrite(line))
 
 
 def field(fields: Column, name: str) -> Column:
     """One group out of ``log_fields``; '' for an absent optional group, NULL for a bad line."""
-    return F.element_at(fields, GROUPS[name])
+    return F.replace(F.replace(F.element_at(fields, GROUPS[name]), F.lit(_ESC + "a"), F.lit(_SEP)), F.lit(_ESC + "b"), F.lit(_ESC))
 
 
 def log_matches(line="value") -> Column:
@@ -101,16 +103,17 @@ def strict_url_of_request(request: Column, sentinel: str = ERROR_SENTINEL) -> Co
 def parse_log_time(date_field: Column) -> Column:
     """P8: '[dd/MMM/yyyy:HH:mm:ss +zzzz]' -> TIMESTAMP_NTZ (offset dropped); bad date -> NULL.
 
-    Parsed in the session time zone and cast back, which keeps the wall-clock value
-    (sessions are pinned to UTC, see ``logweave.session``).
+    Read as an instant of UTC and counted from 1970 as wall-clock time, so the session time
+    zone (its gaps and overlaps included) plays no part.
     """
-    text = F.regexp_extract(date_field, DATE_PATTERN, 1)
-    return F.try_to_timestamp(text, F.lit(DATE_FORMAT)).cast("timestamp_ntz")
+    text = F.concat(F.regexp_extract(date_field, DATE_PATTERN, 1), F.lit(" +0000"))
+    seconds = F.unix_seconds(F.try_to_timestamp(text, F.lit(DATE_FORMAT + " Z")))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def java_timestamp_string(ts: Column) -> Column:
     """java.sql.Timestamp.toString() of a whole-second time: 'yyyy-MM-dd HH:mm:ss.0'."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.S")
+    return F.concat(ts.cast("string"), F.lit(".0"))
 
 
 def status_class(status: Column) -> Column:

@@ -8,6 +8,7 @@ it shares only the fixed log pattern with the Spark code.
 from __future__ import annotations
 
 from logweave.functions.accesslog import LOG_PATTERN
+from logweave.functions.text import STOP_WORDS
 from logweave.sources.eventlog import ORACLE_LINES_CTE
 
 _FULL = "'^(?:" + LOG_PATTERN.replace("'", "''") + ")$'"
@@ -221,9 +222,7 @@ SELECT lower(word) AS word, count(*) AS "count" FROM w GROUP BY 1"""
 SQL["word_count_by_batch"] = f"""WITH w AS (SELECT turn, unnest({_java_split('text')}) AS word FROM conversations)
 SELECT turn, word, count(*) AS "count" FROM w GROUP BY ALL"""
 
-_STOP = ", ".join(f"'{w}'" for w in (
-    "a", "an", "the", "in", "on", "at", "to", "for", "with", "by", "of", "and", "or", "is", "are", "was", "were",
-    "be", "been", "this", "that", "it", "i", "you", "he", "she", "they", "we", "rt", "http", "https", "com", "amp"))
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 SQL["top_clean_words"] = rf"""WITH cw AS (
   SELECT source, unnest(string_split(trim(regexp_replace(regexp_replace(lower(text), '[^a-zA-Z0-9\s#@]', '', 'g'),

@@ -82,3 +82,27 @@ def test_success_predicate(spark):
 def test_decode_payload(spark):
     df = spark.createDataFrame([(bytearray(GOOD.encode()),)], "body binary")
     assert parse.decode_payload(df).first()["value"] == GOOD
+
+
+def test_control_characters_keep_their_field(spark):
+    bad = ["a\u0001b\u0002c", "\u0001", "\u0002a\u0001b\u0002", "\u0000LW\u0001x"]
+    lines = [(i, f'1.2.3.4 c{b} u [29/Nov/2015:03:50:05 +0000] "GET /{b} HTTP/1.1" 200 55 "{b}" "ua {b}"') for i, b in enumerate(bad)]
+    lines += [(10 + i, f"\u0000LW\u0001{b} no log line") for i, b in enumerate(bad)]
+    out = {r.id: r for r in parse.log_entries(spark.createDataFrame(lines, "id int, value string"), keep=["id"]).collect()}
+    assert sorted(out) == [0, 1, 2, 3]
+    for i, b in enumerate(bad):
+        r = out[i]
+        assert (r.ip, r.client, r.user, r.request, r.status, r.referer, r.agent) == (
+            "1.2.3.4", "c" + b, "u", f"GET /{b} HTTP/1.1", "200", b, "ua " + b)
+
+
+def test_wall_clock_in_a_gap_of_the_session_zone(spark):
+    """02:30 does not exist on that day in New York; the log's wall clock is kept all the same."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        line = '1.2.3.4 - - [08/Mar/2015:02:30:00 -0500] "GET /a HTTP/1.1" 200 55 "-" "ua"'
+        r = parse.log_entries(spark.createDataFrame([(line,)], "value string")).collect()[0]
+        assert r.ts == datetime(2015, 3, 8, 2, 30) and r.dateTime == "2015-03-08 02:30:00.0"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
