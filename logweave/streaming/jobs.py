@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -94,6 +95,12 @@ def _to_ts(us: int, tz: str) -> pd.Timestamp:
     return pd.Timestamp(us, unit="us", tz="UTC").tz_convert(tz).tz_localize(None)
 
 
+def _to_times(us, tz: str) -> np.ndarray:
+    """``_to_ts`` of a whole column."""
+    t = np.array(us, dtype="datetime64[us]").astype("datetime64[ns]")
+    return t if tz == "UTC" else pd.DatetimeIndex(t, tz="UTC").tz_convert(tz).tz_localize(None).to_numpy()
+
+
 def _session_update(gap_us: int, limit: int, tz: str = "UTC"):
     """Keyed-state function of ST2: per ip, the open session (start, last time, length, first
     ``limit`` urls, success and error counts) -- bounded state whatever the session length.
@@ -142,41 +149,51 @@ def _session_update(gap_us: int, limit: int, tz: str = "UTC"):
     return fn
 
 
-# Open pieces of sessions as JSON: [[start, last, rows, ok, err, [[time, seq, url], ...]], ...] in epoch microseconds
+# Open pieces of sessions as JSON: [[ip, start, last, rows, ok, err, [[time, seq, url], ...]], ...] in epoch microseconds
 CLOSED_STATE = "pieces string"
+#: State groups of closed_sessions_stream; with many more ips a group holds the open sessions of several.
+CLOSED_BUCKETS = 1 << 12
+
+
+@lru_cache(maxsize=4096)
+def _is_good(status) -> bool:
+    code = pd.to_numeric(status, errors="coerce")
+    return bool(code >= 200) and bool(code < 400)
 
 
 def _pieces(pdf: pd.DataFrame, gap_us: int, limit: int) -> list[list]:
-    """Sessions within some rows of one ip, in any order."""
-    pdf = pdf.sort_values(["us", "seq"])
-    us, seq, url = pdf["us"].to_numpy(), pdf["seq"].tolist(), pdf["url"].tolist()
-    code = pd.to_numeric(pdf["status"], errors="coerce").to_numpy(dtype=float)
-    good = (code >= 200) & (code < 400)
-    edge = [0, *(np.flatnonzero(np.diff(us) > gap_us) + 1).tolist(), len(us)]
-    out = []
-    for a, b in zip(edge, edge[1:]):
-        ok = int(good[a:b].sum())
-        out.append([int(us[a]), int(us[b - 1]), b - a, ok, b - a - ok,
-                    [[int(us[i]), seq[i], url[i]] for i in range(a, min(b, a + limit))]])
-    return out
+    """Sessions within some rows of any ips, in any order."""
+    code, ips = pd.factorize(pdf["ip"])
+    ips = [*ips, None]  # null ips have code -1
+    us, seq = pdf["us"].to_numpy(), pdf["seq"].to_numpy()
+    order = np.lexsort((seq, us, code))
+    us, code = us[order], code[order]
+    url, status = pdf["url"].tolist(), pdf["status"].tolist()
+    good = np.concatenate([[0], np.cumsum([_is_good(status[i]) for i in order.tolist()])])
+    edge = np.concatenate([[0], np.flatnonzero((np.diff(us) > gap_us) | (code[1:] != code[:-1])) + 1, [len(us)]])
+    oks, whose = np.diff(good[edge]).tolist(), code[edge[:-1]].tolist()
+    # Plain numbers of whole columns at once: one row is the commonest session.
+    at, us, edge, seq = order.tolist(), us.tolist(), edge.tolist(), seq[order].tolist()
+    return [[ips[c], us[a], us[b - 1], b - a, ok, b - a - ok, [[us[i], seq[i], url[at[i]]] for i in range(a, min(b, a + limit))]]
+            for a, b, ok, c in zip(edge, edge[1:], oks, whose)]
 
 
 def _joined(pieces: list[list], gap_us: int, limit: int) -> list[list]:
-    """Pieces that lie within ``gap_us`` of each other as one; the same for every order of arrival."""
+    """Pieces of one ip that lie within ``gap_us`` of each other as one; the same for every order of arrival."""
     out: list[list] = []
-    for p in sorted(pieces, key=lambda p: p[:2]):
-        if out and p[0] <= out[-1][1] + gap_us:
+    for p in sorted(pieces, key=lambda p: (p[0] is None, p[0] or "", p[1], p[2])):
+        if out and p[0] == out[-1][0] and p[1] <= out[-1][2] + gap_us:
             q = out[-1]
-            out[-1] = [q[0], max(q[1], p[1]), q[2] + p[2], q[3] + p[3], q[4] + p[4],
-                       sorted(q[5] + p[5], key=lambda c: c[:2])[:limit]]
+            out[-1] = [q[0], q[1], max(q[2], p[2]), q[3] + p[3], q[4] + p[4], q[5] + p[5],
+                       sorted(q[6] + p[6], key=lambda c: c[:2])[:limit]]
         else:
             out.append(p)
     return out
 
 
 def _session_close(gap_us: int, limit: int, tz: str = "UTC"):
-    """Keyed-state function of ST1: per ip, the open sessions as pieces that join in any order
-    of rows; each is emitted once, when the watermark has passed its last row by ``gap``, so
+    """Keyed-state function of ST1: the open sessions of a group of ips as pieces that join in any
+    order of rows; each is emitted once, when the watermark has passed its last row by ``gap``, so
     that no later row can belong to it."""
     def fn(key, pdfs, state: GroupState):
         open_ = json.loads(state.get[0]) if state.exists else []
@@ -188,16 +205,19 @@ def _session_close(gap_us: int, limit: int, tz: str = "UTC"):
                     open_, fresh = _joined(open_ + fresh, gap_us, limit), []
             open_ = _joined(open_ + fresh, gap_us, limit)
         passed = state.getCurrentWatermarkMs() * 1000
-        closed = [p for p in open_ if p[1] + gap_us < passed]
-        open_ = [p for p in open_ if p[1] + gap_us >= passed]
+        closed = [p for p in open_ if p[2] + gap_us < passed]
+        open_ = [p for p in open_ if p[2] + gap_us >= passed]
         if open_:
             state.update((json.dumps(open_),))
-            state.setTimeoutTimestamp((open_[0][1] + gap_us) // 1000)
+            state.setTimeoutTimestamp((min(p[2] for p in open_) + gap_us) // 1000)
         elif state.exists:
             state.remove()
         if closed:
-            yield pd.DataFrame([(key[0], _to_ts(p[0], tz), _to_ts(p[1], tz), p[2], [c[2] for c in p[5]], p[3], p[4])
-                                for p in closed], columns=CLOSED_COLUMNS)
+            ip, start, end, n, ok, err, clicks = zip(*closed)
+            yield pd.DataFrame(dict(zip(CLOSED_COLUMNS, (
+                pd.Series(ip, dtype=object), _to_times(start, tz), _to_times(end, tz), np.array(n, dtype=np.int64),
+                pd.Series([[c[2] for c in first] for first in clicks], dtype=object),
+                np.array(ok, dtype=np.int64), np.array(err, dtype=np.int64)))))
     return fn
 
 
@@ -211,15 +231,20 @@ def _session_tz(df: DataFrame) -> str:
 
 
 def closed_sessions_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id", gap: str = SESSION_GAP,
-                           watermark: str = "1 hour", limit: int = CLICKSTREAM_LIMIT) -> DataFrame:
+                           watermark: str = "1 hour", limit: int = CLICKSTREAM_LIMIT,
+                           buckets: int = CLOSED_BUCKETS) -> DataFrame:
     """ST1 + T4 on a stream: one row per session once it has closed (append mode).
 
     Keyed state holds only the open sessions' counters and first ``limit`` urls, so a
-    session of any length costs the same state.  Rows may come in any order within the
-    watermark.  Input columns: ip, url, status, ``ts``, ``seq``."""
+    session of any length costs the same state.  A state group is one of ``buckets`` hash
+    buckets of ips, since a call of the state function costs more than an ip's rows; an ip is
+    in one bucket only, and the number, fixed for a checkpoint, bounds the calls of a batch.
+    Rows may come in any order within the watermark.  Input columns: ip, url, status,
+    ``ts``, ``seq``."""
     e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq"))
-         .withColumn("us", F.unix_micros("ts")).withWatermark("ts", watermark))
-    return e.groupBy("ip").applyInPandasWithState(
+         .withColumns({"us": F.unix_micros("ts"), "bucket": F.pmod(F.xxhash64("ip"), F.lit(buckets)).cast("int")})
+         .withWatermark("ts", watermark))
+    return e.groupBy("bucket").applyInPandasWithState(
         _session_close(duration_us(gap), limit, tz=_session_tz(rows)), CLOSED_OUT, CLOSED_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
 

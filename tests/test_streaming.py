@@ -318,3 +318,22 @@ def test_stream_queries_emit_what_is_open_at_the_end(spark):
         same = [c for c in ("ip", "session_start", "sessionLength", "window_start", "referer", "count", "rank")
                 if c in got.columns and c in want.columns]
         assert len(same) > 2 and rows(got, *same) == rows(want, *same), name
+
+
+def test_closed_sessions_of_many_ips_share_state_groups(spark):
+    """The calls of the state function are bounded by ``buckets``, whatever the number of ips."""
+    d = _dir()
+    data = [(i, f"ip{i % 60}" if i % 60 else None, T0 + timedelta(seconds=601 * (i // 60) * (1 + i % 3)), f"/{i}", "200" if i % 7 else "x")
+            for i in range(900)]
+    df = spark.createDataFrame(data, "event_id long, ip string, ts timestamp_ntz, url string, status string")
+    df.repartition(3).write.parquet(d + "/in")
+    time.sleep(0.05)
+    last = spark.createDataFrame([(-1, "z", T0 + timedelta(days=9), "/", "200")], df.schema)
+    last.coalesce(1).write.mode("append").parquet(d + "/in")
+    src = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(d + "/in")
+    q = (jobs.closed_sessions_stream(src, watermark="1 day", buckets=4).writeStream.outputMode("append").format("parquet")
+         .option("path", d + "/out").option("checkpointLocation", d + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 4
+    cols = ["ip", "sessionLength", "clickstream", "successCodes", "errorCodes"]
+    assert rows(spark.read.parquet(d + "/out"), *cols) == rows(sessions.sessions(df), *cols)
