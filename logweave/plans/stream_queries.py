@@ -161,27 +161,26 @@ def q_stream_closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_session_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2 over micro-batches by DataFrame operators, with one carried row per ip in the versioned
-    keyed table: the updated session of every request, from four files in time order."""
+    keyed table: the updated session of every request, from four parts in time order."""
     base = _base(spark, "stream_session_running")
     lines = access_log_lines(table(spark, sf_dir, "events"), with_ts=True)
     rows = parse.session_requests(lines, keep=["event_id", "arrival_ts"])
     ends = rows.select(F.min("arrival_ts").alias("a"), F.max("arrival_ts").alias("z"))
-    # Stand-in stream: a folder of files that come one after another in time order
+    # Stand-in stream: a folder whose files come part after part in time order
     share = F.least(F.lit(3), F.floor(4 * F.timestamp_diff("SECOND", "a", "arrival_ts") / F.greatest(F.timestamp_diff("SECOND", "a", "z"), F.lit(1))))
     a, z = ends.first()
     cuts = rows.withColumns({"a": F.lit(a), "z": F.lit(z)}).withColumn("part", share).drop("a", "z")
     cuts.write.partitionBy("part").parquet(base + "/all")
-    for i in range(4):
-        one = spark.read.parquet(f"{base}/all").where(F.col("part") == i).select(*rows.columns)
-        one.coalesce(1).write.mode("append").parquet(base + "/in")
-    src = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
 
     def keep(df, batch_id):
         df.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
 
-    q = (src.writeStream.foreachBatch(session_fold.session_batches(base + "/state", keep, ts="arrival_ts", buckets=8))
-         .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
+    fold = session_fold.session_batches(base + "/state", keep, ts="arrival_ts", buckets=8)
+    for i in range(4):  # a part's files, as many as its size gives, are one batch
+        spark.read.parquet(f"{base}/all").where(F.col("part") == i).select(*rows.columns).write.mode("append").parquet(base + "/in")
+        src = spark.readStream.schema(rows.schema).parquet(base + "/in")
+        q = src.writeStream.foreachBatch(fold).option("checkpointLocation", base + "/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
     return spark.read.parquet(base + "/out").select(
         "event_id", "ip", "session_start", "sessionLength", "clickstream", "successCodes", "errorCodes")
 

@@ -41,15 +41,18 @@ def session_batches(root: str, sink: Callable[[DataFrame, int], None], ts: str =
             out = out.join(c, F.col("ip").eqNullSafe(F.col("c_ip")) & (F.col("session_start") == F.col("_first")), "left")
             plus = lambda x: (F.col(x) + F.coalesce(f"c_{x}", F.lit(0))).alias(x)
             urls = F.slice(F.concat(F.coalesce("c_clickstream", F.array().cast("array<string>")), "clickstream"), 1, limit)
-            out = cut(out.select(seq, ts, "ip", F.coalesce("c_session_start", "session_start").alias("session_start"), plus("sessionLength"),
-                                 urls.alias("clickstream"), plus("successCodes"), plus("errorCodes"), "c_session_end"))
+            out = out.select(seq, ts, "ip", F.coalesce("c_session_start", "session_start").alias("session_start"), plus("sessionLength"),
+                             urls.alias("clickstream"), plus("successCodes"), plus("errorCodes"), "c_session_end")
         else:
             out = out.withColumn("c_session_end", F.lit(None).cast(out.schema[ts].dataType))
         sink(out.drop("c_session_end"), batch_id)
-        # The longest row of a key's last session has all its counts.
+        # The longest row of a key's last session has all its counts.  Which session is the last one comes from
+        # an aggregate of plain times, so that only the rows of last sessions are sorted by key.
         kept = [c for c in _STATE if c not in ("ip", "session_end")]
-        last = out.groupBy("ip").agg(F.max_by(F.struct(*kept), F.struct("session_start", "sessionLength")).alias("r"),
-                                     F.greatest(F.max(ts), F.max("c_session_end")).alias("session_end"))
+        ends = out.groupBy("ip").agg(F.max("session_start").alias("_last"), F.greatest(F.max(ts), F.max("c_session_end")).alias("session_end"))
+        at = F.col("ip").eqNullSafe(F.col("_ip")) & (F.col("session_start") == F.col("_last"))
+        rest = out.select("ip", *kept).join(ends.withColumnRenamed("ip", "_ip"), at)
+        last = rest.groupBy("ip").agg(F.max_by(F.struct(*kept), "sessionLength").alias("r"), F.first("session_end").alias("session_end"))
         state = last.select("ip", *[F.col(f"r.{c}").alias(c) for c in kept], "session_end").select(*_STATE)
         keyed.upsert(state, root, "ip", ["session_start", "sessionLength"], batch_id, buckets)
     return fn

@@ -35,3 +35,31 @@ def test_batches_with_a_hot_ip_and_a_repeated_batch(spark):
 def last_literal(t):
     from pyspark.sql import functions as F
     return F.lit(t).cast("timestamp_ntz")
+
+
+def test_parts_of_several_files_are_one_batch_each(spark):
+    """The replay lands and reads a part in parallel; the parts still follow each other in time order."""
+    import glob
+
+    from logweave.plans.queries import QUERIES
+    from logweave.session import checkpoint_dir
+    d, rnd = tempfile.mkdtemp(prefix="logweave-test-"), random.Random(5)
+    data = [(i, T0 + timedelta(seconds=rnd.randrange(200_000)), rnd.randrange(6), "view", 1.0, '{"k": "%d"}' % (i % 99)) for i in range(800)]
+    events = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.repartition(4).write.parquet(d + "/events.parquet")
+    place = checkpoint_dir(spark) + "/queries/stream_session_running/*"
+    before = set(glob.glob(place))
+    got = QUERIES["stream_session_running"](spark, d)
+    cols = ["event_id", "ip", "session_start", "sessionLength", "clickstream", "successCodes", "errorCodes"]
+    assert rows(got, *cols) == rows(QUERIES["session_running"](spark, d), *cols)
+    [base] = set(glob.glob(place)) - before
+    assert len(glob.glob(base + "/in/*.parquet")) > 4 and len(glob.glob(base + "/out/batch=*")) == 4
+
+
+def test_the_rows_of_a_batch_are_written_once(spark, monkeypatch):
+    d, cuts = tempfile.mkdtemp(prefix="logweave-test-"), []
+    monkeypatch.setattr(session_fold, "cut", lambda df: cuts.append(1) or df.checkpoint())
+    fn = session_fold.session_batches(d, lambda df, i: df.count(), buckets=2)
+    for i in range(2):
+        fn(spark.createDataFrame([(i, "a", T0 + timedelta(seconds=i), "/x", "200")], SCHEMA), i)
+    assert len(cuts) == 2
