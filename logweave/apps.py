@@ -122,7 +122,8 @@ def popular_words(spark: SparkSession, root: str, checkpoint: str, k: int = 10,
     texts = archive.replay(spark, root).withColumnRenamed("value", "text")
     words = textstats.clean_word_rows(texts).withColumn("at", F.current_timestamp())
     beats = alarm_state.heartbeat(spark) if beats is None else beats
-    both = words.select("at", "word").unionAll(beats.select("at", F.lit(None).cast("string").alias("word")))
+    # A beat's word is empty, which no cleaned word is: a null would meet batches whose words cannot be null.
+    both = words.select("at", "word").unionAll(beats.select("at", F.lit("").alias("word")))
     counts = (both.withWatermark("at", "0 seconds").groupBy(F.window("at", window).alias("w"), "word")
               .agg(F.count(F.lit(1)).alias("count"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "word", "count"))
@@ -131,7 +132,7 @@ def popular_words(spark: SparkSession, root: str, checkpoint: str, k: int = 10,
         raise ValueError("popular_words follows the clock: stop it when the windows wanted have been shown")
 
     def top(df, batch_id):
-        best = windows.top_k_per_window(df.where("word is not null"), "word", k)
+        best = windows.top_k_per_window(df.where("word != ''"), "word", k)
         (sink or sinks.print_rows(k))(best, batch_id)
     return run.start(counts, checkpoint, foreach_batch=top, **opts)
 
