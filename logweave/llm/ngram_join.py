@@ -55,6 +55,8 @@ WIDE, WIDE_SHARE = 3, 8
 #: A signature seen so often in one batch is salted over SALTS parts.
 HOT, SALTS = 64, 64
 ROWS_PER_TASK = 1_500_000
+#: Pairs of rows that a task compares at once, and bytes of their sketches on either side.
+CROSS_PAIRS, CROSS_BYTES = 200_000, 4 << 20
 _COEF = mix(np.arange(1, 65, dtype=np.uint64) * U(0xD1B54A32D192ED03)) | U(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -255,12 +257,18 @@ def _check_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _folded(sketch: np.ndarray, width: int) -> np.ndarray:
-    """Sketch bytes XORed down to ``width`` bytes: coarser cells are unions of neighbouring fine ones."""
-    if len(sketch) == width:
-        return sketch
-    bits = np.unpackbits(sketch).reshape(width * 8, -1)
-    return np.packbits(np.bitwise_xor.reduce(bits, axis=1))
+def _at_width(sketches: list[bytes], width: int) -> np.ndarray:
+    """One row of ``width`` bytes per sketch of that width or more: coarser cells are unions of neighbouring fine ones."""
+    out = np.empty((len(sketches), width // 8), dtype=np.uint64)
+    size = np.array([len(s) for s in sketches])
+    for w in np.unique(size):
+        at = np.flatnonzero(size == w)
+        rows = np.frombuffer(b"".join(sketches[i] for i in at.tolist()), np.uint8).reshape(len(at), w)
+        if w > width:
+            bits = np.unpackbits(rows, axis=1).reshape(len(at), width * 8, -1)
+            rows = np.packbits(np.bitwise_xor.reduce(bits, axis=2), axis=1)
+        out[at] = rows.view(np.uint64)
+    return out
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,33 +279,34 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sig, ids, comp, n = (np.concatenate([c[i] for c in cols]) for i in range(4))
     sketch = [s for c in cols for s in c[4]]
     order = np.lexsort((ids, sig))
-    edge = np.flatnonzero(np.concatenate([[True], sig[order][1:] != sig[order][:-1], [True]]))
-    out_a, out_b = [], []
-    for lo, hi in zip(edge[:-1], edge[1:]):
-        g = order[lo:hi]
-        c, size, who = comp[g], n[g], ids[g]
-        width = np.array([len(sketch[i]) for i in g])
-        table: dict[int, np.ndarray] = {}
-        for i in range(hi - lo - 1):
-            j = np.arange(i + 1, hi - lo)
-            j = j[(c[j] != c[i]) & (DEN * np.minimum(size[j], size[i]) >= NUM * np.maximum(size[j], size[i])) & (who[j] != who[i])]
-            for w in np.unique(np.minimum(width[j], width[i])):
-                if w not in table:
-                    table[w] = np.zeros((hi - lo, w // 8), dtype=np.uint64)
-                    for k in np.flatnonzero((width >= w) & (width <= 2 * w)):
-                        table[w][k] = _folded(np.frombuffer(sketch[g[k]], np.uint8), int(w)).view(np.uint64)
-                jj = j[np.minimum(width[j], width[i]) == w]
-                for z in range(0, len(jj), 4096):
-                    part = jj[z:z + 4096]
-                    apart = np.bitwise_count(table[w][part] ^ table[w][i]).sum(axis=1, dtype=np.int64)
-                    part = part[apart <= (size[part] + size[i]) * (DEN - NUM) // (DEN + NUM)]
-                    out_a.append(np.full(len(part), who[i]))
-                    out_b.append(who[part])
-        if sum(map(len, out_a)) > 100_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
-            out_a, out_b = [], []
-    if out_a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+    sig, ids, comp, n = sig[order], ids[order], comp[order], n[order]
+    sketch = [sketch[i] for i in order.tolist()]
+    width = np.array([len(s) for s in sketch], dtype=np.int64)
+    # Every row meets the later rows of its signature, the rows of many groups at once.
+    edge = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1], [True]]))
+    later = np.repeat(edge[1:], np.diff(edge)) - 1 - np.arange(len(sig))
+    total = np.concatenate([[0], np.cumsum(later)])
+    lo = 0
+    while lo < len(sig):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + CROSS_PAIRS, "right")) - 1)
+        i = np.repeat(np.arange(lo, hi), later[lo:hi])
+        j = i + 1 + np.arange(len(i)) - (total[i] - total[lo])
+        lo = hi
+        use = (comp[i] != comp[j]) & (ids[i] != ids[j]) & (DEN * np.minimum(n[i], n[j]) >= NUM * np.maximum(n[i], n[j]))
+        i, j = i[use], j[use]
+        w = np.minimum(width[i], width[j])
+        near = np.zeros(len(i), dtype=bool)
+        for wide in np.unique(w).tolist():
+            at = np.flatnonzero(w == wide)
+            step = max(1, CROSS_BYTES // wide)
+            for z in range(0, len(at), step):
+                q = at[z:z + step]
+                who, back = np.unique(np.concatenate([i[q], j[q]]), return_inverse=True)
+                table = _at_width([sketch[k] for k in who.tolist()], wide)
+                apart = np.bitwise_count(table[back[:len(q)]] ^ table[back[len(q):]]).sum(axis=1, dtype=np.int64)
+                near[q] = apart <= (n[i[q]] + n[j[q]]) * (DEN - NUM) // (DEN + NUM)
+        if near.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i[near]]), pa.array(ids[j[near]])], names=["a", "b"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

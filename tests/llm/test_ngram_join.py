@@ -113,3 +113,28 @@ def test_an_id_on_rows_with_different_texts(spark):
     assert {c for i, n, c in got if i in (2, 3, 7, 9) and n} == {2}
     lost = spark.createDataFrame([(None, a), ((1 << 62) + 5, a), ((1 << 62) + 5, b)], "doc_id long, text string")
     assert {r.component_id for r in nj.jaccard_classes(lost).collect()} == {None, (1 << 62) + 5}
+
+
+def test_pairs_of_many_groups_are_compared_at_once(monkeypatch):
+    """Every pair of a signature is met once, whatever the blocks; widths differ within a group."""
+    import numpy as np
+    import pyarrow as pa
+    r = np.random.default_rng(6)
+    base = r.integers(0, 1 << 63, 90, dtype=np.uint64) << np.uint64(1)
+    rows = []
+    for sig in range(40):
+        for _ in range(int(r.integers(1, 9))):
+            u = np.unique(r.choice(base, int(r.integers(24, 88)), replace=False))
+            rows.append((sig, int(r.integers(0, 200)), int(r.integers(0, 5)), len(u), nj.parity_sketch(u)))
+    r.shuffle(rows)
+    rows = [(int(s), int(i), int(c), int(n), bytes(k)) for s, i, c, n, k in rows]
+    want = sorted((a[1], b[1]) for x, a in enumerate(rows) for y, b in enumerate(rows) if x != y and a[0] == b[0] and a[1] < b[1] and a[2] != b[2]
+                  and 100 * min(a[3], b[3]) >= 80 * max(a[3], b[3]) and nj.sketch_difference(a[4], b[4]) <= nj.max_difference(a[3] + b[3]))
+    assert want
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["sig", "id", "comp", "n", "sketch"])
+    for pairs, size in ((200_000, 4 << 20), (7, 1), (1, 64)):
+        monkeypatch.setattr(nj, "CROSS_PAIRS", pairs)
+        monkeypatch.setattr(nj, "CROSS_BYTES", size)
+        got = [p for b in nj._cross(iter([batch.slice(0, 50), batch.slice(50)])) for p in zip(*[c.to_pylist() for c in b.columns])]
+        assert sorted(got) == want
+    assert list(nj._cross(iter([]))) == []
