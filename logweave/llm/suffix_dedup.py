@@ -13,8 +13,8 @@ A byte is removed when a ``WINDOW``-byte string that covers it also starts anywh
 4. Each task takes the remaining segments of its anchors in shards, sorts the rotations
    of each shard and keeps its Burrows-Wheeler transform.  The transforms are merged by
    interleave refinement: from an interleave that is right for the first k bytes, one
-   stable distribution by the preceding two bytes gives the one right for k + 2 bytes;
-   suffixes are not sorted again.  Boundaries that appear in a round carry their common
+   stable distribution by the preceding s bytes gives the one right for k + s bytes; suffixes
+   are not sorted again.  s is 8 or 4 where these bytes take at most 65,536 values, else 2.  Boundaries that appear in a round carry their common
    prefix length; the intervals left after ``WINDOW`` bytes are the repeated strings.
 
 Equality of segments in step 3 rests on two 64-bit hashes (anchor and bytes).
@@ -41,6 +41,8 @@ WINDOW = 200
 ANCHOR = 64
 SEGMENTS_PER_TASK = 1_000_000
 BYTES_PER_TASK = 1_500_000
+#: Bytes of whole anchors that are transformed together, so that a round works in the processor's cache.
+SLICE_BYTES = 60_000
 SHARDS = 2
 #: No UTF-8 text holds this byte; it ends every string of a transform.
 END = 255
@@ -137,7 +139,7 @@ def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ------------------------------------------------------------------ Burrows-Wheeler transforms
 class Transform:
-    """Sorted rotations of a set of strings (each ended by END) and the two bytes before each of them."""
+    """Sorted rotations of a set of strings (each ended by END) and the eight bytes before each of them as a number."""
 
     def __init__(self, data: np.ndarray, ends: np.ndarray, depth: int):
         n = len(data)
@@ -155,8 +157,22 @@ class Transform:
             _, rank = np.unique(rank * (n + 256) + rank[ahead(k)], return_inverse=True)
             k *= 2
         self.order = np.argsort(rank, kind="stable")
-        pair = data.astype(np.uint16) << 8 | data[ahead(1)]
-        self.before = pair[ahead(-2)[self.order]]
+        word = data.astype(np.uint64)
+        for k in (1, 2, 4):
+            word = word << U(8 * k) | word[ahead(k)]
+        self.before = word[ahead(-8)[self.order]]
+
+
+def _symbols(transforms: list[Transform], depth: int) -> tuple[int, list[np.ndarray]]:
+    """(s, the s bytes before each rotation as 16-bit numbers in their order), one array per transform."""
+    ends = np.cumsum([len(t.before) for t in transforms])[:-1]
+    before = np.concatenate([t.before for t in transforms])
+    for step in (8, 4):
+        if depth % step == 0:
+            values, rank = np.unique(before & U((1 << 8 * step) - 1), return_inverse=True)
+            if len(values) <= 1 << 16:
+                return step, np.split(rank.astype(np.uint16), ends)
+    return 2, np.split(before.astype(np.uint16), ends)
 
 
 def merge(transforms: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,9 +182,10 @@ def merge(transforms: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarr
     interval = np.zeros(total, dtype=np.int32)
     symbols = np.empty(total, dtype=np.uint16)
     change = np.ones(total, dtype=bool)
-    for _ in range(depth // 2):
-        for s, t in enumerate(transforms):
-            symbols[inter == s] = t.before
+    width, before = _symbols(transforms, depth)
+    for _ in range(depth // width):
+        for s, b in enumerate(before):
+            symbols[inter == s] = b
         step = np.argsort(symbols, kind="stable")
         inter = inter[step]
         c, g = symbols[step], interval[step]
@@ -217,12 +234,12 @@ def _settle(window: int):
         # Strings with other anchors have no common window: a slice of whole anchors at a time bounds memory.
         order = np.argsort(anc, kind="stable")
         size = np.array([len(text[i]) for i in order])
-        edge = np.flatnonzero(np.concatenate([[True], anc[order][1:] != anc[order][:-1]]))
+        edge = np.flatnonzero(np.concatenate([anc[order][1:] != anc[order][:-1], [True]])) + 1  # ends of anchors
+        total = np.cumsum(size)
         a = 0
         while a < len(order):
-            reach = np.searchsorted(np.cumsum(size[a:]), BYTES_PER_TASK) + a + 1
-            later = edge[edge >= reach]
-            b = int(later[0]) if len(later) else len(order)
+            reach = np.searchsorted(total, SLICE_BYTES + (total[a - 1] if a else 0)) + 1
+            b = int(edge[min(np.searchsorted(edge, reach), len(edge) - 1)])
             part = order[a:b]
             a = b
             many = repeated_windows([text[i] for i in part], (doc[part] % SHARDS + SHARDS) % SHARDS, window)
