@@ -239,9 +239,9 @@ def closed_sessions_stream(rows: DataFrame, ts: str = "ts", seq: str = "event_id
     session of any length costs the same state.  A state group is one of ``buckets`` hash
     buckets of ips, since a call of the state function costs more than an ip's rows; an ip is
     in one bucket only, and the number, fixed for a checkpoint, bounds the calls of a batch.
-    Rows may come in any order within the watermark.  Input columns: ip, url, status,
-    ``ts``, ``seq``."""
-    e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq"))
+    Rows may come in any order within the watermark; rows without a time are dropped, as in
+    the batch form.  Input columns: ip, url, status, ``ts``, ``seq``."""
+    e = (rows.select("ip", "url", "status", F.col(ts).cast("timestamp").alias("ts"), F.col(seq).alias("seq")).where("ts is not null")
          .withColumns({"us": F.unix_micros("ts"), "bucket": F.pmod(F.xxhash64("ip"), F.lit(buckets)).cast("int")})
          .withWatermark("ts", watermark))
     return e.groupBy("bucket").applyInPandasWithState(

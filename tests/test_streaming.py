@@ -326,7 +326,7 @@ def test_closed_sessions_of_many_ips_share_state_groups(spark):
     data = [(i, f"ip{i % 60}" if i % 60 else None, T0 + timedelta(seconds=601 * (i // 60) * (1 + i % 3)), f"/{i}", "200" if i % 7 else "x")
             for i in range(900)]
     df = spark.createDataFrame(data, "event_id long, ip string, ts timestamp_ntz, url string, status string")
-    df.repartition(3).write.parquet(d + "/in")
+    df.unionAll(spark.createDataFrame([(-2, "ip1", None, "/", "200")], df.schema)).repartition(3).write.parquet(d + "/in")
     time.sleep(0.05)
     last = spark.createDataFrame([(-1, "z", T0 + timedelta(days=9), "/", "200")], df.schema)
     last.coalesce(1).write.mode("append").parquet(d + "/in")
