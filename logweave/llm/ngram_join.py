@@ -55,6 +55,10 @@ WIDE, WIDE_SHARE = 3, 8
 #: A signature seen so often in one batch is salted over SALTS parts.
 HOT, SALTS = 64, 64
 ROWS_PER_TASK = 1_500_000
+#: Bytes of text whose words are hashed at once: the arrays of a piece take some 50 bytes a byte of it.
+PIECE = 1 << 18
+#: Sets whose signatures are made at once.
+SIGN = 128
 #: Pairs of rows that a task compares at once, and bytes of their sketches on either side.
 CROSS_PAIRS, CROSS_BYTES = 200_000, 4 << 20
 _COEF = mix(np.arange(1, 65, dtype=np.uint64) * U(0xD1B54A32D192ED03)) | U(1)
@@ -77,7 +81,19 @@ def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray = _IS_WORD
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, offsets): the sorted distinct n-gram hashes of each text."""
+    """(hashes, offsets): the sorted distinct n-gram hashes of each text; texts are taken PIECE bytes at a time, longer ones alone."""
+    sets, sizes = [], [np.zeros(1, dtype=np.int64)]
+    a, docs = 0, len(off) - 1
+    while a < docs:
+        b = min(docs, max(a + 1, int(np.searchsorted(off, off[a] + PIECE, "right")) - 1))
+        u, so = _piece_sets(data[off[a]:off[b]], off[a:b + 1] - off[a], n)
+        sets.append(u)
+        sizes.append(np.diff(so))
+        a = b
+    return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum(np.concatenate(sizes))
+
+
+def _piece_sets(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     docs = len(off) - 1
     data = _LOWER[data]
     starts, ends, doc = word_spans(data, off)
@@ -206,7 +222,11 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for a, b, data, off in text_chunks(batch, 1):
             sets, so = shingle_sets(data, off)
-            sig, doc = signatures(sets, so)
+            # Signatures of a part of the sets at a time; frequent ones are told over the whole chunk.
+            parts = [(i, min(i + SIGN, b - a)) for i in range(0, b - a, SIGN)]
+            found = [signatures(sets[so[i]:so[j]], so[i:j + 1] - so[i]) for i, j in parts]
+            sig = np.concatenate([x for x, _ in found])
+            doc = np.concatenate([y + i for (i, _), (_, y) in zip(parts, found)])
             who, salt = ids[a:b][doc].astype(np.int64), np.zeros(len(sig), dtype=np.int32)
             # A signature frequent here goes to salted parts; one row of it also goes to part 0, which
             # meets the rows of tasks that saw it rarely.

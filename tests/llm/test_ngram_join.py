@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -51,6 +52,23 @@ def corpus(seed, n):
     return [(i * 3 + 1, t) for i, t in enumerate(texts)]
 
 
+def test_sets_are_made_in_pieces(monkeypatch):
+    """2 MB of texts take less than 30 MB of arrays; pieces change no set."""
+    r = random.Random(3)
+    texts = [" ".join(str(r.randrange(10 ** 6)) for _ in range(r.choice([0, 1, 4, 5, 300, 600]))).encode() for _ in range(2000)]
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    assert len(data) > 2_000_000
+    nj.shingle_sets(data, off)
+    tracemalloc.start()
+    sets, so = nj.shingle_sets(data, off)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 30e6
+    monkeypatch.setattr(nj, "PIECE", len(data))
+    whole, wo = nj.shingle_sets(data, off)
+    assert np.array_equal(sets, whole) and np.array_equal(so, wo)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_brute_force(spark, seed):
     rows = corpus(seed, 220)
