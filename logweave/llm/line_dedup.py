@@ -8,14 +8,16 @@ bucket classes has a fixed size, one byte a bucket.
 
 A line is removed when an earlier line of the corpus (by doc_id, then line number) has a
 Jaccard similarity of ``num / den`` or more with it, whether or not that earlier line is
-removed itself.  Equal sets are one class, represented by its first line.  Classes are
-joined on the tokens of their prefixes (n - ceil(t n) + 1 rarest tokens) under a length
-filter and a parity sketch of 128 bits (|x ^ y| >= popcount); the position of their first common token
-and the number of common prefix tokens drop most pairs before all tokens are compared.
-A first round pairs each class only with the earliest class that has one of the ``STAR``
-smallest token hashes of its prefix in common, which settles large groups of near copies in
-linear work; classes found late need no partner any more, and the second round joins the
-others with every class that shares any prefix token.
+removed itself.  Equal sets are one class, represented by its first line.  Classes meet on
+the tokens of their prefixes: the larger of two posts its n - ceil(t n) + 1 rarest tokens, the
+smaller its n - ceil(2 t n / (1 + t)) + 1 rarest, both by bands of sizes, under a length
+filter and a parity sketch of 128 bits (|x ^ y| >= popcount).
+
+A class only needs one earlier match, so every join that looks for partners is a semi-join: it
+puts out a posting once, however many others it matches, and large groups of near copies
+never expand into pairs.  Semi-joins first keep the postings that some other class may
+match, then those with an earlier one; one posting of each class, and then the others of
+the classes it leaves open, are compared by all tokens.
 
 Defined cases: null texts have no lines and stay null; lines without tokens are never
 matched or removed; white space other than a line feed only separates tokens; rows that
@@ -31,13 +33,13 @@ from pyspark.sql import functions as F
 from logweave.llm.common import cut_table, small_side
 
 NUM, DEN = 80, 100
-#: Rarity buckets; a power of two.
-BUCKETS = 1 << 17
+#: Rarity buckets; a power of two that the fast map of Spark's hash aggregate (2^16 keys) holds whole.
+BUCKETS = 1 << 16
 _SHIFT = 64 - BUCKETS.bit_length() + 1
 #: Bits of a token's hash that follow its rarity class.
 _LOW = 57
-#: Prefix tokens of a class that the first round looks up.
-STAR = 3
+#: Bands of sizes a factor e; two bands are as wide as two steps of the length filter.
+BANDS = 2.24
 #: Most documents with removed lines whose line flags are broadcast.
 BROADCAST_DOCS = 200_000
 
@@ -55,7 +57,7 @@ def _hashes(line):
 
 
 def rarity_classes(docs: DataFrame, text: str = "text") -> Column:
-    """Array constant, a byte a bucket: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest."""
+    """Array constant, a long a bucket: the rarity class of every hash bucket by its number of tokens in the whole corpus, 0 the rarest, as high bits."""
     one_line = F.replace(_spaced(text), F.lit("\n"), F.lit(" "))
     token = docs.select(F.explode(F.split(one_line, " ")).alias("t")).where("t != ''")
     count = token.groupBy(F.shiftrightunsigned(F.xxhash64("t"), _SHIFT).alias("b")).count()
@@ -65,8 +67,8 @@ def rarity_classes(docs: DataFrame, text: str = "text") -> Column:
     table = [0] * BUCKETS
     for row in rows:
         for bucket, value in row["at"]:
-            table[bucket] = value
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
+            table[bucket] = value << _LOW
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
 def token_sets(lines: DataFrame, rarity: Column, line: str = "line") -> DataFrame:
@@ -74,11 +76,12 @@ def token_sets(lines: DataFrame, rarity: Column, line: str = "line") -> DataFram
     low = F.lit((1 << _LOW) - 1).cast("long")
 
     def pack(h):
-        level = F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")).cast("long")
-        return F.shiftleft(level, _LOW).bitwiseOR(h.bitwiseAND(low))
+        # Never null, so that the arrays are sorted as plain longs.
+        level = F.coalesce(F.get(rarity, F.shiftrightunsigned(h, _SHIFT).cast("int")), F.lit(0).cast("long"))
+        return level.bitwiseOR(h.bitwiseAND(low))
 
-    toks = F.array_distinct(F.transform(_hashes(F.col(line)), pack))
-    return lines.withColumn("toks", F.sort_array(F.array_remove(toks, pack(F.xxhash64(F.lit(""))))))
+    toks = F.transform(_hashes(F.col(line)), pack)
+    return lines.withColumn("toks", F.sort_array(F.array_except(toks, F.array(pack(F.xxhash64(F.lit("")))))))
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -95,28 +98,45 @@ def _order(prefix: str = ""):
     return F.struct(*[F.col(prefix + c) for c in ("doc_id", "text_key", "line_no")])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rarity: Column, doc_id: str, text: str) -> DataFrame:
-    """Classes (cid, h2) that come later than a class at the threshold, from candidate pairs of class ids."""
-    pairs = cut_table(pairs, "pairs")
-    ids = cut_table(pairs.select(F.explode(F.array("x", "y")).alias("need")).distinct(), "need")
-    c = classes.select("cid", "h2", "n", "doc_id", "text_key", "line_no").join(
-        small_side(ids, ids.count()), F.col("cid") == F.col("need"), "left_semi")
-    c = cut_table(c, "need-lines")
-    w = c.select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"), F.col("line_no").alias("w_no"))
-    at = (F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))
-          & (F.col("line_no") == F.col("w_no")))
-    lines = _lines(docs, doc_id, text).join(small_side(w, w.count()), at, "left_semi").dropDuplicates(["doc_id", "text_key", "line_no"])
-    t = token_sets(lines, rarity).select(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key"),
-                                       F.col("line_no").alias("w_no"), "toks")
-    full = cut_table(c.join(t, at).select("cid", "h2", "n", _order().alias("at"), "toks"), "need-tokens")
-    x = full.toDF("x", "x2", "nx", "ax", "tx")
-    y = full.toDF("y", "y2", "ny", "ay", "ty")
-    j = pairs.join(x, "x").join(y, "y")
-    both = F.size(F.array_intersect("tx", "ty"))
-    j = j.where(DEN * both >= NUM * (F.col("nx") + F.col("ny") - both))
-    late = F.when(F.col("ax") > F.col("ay"), F.struct(F.col("x").alias("cid"), F.col("x2").alias("h2"))).when(
-        F.col("ax") < F.col("ay"), F.struct(F.col("y").alias("cid"), F.col("y2").alias("h2")))
-    return cut_table(j.select(late.alias("late")).where("late is not null").select("late.*").distinct(), "late")
+def _band(n):
+    """Band of a size; a size and the largest that it may match lie in one band or in two that follow each other."""
+    return F.floor(F.log(n.cast("double")) * BANDS).cast("int")
+
+
+def _posted(posts: DataFrame) -> DataFrame:
+    return posts.select("cid", "n", "sk", "sh", F.shiftleft(F.col("tok").cast("long"), 10).bitwiseOR(F.col("band").cast("long")).alias("key"))
+
+
+def _near(x: str, y: str):
+    """Sizes and sketches of the columns n, sk, sh of two aliases allow the threshold: |x ^ y| is at least the bits that differ."""
+    nx, ny = F.col(x + ".n"), F.col(y + ".n")
+    differ = F.bit_count(F.col(x + ".sk").bitwiseXOR(F.col(y + ".sk"))) + F.bit_count(F.col(x + ".sh").bitwiseXOR(F.col(y + ".sh")))
+    return (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((DEN + NUM) * differ <= (DEN - NUM) * (nx + ny))
+
+
+def _tokens_of(classes: DataFrame, docs: DataFrame, rarity: Column, doc_id: str, text: str) -> DataFrame:
+    """(cid, h2, toks) of ``classes``, from the lines that stand for them."""
+    w = classes.groupBy(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key")).agg(
+        F.collect_list(F.struct("line_no", "cid", "h2")).alias("w"))
+    w = cut_table(w, "need-lines")
+    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text"))
+    d = d.join(small_side(w, w.count()), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key")))
+    # One split a text; a line is then taken by its number.
+    d = d.select(F.split("text", "\n").alias("all"), "w").select("all", F.explode("w").alias("w"))
+    lines = d.select("w.cid", "w.h2", F.get("all", F.col("w.line_no")).alias("line")).dropDuplicates(["cid", "h2"])
+    lines = lines.withColumn("line", _spaced("line"))
+    return token_sets(lines, rarity).select("cid", "h2", "toks")
+
+
+def _late(posts: DataFrame, later: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Classes (cid, h2) among the postings ``later`` that come after a class of ``posts`` at the threshold which shares such a posting."""
+    met = (F.col("x.key") == F.col("y.key")) & _near("x", "y") & (F.col("x.at") < F.col("y.at"))
+    earlier = posts.alias("x").join(later.alias("y"), met, "left_semi")
+    x = cut_table(earlier.join(tokens, ["cid", "h2"]), "earlier")
+    y = cut_table(later.join(tokens, ["cid", "h2"]), "later")
+    both = F.size(F.array_intersect("x.toks", "y.toks"))
+    same = DEN * both >= NUM * (F.col("x.n") + F.col("y.n") - both)
+    return cut_table(y.alias("y").join(x.alias("x"), met & same, "left_semi").select("cid", "h2").distinct(), "late")
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,63 +154,45 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                  both.alias("sk"), high.alias("sh"), prefix.alias("prefix"))
     t = cut_table(t.withColumn("sk", F.col("sk").bitwiseXOR(F.col("sh"))), "lines")
     first = F.min(F.struct("doc_id", "text_key", "line_no", "sk", "sh", "prefix")).alias("f")
-    classes = cut_table(t.groupBy("cid", "h2", "n").agg(first).select("cid", "h2", "n", "f.*"), "classes")
+    classes = t.groupBy("cid", "h2", "n").agg(first, F.count(F.lit(1)).alias("members")).select("cid", "h2", "n", "f.*", "members")
+    classes = cut_table(classes, "classes")
     # Sets of fewer than 4 tokens are at the threshold only with themselves.
     smallest = -(-NUM // (DEN - NUM))
     several = classes.where(F.col("n") >= smallest)
 
-    def overlap(nx, ny):
-        return F.ceil((nx + ny) * NUM / F.lit(DEN + NUM))
-
-    def near(nx, sx, hx, ny, sy, hy):
-        length = DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)
-        differ = F.bit_count(sx.bitwiseXOR(sy)) + F.bit_count(hx.bitwiseXOR(hy))
-        return length & (differ <= nx + ny - 2 * overlap(nx, ny))
-
-    few = several.select("cid", "n", "sk", "sh", "doc_id", F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, STAR)).alias("tok"))
-    lead = few.groupBy("tok").agg(F.min(F.struct("doc_id", "cid", "n", "sk", "sh")).alias("l"), F.count(F.lit(1)).alias("sharing"))
-    star = few.drop("doc_id").join(lead.where("sharing > 1").drop("sharing"), "tok").where("cid != l.cid").where(near(
-        F.col("n"), F.col("sk"), F.col("sh"), F.col("l.n"), F.col("l.sk"), F.col("l.sh")))
-    late = _verified(star.select(F.greatest("cid", "l.cid").alias("x"), F.least("cid", "l.cid").alias("y")).distinct(),
-                     classes, docs, rarity, doc_id, text)
-    settled = late.select(F.col("cid").alias("done"), F.lit(True).alias("late"))
-    # Size, position and the late flag travel as one long.
-    meta = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(
-        F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.coalesce("late", F.lit(False)).cast("long"))
-    posts = several.join(small_side(settled, settled.count()), F.col("cid") == F.col("done"), "left").select(
-        "cid", "n", "sk", "sh", "doc_id", "late", F.posexplode("prefix").alias("pos", "tok")).select("cid", "sk", "sh", "doc_id", meta.alias("m"), "tok")
-    # Both sides are the same postings with the same columns, so that one shuffle serves both.  The class
-    # with the larger document id is the later one (either may be within a document) and must still be open.
-    x = posts.toDF("x", "sx", "hx", "dx", "mx", "tok")
-    y = posts.toDF("y", "sy", "hy", "dy", "my", "tok")
-
-    def size(m):
-        return F.shiftright(m, 32).cast("int")
-
-    def position(m):
-        return F.shiftright(m, 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int")
-
-    def is_late(m):
-        return F.col(m).bitwiseAND(F.lit(1).cast("long")) == 1
-
-    lx, ly = is_late("mx"), is_late("my")
-    open_ = F.when(F.col("dx").eqNullSafe(F.col("dy")), ~(lx & ly)).when(
-        F.col("dy").isNull() | (F.col("dx") > F.col("dy")), ~lx).otherwise(~ly)
-    nx, ny = size(F.col("mx")), size(F.col("my"))
-    pairs = x.join(y, "tok").where((F.col("x") > F.col("y")) & near(nx, F.col("sx"), F.col("hx"), ny, F.col("sy"), F.col("hy")) & open_)
-    # The first common token has the smallest position on both sides.  All common tokens of the prefix that ends
-    # first lie in both prefixes, which leaves at least overlap - ceil(0.8 n) + 1 of them, n the larger size.
-    pairs = pairs.groupBy("x", "y", nx.alias("nx"), ny.alias("ny")).agg(
-        F.min(position(F.col("mx"))).alias("px"), F.min(position(F.col("my"))).alias("py"), F.count(F.lit(1)).alias("common"))
-    nx, ny = F.col("nx"), F.col("ny")
-    o = overlap(nx, ny)
-    pairs = pairs.where((F.least(nx - F.col("px"), ny - F.col("py")) >= o) & (F.col("common") >= o - _need(F.greatest(nx, ny)) + 1))
-    late = late.unionAll(_verified(pairs.select("x", "y").distinct(), classes, docs, rarity, doc_id, text)).distinct()
-
-    k = classes.join(late.withColumn("late", F.lit(True)), ["cid", "h2"], "left").select(
-        "cid", "h2", "n", _order().alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
-    j = t.select("doc_id", "text_key", "line_no", "cid", "h2", "n").join(k, ["cid", "h2", "n"])
-    return j.select("doc_id", "text_key", "line_no", (F.col("late") | (_order() != F.col("first"))).alias("removed"))
+    # A partner that is not larger shares one of its own n - ceil(2 t n / (1 + t)) + 1 rarest tokens; it is posted in
+    # its band of sizes and in that of the largest set it may match.
+    larger = _posted(several.select("cid", "n", "sk", "sh", F.explode("prefix").alias("tok"), _band(F.col("n")).alias("band")))
+    short = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * 2 * NUM / F.lit(DEN + NUM)) + 1).cast("int"))
+    smaller = several.select("cid", "n", "sk", "sh", F.explode(short).alias("tok"))
+    reach = F.floor(F.col("n") * DEN / F.lit(NUM))
+    smaller = _posted(smaller.withColumn("band", F.explode(F.array_distinct(F.array(_band(F.col("n")), _band(reach))))))
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.n") >= F.col("y.n")) & (F.col("x.cid") != F.col("y.cid")) & _near("x", "y")
+    larger = cut_table(larger.alias("x").join(smaller.alias("y"), met, "left_semi"), "larger")
+    keys = cut_table(larger.select(F.col("key").alias("met")).distinct(), "keys")
+    smaller = smaller.join(small_side(keys, keys.count()), F.col("key") == F.col("met"), "left_semi")
+    smaller = smaller.alias("y").join(larger.alias("x"), met, "left_semi")
+    posts = cut_table(larger.unionAll(smaller).distinct(), "posts")
+    ids = cut_table(posts.select(F.col("cid").alias("need")).distinct(), "need")
+    c = classes.select("cid", "h2", _order().alias("at"), "doc_id", "text_key", "line_no").join(
+        small_side(ids, ids.count()), F.col("cid") == F.col("need"), "left_semi")
+    c = cut_table(c, "near")
+    tokens = cut_table(_tokens_of(c, docs, rarity, doc_id, text), "tokens")
+    posts = cut_table(posts.join(small_side(c.select("cid", "h2", "at"), c.count()), "cid"), "posts-at")
+    earlier = (F.col("x.key") == F.col("y.key")) & _near("x", "y") & (F.col("x.at") < F.col("y.at"))
+    later = cut_table(posts.alias("y").join(posts.alias("x"), earlier, "left_semi"), "posts-later")
+    # One posting decides nearly every class; the others of a class that it leaves open are looked up next.
+    one = later.groupBy("cid", "h2").agg(F.min("key").alias("key"))
+    late = _late(posts, later.join(one, ["cid", "h2", "key"], "left_semi"), tokens)
+    open_ = cut_table(later.join(late, ["cid", "h2"], "left_anti"), "posts-open")
+    if not open_.isEmpty():
+        late = late.unionAll(_late(posts, open_, tokens))
+
+    # Classes of one line that is not late lose nothing.
+    k = classes.join(late.withColumn("late", F.lit(True)), ["cid", "h2"], "left").where("late or members > 1")
+    k = cut_table(k.select("cid", "h2", "n", _order().alias("first"), F.coalesce("late", F.lit(False)).alias("late")), "matched")
+    j = t.select("doc_id", "text_key", "line_no", "cid", "h2", "n").join(small_side(k, k.count()), ["cid", "h2", "n"], "left")
+    return j.select("doc_id", "text_key", "line_no", F.coalesce(F.col("late") | (_order() != F.col("first")), F.lit(False)).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

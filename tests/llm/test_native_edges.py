@@ -128,6 +128,26 @@ def test_line_edge_rows(spark):
     assert line_dedup.dedup_lines(docs_frame(spark).limit(0)).count() == 0
 
 
+def test_near_copies_do_not_expand_into_pairs(spark, monkeypatch):
+    """Lines that match each other, but not the first line that shares their rare tokens: no table holds their pairs."""
+    core, common, other = ([f"{c}{i}" for i in range(n)] for c, n in (("core", 8), ("common", 32), ("other", 33)))
+    copies = [" ".join(core + common + [f"lone{i}"]) for i in range(150)]
+    lines = [" ".join(common)] * 200 + [" ".join(other)] * 200 + copies
+    rows = [(0, " ".join(core + other))] + [(i + 1, "\n".join(lines[i::10])) for i in range(10)]
+    seen, write = {}, line_dedup.cut_table
+
+    def written(df, name):
+        out = write(df, name)
+        seen[name] = max(seen.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "cut_table", written)
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in out) == expected_lines(rows)
+    # 11,175 pairs; a class has at most 9 postings for its larger and as many for its smaller partners.
+    assert max(seen.values()) < 4_000, seen
+
+
 def _rows(frame):
     cols = sorted(frame.columns)
     frame = frame[cols].astype(object).where(frame[cols].notna(), None)
