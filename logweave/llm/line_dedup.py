@@ -38,8 +38,8 @@ BUCKETS = 1 << 16
 _SHIFT = 64 - BUCKETS.bit_length() + 1
 #: Bits of a token's hash that follow its rarity class.
 _LOW = 57
-#: Bands of sizes a factor e; two bands are as wide as two steps of the length filter.
-BANDS = 2.24
+#: Bands of sizes a factor e: each is some 4 times as wide as the one before, so that few postings lie in two.
+BANDS = 0.72
 #: Most documents with removed lines whose line flags are broadcast.
 BROADCAST_DOCS = 200_000
 
@@ -103,10 +103,6 @@ def _band(n):
     return F.floor(F.log(n.cast("double")) * BANDS).cast("int")
 
 
-def _posted(posts: DataFrame) -> DataFrame:
-    return posts.select("cid", "n", "sk", "sh", F.shiftleft(F.col("tok").cast("long"), 10).bitwiseOR(F.col("band").cast("long")).alias("key"))
-
-
 def _near(x: str, y: str):
     """Sizes and sketches of the columns n, sk, sh of two aliases allow the threshold: |x ^ y| is at least the bits that differ."""
     nx, ny = F.col(x + ".n"), F.col(y + ".n")
@@ -160,19 +156,20 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     smallest = -(-NUM // (DEN - NUM))
     several = classes.where(F.col("n") >= smallest)
 
-    # A partner that is not larger shares one of its own n - ceil(2 t n / (1 + t)) + 1 rarest tokens; it is posted in
-    # its band of sizes and in that of the largest set it may match.
-    larger = _posted(several.select("cid", "n", "sk", "sh", F.explode("prefix").alias("tok"), _band(F.col("n")).alias("band")))
-    short = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * 2 * NUM / F.lit(DEN + NUM)) + 1).cast("int"))
-    smaller = several.select("cid", "n", "sk", "sh", F.explode(short).alias("tok"))
-    reach = F.floor(F.col("n") * DEN / F.lit(NUM))
-    smaller = _posted(smaller.withColumn("band", F.explode(F.array_distinct(F.array(_band(F.col("n")), _band(reach))))))
-    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.n") >= F.col("y.n")) & (F.col("x.cid") != F.col("y.cid")) & _near("x", "y")
-    larger = cut_table(larger.alias("x").join(smaller.alias("y"), met, "left_semi"), "larger")
-    keys = cut_table(larger.select(F.col("key").alias("met")).distinct(), "keys")
-    smaller = smaller.join(small_side(keys, keys.count()), F.col("key") == F.col("met"), "left_semi")
-    smaller = smaller.alias("y").join(larger.alias("x"), met, "left_semi")
-    posts = cut_table(larger.unionAll(smaller).distinct(), "posts")
+    # A partner that is not larger shares one of its own n - ceil(2 t n / (1 + t)) + 1 rarest tokens; these are posted in
+    # its band of sizes and in that of the largest set it may match, all others in its band.
+    n = F.col("n")
+    band, reach = _band(n), _band(F.floor(n * DEN / F.lit(NUM)))
+    short = (n - F.ceil(n * 2 * NUM / F.lit(DEN + NUM)) + 1).cast("int")
+    posts = several.select("cid", "n", "sk", "sh", "prefix", short.alias("short"), F.array(band).alias("own"),
+                           F.array_distinct(F.array(band, reach)).alias("wide"))
+    posts = posts.select("cid", "n", "sk", "sh", "short", "own", "wide", F.posexplode("prefix").alias("pos", "tok"))
+    posts = posts.select("cid", "n", "sk", "sh", "tok", F.explode(F.when(F.col("pos") < F.col("short"), F.col("wide")).otherwise(F.col("own"))).alias("band"))
+    key = F.shiftleft(F.col("tok").cast("long"), 10).bitwiseOR(F.col("band").cast("long"))
+    posts = posts.select("cid", "n", "sk", "sh", key.alias("key"))
+    # Both sides are the same postings under two aliases, so that one shuffle serves both.
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.cid") != F.col("y.cid")) & _near("x", "y")
+    posts = cut_table(posts.alias("x").join(posts.alias("y"), met, "left_semi"), "posts")
     ids = cut_table(posts.select(F.col("cid").alias("need")).distinct(), "need")
     c = classes.select("cid", "h2", _order().alias("at"), "doc_id", "text_key", "line_no").join(
         small_side(ids, ids.count()), F.col("cid") == F.col("need"), "left_semi")
