@@ -1,7 +1,12 @@
+import tracemalloc
+
 import duckdb
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from logweave.llm import embed_dedup as ed
+from logweave.llm import hnsw
 from logweave.llm.queries import op8_embeddings
 
 
@@ -70,3 +75,59 @@ def test_audit_is_never_empty_and_weighs_probes(spark):
     _, planted = ed.near_links(_planted(spark, [1500, 200] + [3] * 100 + [2] * 200, 1000), shard_rows=1000)
     print(planted)
     assert planted.linked > 50 and planted.links >= 0.97 and planted.neighbours > 0.5
+
+
+def _peak_mb(f):
+    """(result, MB that numpy and Python took at once)"""
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def _unit(x):
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_memory_of_a_wide_graph_and_of_a_large_group():
+    r = np.random.default_rng(2)
+    wide = _unit(r.normal(size=(1200, 1024)))
+    _, mb = _peak_mb(lambda: hnsw.build(wide))
+    assert mb < 60  # the vectors themselves take 5
+    # A group of 2,500 is found whole though its beams are far too large for all rows at once.
+    group = _unit(r.normal(size=32) + 0.03 * r.normal(size=(2500, 32)))
+    g = hnsw.build(np.concatenate([group, _unit(r.normal(size=(500, 32)))]))
+    (rows, nodes), mb = _peak_mb(lambda: g.search(group[:300], 32, 0.9))
+    want = group[:300] @ group.T >= 0.9
+    got = np.zeros((300, 3000), dtype=bool)
+    got[rows, nodes] = True
+    assert got[:, :2500][want].mean() > 0.99 and len(rows) == got.sum()
+    assert mb < 2.5 * (rows.nbytes + nodes.nbytes) + 16
+
+
+def test_a_task_holds_one_turn_of_graphs_and_puts_links_out_in_pieces(spark, monkeypatch):
+    taken = []
+    one = ed._packed
+    monkeypatch.setattr(ed, "HELD_BYTES", 1)
+    monkeypatch.setattr(ed, "PART_BYTES", 2048)
+    monkeypatch.setattr(ed, "_packed", lambda *a: taken.append(one(*a)) or taken[-1])
+    r = np.random.default_rng(4)
+    vecs = [list(map(float, v)) for dim in (8, 16) for b in r.normal(size=(5, dim)) for v in b + 0.05 * r.normal(size=(20, dim))]
+    rows = list(enumerate(vecs))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute([x[0] for x in rows], vecs)
+    assert {tuple(x) for x in ed.near_duplicates(df).collect()} == want
+    # Every graph goes out once, however many vectors are searched, with the vectors of its shard alone.
+    assert len(taken) == 8 and sum(len(np.frombuffer(g[1], np.int64)) for g in taken) == 200
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_single_precision_and_clashing_digests(spark, monkeypatch, clash):
+    if clash:
+        monkeypatch.setattr(ed, "_digest", lambda v: F.size(v).cast("long"))
+    vecs = [[0.0, 1.0, 0.5], [-0.0, 1.0, 0.5], [0.0, 1.0, 0.5], [0.1, 1.0, 0.5], [1.0, 0.0, 0.0], [1.0, -0.0, 0.0], [0.0, 0.0, 1.0], [3.0, 1.0], None]
+    rows = list(enumerate(vecs))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert ed.valid_vectors(df, "vec_id", "embedding").schema["v"].dataType.simpleString() == "array<float>"
+    assert {tuple(x) for x in ed.near_duplicates(df).collect()} == brute([x[0] for x in rows], vecs)
